@@ -25,15 +25,50 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from allelic.functions.genotype import default_genotype, normalize_chromosome, variant_type
-from allelic.schemas import GENE_SCHEMA, gene_rows
+from allelic.schemas import gene_rows
 
 DEFAULT_BIN = 1_000_000
 BROADCAST_LIMIT = 200_000
 
 
+def _values(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A small constant table as an inline ``VALUES`` relation: planned as a
+    LocalTableScan (no Python round trip, no RDD slices, no shuffle)."""
+    names = [c.split()[0] for c in ddl.split(",")]
+    types = [c.split()[1] for c in ddl.split(",")]
+
+    def lit(v, t):
+        if v is None:
+            return f"CAST(NULL AS {t})"
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return f"CAST({v} AS {t})"
+    body = ", ".join("(" + ", ".join(lit(v, t) for v, t in zip(r, types)) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
+
+
 def gene_table(spark: SparkSession, strict_types: bool = False) -> DataFrame:
     """The fixed 29-gene table as a DataFrame (priority = list order)."""
-    return spark.createDataFrame(gene_rows(strict_types), GENE_SCHEMA)
+    return _values(spark, gene_rows(strict_types),
+                   "priority int, gene string, chromosome string, start int, end int")
+
+
+def local_segments(rows: list[tuple]) -> list[tuple]:
+    """Disjoint labelled segments of a small, fixed gene list (priority,
+    gene, chromosome, start, end): the same cut as :func:`disjoint_segments`,
+    derived once from the constant instead of by four small Spark stages."""
+    by_chrom: dict[str, list[tuple]] = {}
+    for pri, gene, chrom, start, end in rows:
+        by_chrom.setdefault(chrom.upper().replace("CHR", ""), []).append((pri, gene, start, end))
+    out = []
+    for chrom, genes in by_chrom.items():
+        bounds = sorted({b for _, _, s, e in genes for b in (s, e + 1)})
+        for lo, nxt in zip(bounds, bounds[1:]):
+            hi = nxt - 1
+            cover = [(p, g) for p, g, s, e in genes if s <= lo and hi <= e]
+            if cover:
+                out.append((chrom, lo, hi, min(cover)[1]))
+    return out
 
 
 def disjoint_segments(genes: DataFrame) -> DataFrame:
@@ -82,17 +117,16 @@ def annotate_gene(df: DataFrame, genes: DataFrame | list | None = None, *,
     gene, chromosome, start, end.
     """
     spark = df.sparkSession
-    if genes is None:
-        gdf, n_genes = gene_table(spark, strict_types), len(gene_rows(strict_types))
-    elif isinstance(genes, list):
-        rows = [(i, *r) for i, r in enumerate(genes)]
-        gdf, n_genes = spark.createDataFrame(rows, GENE_SCHEMA), len(rows)
+    if genes is None or isinstance(genes, list):
+        rows = gene_rows(strict_types) if genes is None else [(i, *r) for i, r in enumerate(genes)]
+        segs = _values(spark, local_segments(rows), "chromosome string, lo bigint, hi bigint, gene string")
+        n_genes = len(rows)
     else:
-        gdf, n_genes = genes, None
-    seg = _binned(disjoint_segments(gdf), bin_size)
+        segs, n_genes = disjoint_segments(genes), None
+    seg = _binned(segs, bin_size)
     if n_genes is None:
         # size check on the annotation side before choosing a broadcast
-        n_genes = gdf.count()
+        n_genes = genes.count()
     if n_genes <= broadcast_limit:
         seg = F.broadcast(seg)
 

@@ -118,12 +118,13 @@ def genotype_trends(df: DataFrame, by: Sequence[str] = (MEMBER,)) -> DataFrame:
 def individual_heterozygosity(df: DataFrame) -> DataFrame:
     """Per person: heterozygous and homozygous share of length-2 genotypes.
     Rows with NULL/'' person or another genotype length are skipped."""
+    # count(_h) skips the NULLs (other genotype lengths); filtering on the
+    # derived column instead would push the whole expression into the scan
     h = (_valid(df).filter(F.col("person_id").isNotNull() & (F.col("person_id") != ""))
-         .select(MEMBER, "person_id", is_het("genotype").alias("_h"))
-         .filter(F.col("_h").isNotNull()))
+         .select(MEMBER, "person_id", is_het("genotype").alias("_h")))
     agg = h.groupBy(MEMBER, "person_id").agg(
         F.sum("_h").cast("long").alias("heterozygous"),
-        F.count(F.lit(1)).alias("total_snps"))
+        F.count("_h").alias("total_snps")).filter(F.col("total_snps") > 0)
     return agg.select(
         MEMBER, "person_id", "heterozygous",
         (F.col("total_snps") - F.col("heterozygous")).alias("homozygous"),
@@ -150,9 +151,10 @@ def population_heterozygosity(df: DataFrame, by: Sequence[str] = (MEMBER,)) -> D
     heterozygous and q the homozygous share (the reference's formula).
     Includes rows whose person is NULL."""
     keys = list(by)
-    h = _valid(df).select(*keys, is_het("genotype").alias("_h")).filter(F.col("_h").isNotNull())
+    h = _valid(df).select(*keys, is_het("genotype").alias("_h"))
     agg = (h.groupBy(*keys).agg(F.sum("_h").cast("long").alias("heterozygous"),
-                                F.count(F.lit(1)).alias("total_snps"))
+                                F.count("_h").alias("total_snps"))
+           .filter(F.col("total_snps") > 0)
            .withColumn("homozygous", F.col("total_snps") - F.col("heterozygous")))
     return _het_summary(agg, keys)
 
@@ -161,11 +163,11 @@ def diversity_history(df: DataFrame, width: str, n: int = 100, ts: str = "ts") -
     """Population heterozygosity per event-time window and member;
     the last ``n`` windows per member."""
     from allelic.operators.topk import top_k
-    h = (_valid(df).select(MEMBER, F.window(ts, width).alias("w"), is_het("genotype").alias("_h"))
-         .filter(F.col("_h").isNotNull()))
+    h = _valid(df).select(MEMBER, F.window(ts, width).alias("w"), is_het("genotype").alias("_h"))
     agg = (h.groupBy(MEMBER, F.col("w.start").alias("window_start"))
            .agg(F.sum("_h").cast("long").alias("heterozygous"),
-                F.count(F.lit(1)).alias("total_snps"))
+                F.count("_h").alias("total_snps"))
+           .filter(F.col("total_snps") > 0)
            .withColumn("homozygous", F.col("total_snps") - F.col("heterozygous")))
     summ = _het_summary(agg, [MEMBER, "window_start"])
     return top_k(summ, [F.desc("window_start")], n, by=[MEMBER])
@@ -306,11 +308,11 @@ def member_diversity(df: DataFrame, style: str = "letters", col: str | None = No
 def mutation_rate_by_chromosome(df: DataFrame) -> DataFrame:
     """Share of heterozygous ("variant") calls among length-2 genotypes per
     normalised chromosome."""
-    h = (_valid(df).select(normalize_chromosome("chromosome").alias("chromosome"),
-                           is_het("genotype").alias("_h"))
-         .filter(F.col("_h").isNotNull()))
-    a = h.groupBy("chromosome").agg(F.sum("_h").cast("long").alias("variant_snps"),
-                                    F.count(F.lit(1)).alias("total_snps"))
+    h = _valid(df).select(normalize_chromosome("chromosome").alias("chromosome"),
+                          is_het("genotype").alias("_h"))
+    a = (h.groupBy("chromosome").agg(F.sum("_h").cast("long").alias("variant_snps"),
+                                     F.count("_h").alias("total_snps"))
+         .filter(F.col("total_snps") > 0))
     return a.withColumn("mutation_rate", ratio("variant_snps", "total_snps"))
 
 

@@ -41,8 +41,11 @@ def rate_series(df: DataFrame, seconds: Sequence[int] = (60, 30, 10), *,
               .withColumn("_us", epoch_us("ts")))
     width_us = max(seconds) * US
     b = F.floor(F.col("_us") / width_us)
-    both = (per_ts.withColumn("_b", b).withColumn("_ghost", F.lit(False))
-            .unionByName(per_ts.withColumn("_b", b + 1).withColumn("_ghost", F.lit(True))))
+    # each row once in its own bucket and once as a ghost in the next one
+    copies = F.explode(F.array(F.struct(b.alias("b"), F.lit(False).alias("g")),
+                               F.struct((b + 1).alias("b"), F.lit(True).alias("g"))))
+    both = (per_ts.select("*", copies.alias("_c"))
+            .select(*by, "ts", "n_at", "_us", F.col("_c.b").alias("_b"), F.col("_c.g").alias("_ghost")))
     w = Window.partitionBy(*by, "_b").orderBy("_us")
     cols = []
     for s in seconds:

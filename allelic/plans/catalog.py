@@ -124,7 +124,7 @@ def q_orient(spark, d):
         "snp_id", "gt_num", G.genotype_orientation("gt_num").alias("orientation"))
 
 
-@query("zygosity", W() + """SELECT snp_id, genotype, CASE WHEN length(genotype) <> 2 THEN NULL
+@query("zygosity", W() + """SELECT snp_id, genotype, CASE WHEN genotype IS NULL OR length(genotype) <> 2 THEN NULL
   WHEN substr(genotype,1,1) = substr(genotype,2,1) THEN 'homozygous' ELSE 'heterozygous' END AS zygosity
   FROM snps WHERE has_snp""")
 def q_zyg(spark, d):

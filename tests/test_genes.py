@@ -96,3 +96,12 @@ def test_golden_gene_counts_sf001(spark, snps01):
               "MT-ND5": 12, "MT-ND4": 11, "MT-ATP6": 8, "DAZ": 7, "MT-CO3": 5, "MT-CYB": 5, "AR": 4,
               "MT-ND3": 4, "BRCA1": 3, "MT-ND6": 3, "EGFR": 2, "ZFY": 2, "MT-ATP8": 1}
     assert {k: v for k, v in got.items() if k in named} == expect
+
+
+def test_local_segments_equal_distributed_segments(spark):
+    from allelic.operators.genes import disjoint_segments, gene_table, local_segments
+    from allelic.schemas import gene_rows
+    for strict in (False, True):
+        dist = sorted(tuple(r) for r in disjoint_segments(gene_table(spark, strict))
+                      .select("chromosome", "lo", "hi", "gene").collect())
+        assert dist == sorted(local_segments(gene_rows(strict)))
