@@ -47,14 +47,11 @@ def rate_series(df: DataFrame, seconds: Sequence[int] = (60, 30, 10), *,
     both = (per_ts.select("*", copies.alias("_c"))
             .select(*by, "ts", "n_at", "_us", F.col("_c.b").alias("_b"), F.col("_c.g").alias("_ghost")))
     w = Window.partitionBy(*by, "_b").orderBy("_us")
-    cols = []
-    for s in seconds:
-        frame = w.rangeBetween(-(s * US - 1), Window.currentRow)
-        cols.append(F.sum("n_at").over(frame).cast("long").alias(f"n_{s}s"))
-    out = both.select(*by, "ts", "n_at", "_ghost", *cols).filter(~F.col("_ghost")).drop("_ghost")
-    for s in seconds:
-        out = out.withColumn(f"rate_{s}s", F.col(f"n_{s}s").cast("double") / float(s))
-    return out
+    cols = [F.sum("n_at").over(w.rangeBetween(-(s * US - 1), Window.currentRow)).cast("long").alias(f"n_{s}s")
+            for s in seconds]
+    out = both.select(*by, "ts", "n_at", "_ghost", *cols).filter(~F.col("_ghost"))
+    return out.select(*by, "ts", "n_at", *[f"n_{s}s" for s in seconds],
+                      *[(F.col(f"n_{s}s").cast("double") / float(s)).alias(f"rate_{s}s") for s in seconds])
 
 
 def mutation_rate(df: DataFrame, seconds: int = 60, *, by: Sequence[str] = (),
@@ -85,7 +82,7 @@ def rate_trend(df: DataFrame, short: int = 30, long: int = 60, *,
 
 
 def rate_anomaly(df: DataFrame, short: int = 10, long: int = 60, threshold: float = 2.5, *,
-                 by: Sequence[str] = (), ts: str = "ts") -> DataFrame:
+                 by: Sequence[str] = (), ts: str = "ts", keep_n_at: bool = False) -> DataFrame:
     """Current (``short``) rate against expected (``long``) rate.
 
     Anomaly when ``|current - expected| / expected > threshold``; severity
@@ -99,7 +96,7 @@ def rate_anomaly(df: DataFrame, short: int = 10, long: int = 60, threshold: floa
     rhs = (nl * short).cast("double") * float(threshold)
     anomalous = (nl > 0) & (lhs > rhs)
     return s.select(
-        *by, "ts", ns.alias("n_short"), nl.alias("n_long"),
+        *by, "ts", *(["n_at"] if keep_n_at else []), ns.alias("n_short"), nl.alias("n_long"),
         F.round(F.col(f"rate_{long}s"), 4).alias("expected_rate"),
         F.round(F.col(f"rate_{short}s"), 4).alias("current_rate"),
         F.round(F.col(f"rate_{short}s") - F.col(f"rate_{long}s"), 4).alias("deviation"),
@@ -109,15 +106,15 @@ def rate_anomaly(df: DataFrame, short: int = 10, long: int = 60, threshold: floa
 
 def anomaly_rate(df: DataFrame, short: int = 10, long: int = 60, threshold: float = 2.5, *,
                  ts: str = "ts") -> DataFrame:
-    """Anomalies / (variants + 1) x 100 (2 dp), one row."""
-    a = rate_anomaly(df, short, long, threshold, ts=ts).agg(
-        F.count_if("is_anomaly").alias("anomaly_count"))
-    v = df.filter(F.col("has_snp")).agg(F.count(F.lit(1)).alias("total_variants"))
-    anomalies, variants = a.scalar(), v.scalar()
-    return df.sparkSession.range(1).select(
-        anomalies.alias("anomaly_count"), variants.alias("total_variants"),
-        F.round(anomalies.cast("double") / (variants + 1).cast("double") * 100.0, 2)
-        .alias("anomaly_rate"))
+    """Anomalies / (variants + 1) x 100 (2 dp), one row.  One
+    aggregation over the anomaly series: its ``n_at`` column sums to the
+    number of variants, so no second pass over the input is needed."""
+    a = rate_anomaly(df, short, long, threshold, ts=ts, keep_n_at=True).agg(
+        F.count_if("is_anomaly").alias("anomaly_count"),
+        F.coalesce(F.sum("n_at"), F.lit(0)).cast("long").alias("total_variants"))
+    return a.select("anomaly_count", "total_variants",
+                    F.round(F.col("anomaly_count").cast("double")
+                            / (F.col("total_variants") + 1).cast("double") * 100.0, 2).alias("anomaly_rate"))
 
 
 def zscore_anomaly(series: DataFrame, value: str, order: str, *, by: Sequence[str] = (),

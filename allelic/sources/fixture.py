@@ -11,71 +11,47 @@ scan speed and keeps the ``events`` scan's column pruning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+# FIXTURES section 3 (Spark flavour), as three projection stages.  Written
+# as SQL expression text: one JVM-side parse per stage instead of hundreds
+# of py4j Column calls, and the text stays comparable with the DuckDB form.
+_STAGE_E = [
+    "event_id AS e", "ts", "user_id AS u", "CAST(FLOOR(value*100) AS BIGINT) AS v",
+    "CAST(get_json_object(props,'$.k') AS BIGINT) AS k",
+]
+_STAGE_B = [
+    "*", "CAST(FLOOR(u/5.0) AS BIGINT) AS fam", "u % 5 AS slot",
+    "CAST((e*7 + k) % 25 AS INT) AS ci", "CAST((e*31 + v) % 17 AS INT) AS gi",
+]
+_FAM = "CONCAT('FAM_', LPAD(CAST(fam AS VARCHAR(32)), 6, '0'))"
+_STAGE_S = [
+    "e AS snp_id", "ts",
+    f"{_FAM} AS family_id",
+    "CASE slot WHEN 0 THEN 'father' WHEN 1 THEN 'mother' ELSE 'child' END AS member_type",
+    f"CASE WHEN e % 211 = 5 THEN NULL ELSE CONCAT({_FAM}, CASE slot WHEN 0 THEN '_F' WHEN 1 THEN '_M' "
+    "ELSE CONCAT('_C', CAST(slot-1 AS VARCHAR(32))) END) END AS person_id",
+    "CASE slot WHEN 1 THEN 'Female' ELSE 'Male' END AS gender",
+    "CASE WHEN e % 97 = 0 THEN FALSE ELSE TRUE END AS has_snp",
+    "CASE WHEN e % 97 = 0 OR e % 331 = 7 THEN NULL WHEN ci = 22 THEN 'X' WHEN ci = 23 THEN 'Y' "
+    "WHEN ci = 24 THEN 'MT' WHEN e % 13 = 0 THEN CONCAT('chr', CAST(ci+1 AS VARCHAR(32))) "
+    "ELSE CAST(ci+1 AS VARCHAR(32)) END AS chromosome",
+    "CASE WHEN e % 97 = 0 OR e % 401 = 9 THEN NULL WHEN ci = 24 THEN CAST(1 + v % 16569 AS INT) "
+    "ELSE CAST((k*5 + e % 5)*500000 + (e % 2)*200000 AS INT) END AS position",
+    "CASE WHEN e % 97 = 0 THEN NULL WHEN gi < 2 THEN 'AA' WHEN gi = 2 THEN 'CC' WHEN gi = 3 THEN 'GG' "
+    "WHEN gi = 4 THEN 'TT' WHEN gi IN (5,6) THEN 'AG' WHEN gi IN (7,8) THEN 'CT' WHEN gi = 9 THEN 'AC' "
+    "WHEN gi = 10 THEN 'GT' WHEN gi = 11 THEN 'aa' WHEN gi = 12 THEN 'Aa' WHEN gi = 13 THEN '--' "
+    "WHEN gi = 14 THEN 'A' WHEN gi = 15 THEN '' ELSE NULL END AS genotype",
+    "CASE WHEN e % 97 = 0 THEN NULL WHEN gi < 6 THEN '0/0' WHEN gi < 11 THEN '0/1' WHEN gi < 14 THEN '1/1' "
+    "WHEN gi = 14 THEN '1/2' WHEN gi = 15 THEN 'Unknown' ELSE 'AG' END AS gt_num",
+]
 
 
 def snps_from_events(events: DataFrame) -> DataFrame:
     """FIXTURES section 3: ``events`` -> ``snps`` (one row per event)."""
-    e = events.select(
-        F.col("event_id").alias("e"),
-        F.col("ts"),
-        F.col("user_id").alias("u"),
-        F.floor(F.col("value") * 100).cast("bigint").alias("v"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-    )
-    e_ = F.col("e")
-    b = e.select(
-        "*",
-        F.floor(F.col("u") / 5).cast("bigint").alias("fam"),
-        (F.col("u") % 5).alias("slot"),
-        ((e_ * 7 + F.col("k")) % 25).cast("int").alias("ci"),
-        ((e_ * 31 + F.col("v")) % 17).cast("int").alias("gi"),
-    )
-    fam = F.concat(F.lit("FAM_"), F.lpad(_s(F.col("fam")), 6, "0"))
-    slot, ci, gi = F.col("slot"), F.col("ci"), F.col("gi")
-    no_snp = (e_ % 97) == 0
-    member = (F.when(slot == 0, "father").when(slot == 1, "mother").otherwise("child"))
-    suffix = (F.when(slot == 0, "_F").when(slot == 1, "_M")
-              .otherwise(F.concat(F.lit("_C"), _s(slot - 1))))
-    chromosome = (
-        F.when(no_snp | ((e_ % 331) == 7), F.lit(None).cast("string"))
-        .when(ci == 22, "X").when(ci == 23, "Y").when(ci == 24, "MT")
-        .when((e_ % 13) == 0, F.concat(F.lit("chr"), _s(ci + 1)))
-        .otherwise(_s(ci + 1)))
-    position = (
-        F.when(no_snp | ((e_ % 401) == 9), F.lit(None).cast("int"))
-        .when(ci == 24, (1 + F.col("v") % 16569).cast("int"))
-        .otherwise(((F.col("k") * 5 + e_ % 5) * 500000 + (e_ % 2) * 200000).cast("int")))
-    genotype = (
-        F.when(no_snp, F.lit(None).cast("string"))
-        .when(gi < 2, "AA").when(gi == 2, "CC").when(gi == 3, "GG").when(gi == 4, "TT")
-        .when(gi.isin(5, 6), "AG").when(gi.isin(7, 8), "CT").when(gi == 9, "AC")
-        .when(gi == 10, "GT").when(gi == 11, "aa").when(gi == 12, "Aa")
-        .when(gi == 13, "--").when(gi == 14, "A").when(gi == 15, "")
-        .otherwise(F.lit(None).cast("string")))
-    gt_num = (
-        F.when(no_snp, F.lit(None).cast("string"))
-        .when(gi < 6, "0/0").when(gi < 11, "0/1").when(gi < 14, "1/1")
-        .when(gi == 14, "1/2").when(gi == 15, "Unknown").otherwise("AG"))
-    return b.select(
-        e_.alias("snp_id"),
-        F.col("ts"),
-        fam.alias("family_id"),
-        member.alias("member_type"),
-        F.when((e_ % 211) == 5, F.lit(None).cast("string"))
-         .otherwise(F.concat(fam, suffix)).alias("person_id"),
-        F.when(slot == 1, "Female").otherwise("Male").alias("gender"),
-        (~no_snp).alias("has_snp"),
-        chromosome.alias("chromosome"),
-        position.alias("position"),
-        genotype.alias("genotype"),
-        gt_num.alias("gt_num"),
-    )
+    return events.selectExpr(*_STAGE_E).selectExpr(*_STAGE_B).selectExpr(*_STAGE_S)
 
 
 def nest_snp(snps: DataFrame) -> DataFrame:
