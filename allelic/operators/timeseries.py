@@ -1,18 +1,23 @@
 """Rates, trends, anomalies and metric histories.
 
-Trailing-rate frames without ``PARTITION BY`` would pull every row into one
-task.  ``rate_series`` instead
+Trailing counts ``n(t - w, t]`` are computed without bounded window
+frames: Spark re-aggregates a sliding frame's whole buffer for every row,
+which costs O(rows x frame size) and collapses when a frame holds millions
+of events.  ``rate_series`` uses running sums only (incremental, O(n)):
 
-1. pre-aggregates to one row per (group, timestamp), which collapses hot
+1. pre-aggregate to one row per (group, timestamp), which collapses hot
    timestamps before any shuffle;
-2. cuts time into buckets as wide as the longest frame and copies each row
-   once into the next bucket as a "ghost";
-3. evaluates all range frames in one window partitioned by
-   (group, bucket), then drops the ghosts.
-
-A frame of width w <= bucket width ending in bucket b only reaches back into
-bucket b-1, whose rows are all present as ghosts, so every count is exact
-while the windows run in parallel over time buckets.
+2. for each width w, cut time into buckets of width w; every row goes to
+   its own bucket b and, as a "ghost", to bucket b + 1, keyed by its offset
+   o = t - b*w inside its bucket;
+3. in the window partition (group, w, bucket b), ordered by offset with
+   ghosts first at equal offsets, an event at offset o has
+   ``n(t - w, t] = R + T - G``: R = running count of real rows (bucket b up
+   to t), T = total of the ghost rows (bucket b - 1) and G = running count
+   of ghost rows with offset <= o, i.e. those at or before t - w;
+4. a group-by on (group, timestamp) puts the widths side by side.
+
+Windows run in parallel over (group, width, bucket) partitions.
 """
 
 from __future__ import annotations
@@ -35,23 +40,34 @@ def rate_series(df: DataFrame, seconds: Sequence[int] = (60, 30, 10), *,
     ``t - w < ts <= t`` (strict on the left, as ``now - ts < w``) and
     ``rate_{w}s = n / w`` for each width ``w`` in seconds."""
     by = list(by)
+    seconds = list(dict.fromkeys(seconds))
     src = df.filter(F.col("has_snp")) if valid_only else df
     per_ts = (src.groupBy(*by, F.col(ts).alias("ts"))
               .agg(F.count(F.lit(1)).alias("n_at"))
               .withColumn("_us", epoch_us("ts")))
-    width_us = max(seconds) * US
-    b = F.floor(F.col("_us") / width_us)
-    # each row once in its own bucket and once as a ghost in the next one
-    copies = F.explode(F.array(F.struct(b.alias("b"), F.lit(False).alias("g")),
-                               F.struct((b + 1).alias("b"), F.lit(True).alias("g"))))
-    both = (per_ts.select("*", copies.alias("_c"))
-            .select(*by, "ts", "n_at", "_us", F.col("_c.b").alias("_b"), F.col("_c.g").alias("_ghost")))
-    w = Window.partitionBy(*by, "_b").orderBy("_us")
-    cols = [F.sum("n_at").over(w.rangeBetween(-(s * US - 1), Window.currentRow)).cast("long").alias(f"n_{s}s")
-            for s in seconds]
-    out = both.select(*by, "ts", "n_at", "_ghost", *cols).filter(~F.col("_ghost"))
-    return out.select(*by, "ts", "n_at", *[f"n_{s}s" for s in seconds],
-                      *[(F.col(f"n_{s}s").cast("double") / float(s)).alias(f"rate_{s}s") for s in seconds])
+    copies = []
+    for i, s in enumerate(seconds):
+        w = s * US
+        b = F.floor(F.col("_us") / w)
+        o = F.col("_us") - b * w
+        copies += [F.struct(F.lit(i).alias("wid"), b.alias("b"), o.alias("o"), F.lit(False).alias("g")),
+                   F.struct(F.lit(i).alias("wid"), (b + 1).alias("b"), o.alias("o"), F.lit(True).alias("g"))]
+    x = (per_ts.select(*by, "ts", "n_at", F.explode(F.array(*copies)).alias("_c"))
+         .select(*by, "ts", "n_at", "_c.*"))
+    part = Window.partitionBy(*by, "wid", "b")
+    run = part.orderBy("o", F.desc("g")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    real_n = F.when(~F.col("g"), F.col("n_at")).otherwise(F.lit(0))
+    ghost_n = F.when(F.col("g"), F.col("n_at")).otherwise(F.lit(0))
+    n = F.sum(real_n).over(run) + F.sum(ghost_n).over(part) - F.sum(ghost_n).over(run)
+    per_width = x.select(*by, "ts", "n_at", "wid", "g", n.alias("n")).filter(~F.col("g"))
+    if len(seconds) == 1:
+        wide = per_width.select(*by, "ts", "n_at", F.col("n").alias(f"n_{seconds[0]}s"))
+    else:
+        wide = per_width.groupBy(*by, "ts").agg(
+            F.max("n_at").alias("n_at"),
+            *[F.max(F.when(F.col("wid") == i, F.col("n"))).alias(f"n_{s}s") for i, s in enumerate(seconds)])
+    return wide.select(*by, "ts", "n_at", *[F.col(f"n_{s}s").cast("long").alias(f"n_{s}s") for s in seconds],
+                       *[(F.col(f"n_{s}s").cast("double") / float(s)).alias(f"rate_{s}s") for s in seconds])
 
 
 def mutation_rate(df: DataFrame, seconds: int = 60, *, by: Sequence[str] = (),
