@@ -2,18 +2,19 @@
 
 One ``foreachBatch`` query per message stream.  Per micro-batch it
 
-1. persists the parsed batch (every metric reuses one scan of it);
-2. archives the rows (Parquet, partitioned by event date/hour);
-3. writes each metric as *additive partial counts* of this batch to
-   ``{out}/{metric}/batch_id={n}``, replacing that folder.  A batch replayed
-   after a failure rewrites the same folder, so results stay exact under
-   the sink's at-least-once delivery;
+1. persists the parsed batch;
+2. archives the rows (Parquet, partitioned by event date and hour);
+3. computes every metric as *additive partial counts* of this batch in one
+   grouping-sets aggregation (one scan, one shuffle) and writes them to
+   ``{out}/partials/batch_id={n}/metric=...``, replacing that batch folder.
+   A batch replayed after a failure rewrites the same folder, so results
+   stay exact under the sink's at-least-once delivery;
 4. every ``every``-th batch refreshes the derived snapshots (top-k,
    percentages) from the accumulated partials.  Unlike the reference,
    skipped batches are not lost: their partials are already stored.
 
-``metric_snapshot`` reads a metric folder and merges the partials of all
-batches with one hash aggregation.
+``metric_snapshot`` reads one metric's partials (partition-pruned) and
+merges all batches with one hash aggregation.
 """
 
 from __future__ import annotations
@@ -49,54 +50,84 @@ def messages_to_snps(raw: DataFrame) -> DataFrame:
         "kind", "_corrupt_record")
 
 
-# --- additive per-batch partials (one scan of the persisted batch each) --------
-def _partials(snps: DataFrame) -> dict[str, DataFrame]:
-    v = snps.filter(F.col("has_snp"))
-    return {
-        "batch_metrics": snps.groupBy(MEMBER).agg(
-            F.count_if(F.col("has_snp")).alias("total_records"),
-            F.count(F.lit(1)).alias("messages"),
-            F.count_if(~F.col("has_snp")).alias("tokens"),
-            F.max("ts").alias("last_ts")),
-        "chromosome_counts": v.groupBy(
-            MEMBER, bucket("chromosome", "Unknown").alias("chromosome"),
-            bucket("genotype", "0/0").alias("genotype")).agg(F.count(F.lit(1)).alias("count")),
-        "position_counts": v.filter(F.col("position").isNotNull()).groupBy(
-            MEMBER, "chromosome", "position").agg(F.count(F.lit(1)).alias("frequency")),
-        "het_counts": v.select(MEMBER, "person_id", is_het("genotype").alias("_h"))
-        .filter(F.col("_h").isNotNull()).groupBy(MEMBER, "person_id").agg(
-            F.sum("_h").cast("long").alias("heterozygous"), F.count(F.lit(1)).alias("total_snps")),
-        "gene_counts": annotate_gene(v.select(MEMBER, "chromosome", "position"))
-        .groupBy(MEMBER, "gene").agg(F.count(F.lit(1)).alias("count")),
-        "orientation_counts": v.select(MEMBER, orientation("letters").alias("orientation"))
-        .filter(F.col("orientation").isNotNull()).groupBy(MEMBER, "orientation")
-        .agg(F.count(F.lit(1)).alias("count")),
-        "family_tokens": snps.filter(F.col("kind") == "token").groupBy("family_id").agg(
-            F.min("ts").alias("first_token_ts")),
-    }
-
-
+# --- additive per-batch partials: one grouping-sets aggregation ----------------
+# metric -> its grouping columns (a column absent from a set is NULL there)
+_SETS = {
+    "batch_metrics": [MEMBER],
+    "chromosome_counts": [MEMBER, "chromosome_b", "genotype_b"],
+    "position_counts": [MEMBER, "chromosome", "position"],
+    "het_counts": [MEMBER, "person_id"],
+    "gene_counts": [MEMBER, "gene"],
+    "orientation_counts": [MEMBER, "orientation"],
+    "family_tokens": ["family_id"],
+}
+_KEYS = [MEMBER, "chromosome_b", "genotype_b", "chromosome", "position", "person_id", "gene",
+         "orientation", "family_id"]
+
+
+def _partials(snps: DataFrame) -> DataFrame:
+    """All additive metric partials of one batch in a single pass: one scan
+    of the batch, one partial aggregate, one shuffle.  ``metric`` names the
+    grouping set each row belongs to."""
+    valid = F.col("has_snp")
+    rows = annotate_gene(snps, out="gene").select(
+        MEMBER, "chromosome", "position", "person_id", "gene", "family_id", "ts", "kind", valid.alias("v"),
+        bucket("chromosome", "Unknown").alias("chromosome_b"), bucket("genotype", "0/0").alias("genotype_b"),
+        orientation("letters").alias("orientation"), is_het("genotype").alias("_h"))
+    gid = F.grouping_id(*_KEYS)
+    full = (1 << len(_KEYS)) - 1
+    names = F.lit(None).cast("string")
+    for name, cols in _SETS.items():
+        mask = full
+        for c in cols:
+            mask &= ~(1 << (len(_KEYS) - 1 - _KEYS.index(c)))
+        names = F.when(gid == mask, F.lit(name)).otherwise(names)
+    agg = rows.groupingSets([tuple(c) for c in _SETS.values()], *_KEYS).agg(
+        F.count_if(F.col("v")).alias("valid"),
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(F.col("kind") == "token").alias("tokens"),
+        F.max("ts").alias("last_ts"),
+        F.sum(F.when(F.col("v"), F.col("_h"))).cast("long").alias("heterozygous"),
+        F.count(F.when(F.col("v"), F.col("_h"))).alias("het_n"),
+        F.min(F.when(F.col("kind") == "token", F.col("ts"))).alias("first_token_ts"),
+        names.alias("metric"))
+    m = F.col("metric")
+    keep = ((m == "batch_metrics")
+            | (m.isin("chromosome_counts", "gene_counts") & (F.col("valid") > 0))
+            | ((m == "position_counts") & (F.col("valid") > 0) & F.col("position").isNotNull())
+            | ((m == "het_counts") & (F.col("het_n") > 0))
+            | ((m == "orientation_counts") & (F.col("valid") > 0) & F.col("orientation").isNotNull())
+            | ((m == "family_tokens") & (F.col("tokens") > 0)))
+    return agg.filter(keep)
+
+
+# metric -> (key columns as stored -> output name, value columns -> merge)
 _SUMS = {
-    "batch_metrics": ([MEMBER], {"total_records": "sum", "messages": "sum", "tokens": "sum",
-                                 "last_ts": "max"}),
-    "chromosome_counts": ([MEMBER, "chromosome", "genotype"], {"count": "sum"}),
-    "position_counts": ([MEMBER, "chromosome", "position"], {"frequency": "sum"}),
-    "het_counts": ([MEMBER, "person_id"], {"heterozygous": "sum", "total_snps": "sum"}),
-    "gene_counts": ([MEMBER, "gene"], {"count": "sum"}),
-    "orientation_counts": ([MEMBER, "orientation"], {"count": "sum"}),
-    "family_tokens": (["family_id"], {"first_token_ts": "min"}),
+    "batch_metrics": ({MEMBER: MEMBER}, {"valid": ("sum", "total_records"), "messages": ("sum", "messages"),
+                                         "tokens": ("sum", "tokens"), "last_ts": ("max", "last_ts")}),
+    "chromosome_counts": ({MEMBER: MEMBER, "chromosome_b": "chromosome", "genotype_b": "genotype"},
+                          {"valid": ("sum", "count")}),
+    "position_counts": ({MEMBER: MEMBER, "chromosome": "chromosome", "position": "position"},
+                        {"valid": ("sum", "frequency")}),
+    "het_counts": ({MEMBER: MEMBER, "person_id": "person_id"},
+                   {"heterozygous": ("sum", "heterozygous"), "het_n": ("sum", "total_snps")}),
+    "gene_counts": ({MEMBER: MEMBER, "gene": "gene"}, {"valid": ("sum", "count")}),
+    "orientation_counts": ({MEMBER: MEMBER, "orientation": "orientation"}, {"valid": ("sum", "count")}),
+    "family_tokens": ({"family_id": "family_id"}, {"first_token_ts": ("min", "first_token_ts")}),
 }
 
 
 def metric_snapshot(spark: SparkSession, out: str, metric: str) -> DataFrame:
-    """Merged current value of a metric over every stored batch."""
-    keys, aggs = _SUMS[metric]
-    parts = spark.read.parquet(os.path.join(out, metric))
+    """Merged current value of a metric over every stored batch (the
+    ``metric`` partition filter prunes the other metrics' files)."""
+    keys, vals = _SUMS[metric]
+    parts = spark.read.parquet(os.path.join(out, "partials")).filter(F.col("metric") == metric)
     exprs = []
-    for c, how in aggs.items():
+    for c, (how, name) in vals.items():
         e = {"sum": F.sum, "max": F.max, "min": F.min}[how](c)
-        exprs.append((e.cast("long") if how == "sum" else e).alias(c))
-    return parts.groupBy(*keys).agg(*exprs, F.count_distinct("batch_id").alias("batches"))
+        exprs.append((e.cast("long") if how == "sum" else e).alias(name))
+    return (parts.groupBy(*[F.col(k).alias(v) for k, v in keys.items()])
+            .agg(*exprs, F.count_distinct("batch_id").alias("batches")))
 
 
 def _derived(spark: SparkSession, out: str) -> dict[str, DataFrame]:
@@ -122,10 +153,11 @@ def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str,
         if archive:
             (batch.withColumn("event_date", F.to_date("ts"))
              .withColumn("event_hour", F.hour("ts"))
-             .write.mode("overwrite").parquet(os.path.join(archive, f"batch_id={batch_id}")))
+             .write.mode("overwrite").partitionBy("event_date", "event_hour")
+             .parquet(os.path.join(archive, f"batch_id={batch_id}")))
         snps = batch.filter(F.col("kind") != "corrupt")
-        for name, df in _partials(snps).items():
-            df.write.mode("overwrite").parquet(os.path.join(out, name, f"batch_id={batch_id}"))
+        (_partials(snps).write.mode("overwrite").partitionBy("metric")
+         .parquet(os.path.join(out, "partials", f"batch_id={batch_id}")))
         if every and batch_id % every == 0:
             for name, df in _derived(spark, out).items():
                 # versioned by batch id: a replay rewrites the same version
