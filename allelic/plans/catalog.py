@@ -157,3 +157,13 @@ def q_person_key(spark, d):
 @query("variant_type", W() + "SELECT snp_id, 'SNP' AS variant_type FROM snps WHERE has_snp")
 def q_variant_type(spark, d):
     return load_snps(spark, d).filter("has_snp").select("snp_id", G.variant_type().alias("variant_type"))
+
+
+@query("encode_snp_json", W() + """SELECT snp_id, CAST(to_json(struct_pack(family_id := family_id,
+  member_type := member_type, person_id := person_id, gender := gender,
+  snp_data := CASE WHEN has_snp THEN struct_pack(chromosome := chromosome, position := position, genotype := genotype) END,
+  timestamp := strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'),
+  message_type := CASE WHEN NOT has_snp THEN 'FAMILY_COMPLETE' END)) AS VARCHAR) AS value FROM snps""")
+def q_encode(spark, d):
+    enc = C.encode_snp_json(C.to_message(nest_snp(load_snps(spark, d))), key_col="snp_id")
+    return enc.select(F.col("key").cast("long").alias("snp_id"), "value")

@@ -49,3 +49,15 @@ def test_read_genome_csv(spark):
     assert rows == [("i99", "X", None, "--", "father"), ("rs1", "1", 100, "AG", "father"),
                     ("rs3", "MT", 7, "CC", "father")]
     assert C.read_genome(spark, d, rsid_only=True).count() == 2
+
+
+def test_publish_messages_by_topic(spark, snps01):
+    from allelic.sources.fixture import nest_snp
+    d = tempfile.mkdtemp(prefix="allelic-pub-")
+    msgs = C.to_message(nest_snp(snps01)).join(snps01.select("snp_id", "has_snp"), "snp_id")
+    C.publish_messages(msgs, d, fmt="text", key_col="snp_id")
+    back = spark.read.text(d)
+    counts = {r.topic: r["count"] for r in back.groupBy("topic").count().collect()}
+    assert counts == {"fathers": 2004, "mothers": 1943, "children": 5949 + 104}
+    kinds = C.message_kind(C.parse_snp_json(back.filter(F.col("topic") == "children")))
+    assert kinds.filter(F.col("kind") == "token").count() == 104
