@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from allelic.operators.ranks import rank_index, values_at
 from allelic.operators.topk import top_k
 
 
@@ -124,38 +125,66 @@ def table_shape(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 # --- A32 --------------------------------------------------------------------------
-def boxplot_stats(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+def _quantile_targets(groups: DataFrame, keys: list[str], ps: Sequence[float], h_of) -> DataFrame:
+    """Rows (keys, p, f, which, idx): the two ranks around h = h_of(p, n)
+    and the interpolation fraction f, for every group and every p."""
+    t = groups.select(*keys, "n", F.explode(F.array(*[F.lit(float(p)) for p in ps])).alias("p"))
+    h = h_of(F.col("p"), F.col("n"))
+    j = F.least(F.greatest(F.floor(h), F.lit(0)), F.col("n") - 1).cast("long")
+    f = F.when((h <= 0) | (j >= F.col("n") - 1), F.lit(0.0)).otherwise(h - j)
+    t = t.select(*keys, "n", "p", j.alias("j"), f.alias("f"))
+    pair = F.array(F.struct(F.lit(0).alias("which"), F.col("j").alias("idx")),
+                   F.struct(F.lit(1).alias("which"), F.least(F.col("j") + 1, F.col("n") - 1).alias("idx")))
+    return t.select(*keys, "p", "f", F.explode(pair).alias("_t")).select(*keys, "p", "f", "_t.which", "_t.idx")
+
+
+def _interpolated(index: DataFrame, keys: list[str], ps: Sequence[float], h_of) -> DataFrame:
+    """(keys, p, value): linear interpolation between the ranks around
+    h_of(p, n) in each group's sorted values."""
+    groups = index.groupBy(*keys).agg(F.max("n").alias("n"))
+    hits = values_at(index, _quantile_targets(groups, keys, ps, h_of), keys)
+    res = hits.groupBy(*keys, "p", "f").agg(
+        F.max(F.when(F.col("which") == 0, F.col("value"))).alias("v0"),
+        F.max(F.when(F.col("which") == 1, F.col("value"))).alias("v1"))
+    v0, v1 = F.col("v0").cast("double"), F.col("v1").cast("double")
+    return res.select(*keys, "p", (v0 + F.col("f") * (v1 - v0)).alias("value"))
+
+
+def boxplot_stats(df: DataFrame, col: str, by: Sequence[str] = (), *,
+                  bin_width: float | None = None) -> DataFrame:
     """matplotlib's default box plot: quartiles with linear
-    interpolation, whiskers at the most extreme values inside 1.5 IQR of
-    the box, and the count of outliers beyond them."""
-    by = list(by)
-    x = F.col(col).cast("double")
-    src = df.filter(F.col(col).isNotNull()).select(*by, x.alias("_x"))
-    quart = F.percentile("_x", [0.25, 0.5, 0.75])
-    if by:
-        q = src.groupBy(*by).agg(quart.alias("_q"))
-    else:
-        q = None
-        qs = src.select(quart).scalar()      # scalar subquery, no join
-    def stats(qcol):
-        return [qcol[0].alias("q1"), qcol[1].alias("median"), qcol[2].alias("q3")]
-    if q is not None:
-        # one stats row per group: the join is planned by AQE from its real size
-        q = q.select(*by, *stats(F.col("_q")))
-        j = src.join(q, by, "inner")
+    interpolation at h = (n - 1) p (numpy's default), whiskers at the most
+    extreme values inside 1.5 IQR of the box, and the count of outliers.
+
+    Exact and distributed: ranks come from :func:`rank_index`, and the
+    whiskers are aggregated over distinct values, never over a whole group
+    held in one task.  ``bin_width`` (value units) sizes the rank index's
+    bins; by default the global range is cut into equal bins."""
+    keys = list(by)
+    idx = rank_index(df, col, keys, bin_width=bin_width)
+    q = _interpolated(idx, keys, (0.25, 0.5, 0.75), lambda p, n: (n - 1).cast("double") * p)
+    stats = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
+                                   for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    if keys:
+        # one stats row per group against the distinct-value index
+        st = stats.select(*[F.col(k).alias(f"_st_{i}") for i, k in enumerate(keys)], "q1", "median", "q3")
+        j = idx.join(st, [F.col(k).eqNullSafe(F.col(f"_st_{i}")) for i, k in enumerate(keys)], "inner")
     else:
-        j = src.select("_x", *stats(qs))
+        # a single group: its quartiles arrive as one scalar subquery
+        row = stats.select(F.struct("q1", "median", "q3")).scalar()
+        j = idx.select("*", row["q1"].alias("q1"), row["median"].alias("median"), row["q3"].alias("q3"))
     j = (j.withColumn("iqr", F.col("q3") - F.col("q1"))
          .withColumn("_lof", F.col("q1") - 1.5 * F.col("iqr"))
          .withColumn("_hif", F.col("q3") + 1.5 * F.col("iqr")))
-    inside = (F.col("_x") >= F.col("_lof")) & (F.col("_x") <= F.col("_hif"))
-    agg = j.groupBy(*by, "q1", "median", "q3", "iqr").agg(
-        F.min(F.when(inside, F.col("_x"))).alias("whisker_lo"),
-        F.max(F.when(inside, F.col("_x"))).alias("whisker_hi"),
-        F.count_if(~inside).alias("outliers"),
-        F.count(F.lit(1)).alias("n"))
-    return agg.select(*by, *[F.round(c, 4).alias(c) for c in
-                             ("q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi")],
+    x = F.col("value").cast("double")
+    inside = (x >= F.col("_lof")) & (x <= F.col("_hif"))
+    agg = j.groupBy(*keys, "q1", "median", "q3", "iqr").agg(
+        F.min(F.when(inside, x)).alias("whisker_lo"),
+        F.max(F.when(inside, x)).alias("whisker_hi"),
+        F.coalesce(F.sum(F.when(~inside, F.col("n_at"))), F.lit(0)).cast("long").alias("outliers"),
+        F.sum("n_at").cast("long").alias("n"))
+    return agg.select(*keys, *[F.round(c, 4).alias(c) for c in
+                               ("q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi")],
                       "outliers", "n")
 
 
@@ -166,22 +195,16 @@ def distinct_positions(df: DataFrame) -> DataFrame:
 
 
 # --- W12 / W13 --------------------------------------------------------------------
-def _position_index(df: DataFrame, by: list[str]) -> DataFrame:
-    """Distinct positions per (by, chromosome) with the 0-based index range
-    [first_idx, last_idx] they occupy in the sorted position list.
+POSITION_BIN = 1_000_000
 
-    Duplicates are collapsed by a hash aggregate first, so the window runs
-    over distinct positions only (bounded by chromosome length), never over
-    raw rows of a hot chromosome.
-    """
-    v = _genomes(df).filter(F.col("chromosome").isNotNull() & F.col("position").isNotNull())
-    keys = by + ["chromosome"]
-    d = v.groupBy(*keys, "position").agg(F.count(F.lit(1)).alias("n_at"))
-    w = Window.partitionBy(*keys).orderBy("position")
-    before = F.coalesce(F.sum("n_at").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum("n_at").over(Window.partitionBy(*keys))
-    return d.select(*keys, "position", "n_at", before.cast("long").alias("first_idx"),
-                    total.cast("long").alias("n"))
+
+def _position_index(df: DataFrame, by: list[str]) -> DataFrame:
+    """Distinct positions per (by, chromosome) with the index range they
+    occupy in the sorted position list (see :func:`rank_index`: windows run
+    per 1 Mb bin, never over a whole chromosome)."""
+    v = _genomes(df).filter(F.col("chromosome").isNotNull())
+    idx = rank_index(v, "position", by + ["chromosome"], bin_width=POSITION_BIN)
+    return idx.withColumnRenamed("value", "position")
 
 
 def position_ecdf(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -199,28 +222,7 @@ def position_quantile(df: DataFrame, quantiles: Sequence[float], by: Sequence[st
     (i/n, pos_i), the first position for u <= 0 and the last beyond
     (n-1)/n.  With j = floor(u n) and f = u n - j the value is
     pos_j + f (pos_{j+1} - pos_j)."""
-    by = list(by)
-    keys = by + ["chromosome"]
-    idx = _position_index(df, by).withColumn("last_idx", F.col("first_idx") + F.col("n_at") - 1)
-    groups = idx.select(*keys, "n").distinct()
-    us = F.array(*[F.lit(float(u)) for u in quantiles])
-    t = groups.select(*keys, "n", F.explode(us).alias("u"))
-    un = F.col("u") * F.col("n")
-    j = F.floor(un).cast("long")
-    t = t.select(*keys, "n", "u",
-                 F.when(F.col("u") <= 0, F.lit(0)).otherwise(F.least(j, F.col("n") - 1)).alias("j"),
-                 F.when((F.col("u") <= 0) | (j >= F.col("n") - 1), F.lit(0.0))
-                 .otherwise(un - j).alias("f"))
-    t = t.select(*keys, "u", "f", F.explode(F.array(
-        F.struct(F.lit(0).alias("which"), F.col("j").alias("idx")),
-        F.struct(F.lit(1).alias("which"), F.least(F.col("j") + 1, F.col("n") - 1).alias("idx"))))
-        .alias("_t")).select(*keys, "u", "f", "_t.which", "_t.idx")
-    # targets: groups x quantiles x 2 rows; AQE picks the join from real sizes
-    hit = t.join(idx.select(*keys, "position", "first_idx", "last_idx"),
-                 [t[k].eqNullSafe(idx[k]) for k in keys]
-                 + [t.idx >= idx.first_idx, t.idx <= idx.last_idx], "inner")
-    res = hit.groupBy(*[t[k] for k in keys], t.u, t.f).agg(
-        F.max(F.when(F.col("which") == 0, F.col("position"))).alias("p0"),
-        F.max(F.when(F.col("which") == 1, F.col("position"))).alias("p1"))
-    return res.select(*keys, "u", F.round(F.col("p0") + F.col("f") * (F.col("p1") - F.col("p0")), 4)
-                      .alias("position"))
+    keys = list(by) + ["chromosome"]
+    idx = _position_index(df, list(by)).withColumnRenamed("position", "value")
+    res = _interpolated(idx, keys, quantiles, lambda p, n: p * n.cast("double"))
+    return res.select(*keys, F.col("p").alias("u"), F.round("value", 4).alias("position"))

@@ -634,7 +634,7 @@ def q_shape(spark, d):
   round(min(x) FILTER (WHERE x >= lof AND x <= hif), 4) AS whisker_lo, round(max(x) FILTER (WHERE x >= lof AND x <= hif), 4) AS whisker_hi,
   count(*) FILTER (WHERE NOT (x >= lof AND x <= hif)) AS outliers, count(*) AS n FROM j GROUP BY member_type, q1, median, q3, iqr""")
 def q_box(spark, d):
-    return P.boxplot_stats(load_snps(spark, d), "position", by=["member_type"])
+    return P.boxplot_stats(load_snps(spark, d), "position", by=["member_type"], bin_width=P.POSITION_BIN)
 
 
 @query("value_counts_by_genome", W() + "SELECT member_type, genotype, count(*) AS count FROM snps WHERE has_snp GROUP BY ALL")
