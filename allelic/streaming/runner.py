@@ -14,7 +14,10 @@ One ``foreachBatch`` query per message stream.  Per micro-batch it
    skipped batches are not lost: their partials are already stored.
 
 ``metric_snapshot`` reads one metric's partials (partition-pruned) and
-merges all batches with one hash aggregation.
+merges all batches with one hash aggregation.  Every ``compact_every``
+batches the partials are merged into ``base/version=N``; readers take the
+latest base plus the partials of later batches only, so the read cost does
+not grow with the age of the stream.
 """
 
 from __future__ import annotations
@@ -117,17 +120,52 @@ _SUMS = {
 }
 
 
+_VALUE_MERGE = {"valid": "sum", "messages": "sum", "tokens": "sum", "last_ts": "max",
+                "heterozygous": "sum", "het_n": "sum", "first_token_ts": "min"}
+
+
+def _merge(col: str, how: str):
+    e = {"sum": F.sum, "max": F.max, "min": F.min}[how](col)
+    return (e.cast("long") if how == "sum" else e).alias(col)
+
+
+def _partial_rows(spark: SparkSession, out: str, upto: int | None = None) -> DataFrame:
+    """Partials of every batch (up to ``upto``): the latest compacted base
+    (below ``upto``) plus the per-batch partials written after it; older
+    batch folders are pruned by ``batch_id``."""
+    from allelic.streaming.stateful import latest_version
+    base_dir = os.path.join(out, "base")
+    v = latest_version(spark, base_dir, before=upto)
+    parts = spark.read.parquet(os.path.join(out, "partials"))
+    if upto is not None:
+        parts = parts.filter(F.col("batch_id") <= upto)
+    if v is None:
+        return parts
+    base = spark.read.parquet(os.path.join(base_dir, f"version={v}")).withColumn("batch_id", F.lit(v))
+    return parts.filter(F.col("batch_id") > v).unionByName(base, allowMissingColumns=True)
+
+
+def compact(spark: SparkSession, out: str, batch_id: int) -> None:
+    """Merge all partials up to ``batch_id`` into ``base/version=batch_id``
+    (one aggregation over every metric), starting from the newest base
+    strictly below it.  Re-running it for the same batch rewrites the same
+    version from the same inputs, so compaction is replay-safe too."""
+    rows = _partial_rows(spark, out, upto=batch_id)
+    merged = rows.groupBy("metric", *_KEYS).agg(*[_merge(c, h) for c, h in _VALUE_MERGE.items()])
+    (merged.write.mode("overwrite").partitionBy("metric")
+     .parquet(os.path.join(out, "base", f"version={batch_id}")))
+
+
 def metric_snapshot(spark: SparkSession, out: str, metric: str) -> DataFrame:
     """Merged current value of a metric over every stored batch (the
     ``metric`` partition filter prunes the other metrics' files)."""
     keys, vals = _SUMS[metric]
-    parts = spark.read.parquet(os.path.join(out, "partials")).filter(F.col("metric") == metric)
+    parts = _partial_rows(spark, out).filter(F.col("metric") == metric)
     exprs = []
     for c, (how, name) in vals.items():
         e = {"sum": F.sum, "max": F.max, "min": F.min}[how](c)
         exprs.append((e.cast("long") if how == "sum" else e).alias(name))
-    return (parts.groupBy(*[F.col(k).alias(v) for k, v in keys.items()])
-            .agg(*exprs, F.count_distinct("batch_id").alias("batches")))
+    return parts.groupBy(*[F.col(k).alias(v) for k, v in keys.items()]).agg(*exprs)
 
 
 def _derived(spark: SparkSession, out: str) -> dict[str, DataFrame]:
@@ -147,7 +185,7 @@ def _derived(spark: SparkSession, out: str) -> dict[str, DataFrame]:
 
 
 def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str,
-                 archive: str | None, every: int) -> None:
+                 archive: str | None, every: int, compact_every: int = 0) -> None:
     batch.persist()
     try:
         if archive:
@@ -158,6 +196,8 @@ def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str,
         snps = batch.filter(F.col("kind") != "corrupt")
         (_partials(snps).write.mode("overwrite").partitionBy("metric")
          .parquet(os.path.join(out, "partials", f"batch_id={batch_id}")))
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            compact(spark, out, batch_id)
         if every and batch_id % every == 0:
             for name, df in _derived(spark, out).items():
                 # versioned by batch id: a replay rewrites the same version
@@ -168,7 +208,7 @@ def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str,
 
 
 def run_metrics(spark: SparkSession, source: str, out: str, checkpoint: str, *,
-                fmt: str = "kafka", topics: str | None = None, every: int = 5,
+                fmt: str = "kafka", topics: str | None = None, every: int = 5, compact_every: int = 100,
                 archive: str | None = None, max_per_trigger: int | None = None,
                 available_now: bool = False, trigger_seconds: int = 1) -> StreamingQuery:
     """Start the per-batch metric query (1 s trigger, or
@@ -176,7 +216,7 @@ def run_metrics(spark: SparkSession, source: str, out: str, checkpoint: str, *,
     raw = C.read_snp_stream(spark, source, fmt, topics=topics, max_per_trigger=max_per_trigger)
     snps = messages_to_snps(raw)
     w = (snps.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, i: _write_batch(spark, b, i, out, archive, every)))
+         .foreachBatch(lambda b, i: _write_batch(spark, b, i, out, archive, every, compact_every)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_seconds} seconds")
     return w.start()
 

@@ -105,3 +105,12 @@ def test_local_segments_equal_distributed_segments(spark):
         dist = sorted(tuple(r) for r in disjoint_segments(gene_table(spark, strict))
                       .select("chromosome", "lo", "hi", "gene").collect())
         assert dist == sorted(local_segments(gene_rows(strict)))
+
+
+def test_apply_record_defaults(spark):
+    from allelic.operators.genes import apply_record_defaults
+    df = spark.createDataFrame([(None, None, None, None, None, None), ("SNP", "BRCA1", "AG", "17", 5, 99)],
+                               "variant_type string, gene string, genotype string, chromosome string, "
+                               "position int, quality int")
+    rows = [tuple(r) for r in apply_record_defaults(df).collect()]
+    assert rows == [("SNP", "Unknown", "Unknown", "0", 0, 0), ("SNP", "BRCA1", "AG", "17", 5, 99)]

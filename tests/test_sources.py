@@ -61,3 +61,8 @@ def test_publish_messages_by_topic(spark, snps01):
     assert counts == {"fathers": 2004, "mothers": 1943, "children": 5949 + 104}
     kinds = C.message_kind(C.parse_snp_json(back.filter(F.col("topic") == "children")))
     assert kinds.filter(F.col("kind") == "token").count() == 104
+
+
+def test_stamp_ingest_time_is_constant_per_query(spark):
+    df = C.stamp_ingest_time(spark.range(1000))
+    assert df.select("processed_at").distinct().count() == 1
