@@ -48,8 +48,15 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Declared schema of the driver's ``events`` table: an explicit schema skips
+# footer-based schema inference at planning time.
+EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+                 "value DOUBLE, props STRING")
+
+
 def load_snps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snps_from_events(load_table(spark, sf_dir, "events"))
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    return snps_from_events(events)
 
 
 def hour_batch(df: DataFrame) -> DataFrame:
