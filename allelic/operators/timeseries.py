@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from allelic.functions.genotype import trend_direction
 from allelic.operators.metrics import epoch_us
+from allelic.operators.ranks import rank_index
 from allelic.operators.topk import top_k
 
 US = 1_000_000
@@ -153,24 +154,47 @@ def last_n(df: DataFrame, n: int, order: str, *, by: Sequence[str] = ()) -> Data
     return top_k(df, [F.desc(order)], n, by=list(by) or None)
 
 
-def sequence(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """0-based sequence number per group in ``order``."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("seq", F.row_number().over(w) - 1)
-
-
-def downsample(df: DataFrame, limit: int, order: Sequence[str], *, by: Sequence[str] = ()) -> DataFrame:
+def _numeric_order(df: DataFrame, col: str):
+    """A numeric sort key for ``col`` (timestamps as epoch microseconds)."""
+    t = dict(df.dtypes)[col]
+    if t.startswith("timestamp"):
+        return epoch_us(col)
+    if t == "date":
+        return F.unix_date(F.col(col)).cast("long")
+    return F.col(col)
+
+
+def _with_rank(df: DataFrame, by: Sequence[str], order: str, bin_width: float | None) -> DataFrame:
+    """``df`` + ``_i`` (0-based position of the row's ``order`` value in its
+    group; equal values share the first position) and ``_n`` (group size).
+    Positions come from the binned rank index: no task numbers a whole
+    group, however long its history."""
+    keys = list(by)
+    src = df.withColumn("_ord", _numeric_order(df, order))
+    idx = rank_index(src, "_ord", keys, bin_width=bin_width)
+    ix = idx.select(*[F.col(k).alias(f"_ix_{i}") for i, k in enumerate(keys)],
+                    F.col("value").alias("_ix_v"), F.col("first_idx").alias("_i"), F.col("n").alias("_n"))
+    cond = [F.col(k).eqNullSafe(F.col(f"_ix_{i}")) for i, k in enumerate(keys)] + [F.col("_ord") == F.col("_ix_v")]
+    return src.join(ix, cond, "inner").select(*df.columns, "_i", "_n")
+
+
+def sequence(df: DataFrame, by: Sequence[str], order: str | Sequence[str], *,
+             bin_width: float | None = None) -> DataFrame:
+    """0-based sequence number per group in ``order`` (one column; rows
+    with equal order values share the number of the first)."""
+    order = order if isinstance(order, str) else order[0]
+    return _with_rank(df, by, order, bin_width).withColumnRenamed("_i", "seq").drop("_n")
+
+
+def downsample(df: DataFrame, limit: int, order: str | Sequence[str], *, by: Sequence[str] = (),
+               bin_width: float | None = None) -> DataFrame:
     """When a group has more than ``limit`` rows keep every
     ``ceil(n/limit)``-th row (from the first), then the last ``limit``."""
-    part = Window.partitionBy(*by) if by else Window.partitionBy()
-    w = part.orderBy(*order)
+    order = order if isinstance(order, str) else order[0]
+    r = _with_rank(df, by, order, bin_width)
     step = F.greatest(F.ceil(F.col("_n") / F.lit(limit)), F.lit(1))
-    kept = (df.withColumn("_i", F.row_number().over(w) - 1)
-            .withColumn("_n", F.count(F.lit(1)).over(part))
-            .filter((F.col("_n") <= limit) | ((F.col("_i") % step) == 0)))
-    desc = part.orderBy(*[F.desc(o) for o in order])
-    return (kept.withColumn("_r", F.row_number().over(desc)).filter(F.col("_r") <= limit)
-            .drop("_i", "_n", "_r"))
+    kept = r.filter((F.col("_n") <= limit) | ((F.col("_i") % step) == 0)).drop("_i", "_n")
+    return top_k(kept, [F.desc(order)], limit, by=list(by) or None)
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str | None = None) -> DataFrame:

@@ -187,7 +187,7 @@ def q_proc_hist(spark, d):
 @query("task_time_series", W() + f"""SELECT *, row_number() OVER (PARTITION BY member_type ORDER BY batch) - 1 AS seq
   FROM ({_BATCHES})""")
 def q_task_series(spark, d):
-    return TS.sequence(_batches(spark, d), ["member_type"], ["batch"]).withColumn("seq", F.col("seq").cast("long"))
+    return TS.sequence(_batches(spark, d), ["member_type"], "batch")
 
 
 @query("downsample_last_n", W() + f""", b AS (SELECT *, row_number() OVER (PARTITION BY member_type ORDER BY batch) - 1 AS i,
@@ -195,7 +195,7 @@ def q_task_series(spark, d):
   k AS (SELECT * EXCLUDE (i, n) FROM b WHERE n <= 100 OR i % greatest(CAST(ceil(n / 100.0) AS BIGINT), 1) = 0)
   SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY member_type ORDER BY batch DESC) <= 100""")
 def q_downsample(spark, d):
-    return TS.downsample(_batches(spark, d), 100, ["batch"], by=["member_type"])
+    return TS.downsample(_batches(spark, d), 100, "batch", by=["member_type"])
 
 
 @query("metric_snapshot", W() + f"""SELECT member_type, arg_max_null(batch, batch) AS batch, arg_max_null(total_records, batch) AS total_records,

@@ -129,8 +129,22 @@ def test_window_counts_mean_time(spark):
 
 def test_downsample(spark):
     df = spark.createDataFrame([(i,) for i in range(25)], "i int")
-    got = [r.i for r in TS.downsample(df, 10, ["i"]).orderBy("i").collect()]
+    got = [r.i for r in TS.downsample(df, 10, "i").orderBy("i").collect()]
     # step = ceil(25/10) = 3 -> 0,3,...,24 (9 rows) -> last 10 = all of them
     assert got == list(range(0, 25, 3))
-    got = [r.i for r in TS.downsample(df, 5, ["i"]).orderBy("i").collect()]
+    got = [r.i for r in TS.downsample(df, 5, "i").orderBy("i").collect()]
     assert got == [0, 5, 10, 15, 20]  # step 5 -> five rows, all within the last 5
+
+
+def test_sequence_matches_row_number(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.choice("ab"), i * 7 + rnd.randint(0, 3), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, t long, i int")
+    got = {(r.g, r.t): r.seq for r in TS.sequence(df, ["g"], "t", bin_width=50).collect()}
+    for g in "ab":
+        ts = sorted(t for gg, t, _ in rows if gg == g)
+        assert [got[(g, t)] for t in ts] == list(range(len(ts)))
+    big = spark.createDataFrame([(i,) for i in range(1000)], "i int")
+    got = [r.i for r in TS.downsample(big, 30, "i").orderBy("i").collect()]
+    ref = [i for i in range(1000) if i % 34 == 0][-30:]
+    assert got == ref
