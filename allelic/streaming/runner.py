@@ -23,6 +23,7 @@ not grow with the age of the stream.
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,6 +187,7 @@ def _derived(spark: SparkSession, out: str) -> dict[str, DataFrame]:
 
 def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str,
                  archive: str | None, every: int, compact_every: int = 0) -> None:
+    started = time.time()
     batch.persist()
     try:
         if archive:
@@ -203,6 +205,13 @@ def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str,
                 # versioned by batch id: a replay rewrites the same version
                 df.write.mode("overwrite").parquet(
                     os.path.join(out, "snapshots", name, f"version={batch_id}"))
+        # One row per batch with its processing time (the metric work
+        # above, as the reference measured it), replay-safe like the partials
+        ms = (time.time() - started) * 1000.0
+        (spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"),
+                               F.lit(round(ms, 3)).alias("processing_ms"),
+                               F.current_timestamp().alias("finished_at"))
+         .write.mode("overwrite").parquet(os.path.join(out, "batch_log", f"batch_id={batch_id}")))
     finally:
         batch.unpersist()
 

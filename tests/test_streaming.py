@@ -51,6 +51,9 @@ def test_foreach_batch_parity_with_batch(spark, msg_dir):
     got = {r.member_type: (r.heterozygous, r.total_snps) for r in pop.filter(F.col("version") == latest).collect()}
     ref = {r.member_type: (r.heterozygous, r.total_snps) for r in M.population_heterozygosity(batch).collect()}
     assert got == ref or latest < 4  # snapshots refresh every 2nd batch
+    log = spark.read.parquet(os.path.join(out, "batch_log"))
+    assert log.count() == spark.read.parquet(os.path.join(out, "partials")).select("batch_id").distinct().count()
+    assert log.filter("processing_ms > 0").count() == log.count()
     # archive holds every message once
     assert spark.read.parquet(os.path.join(root, "archive")).count() == 1000
 
