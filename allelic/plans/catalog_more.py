@@ -658,7 +658,7 @@ def q_ecdf(spark, d):
     return P.position_ecdf(load_snps(spark, d))
 
 
-_QLIST = ", ".join(str(float(u)) for u in QUANTILES)
+_QLIST = ", ".join(f"CAST({float(u)} AS DOUBLE)" for u in QUANTILES)
 
 
 @query("position_quantile", W(_POSIDX) + f""", t AS (SELECT chromosome, n, u,
