@@ -159,3 +159,18 @@ def test_compaction_keeps_totals(spark, msg_dir):
     R.compact(spark, out, 2)  # replayed compaction of an old version changes nothing
     got2 = R.metric_snapshot(spark, out, "gene_counts").groupBy("gene").agg(F.sum("count").alias("count"))
     assert got2.exceptAll(ref).count() == 0
+
+
+def test_archive_partitioned_by_event_time(spark, msg_dir):
+    root = tempfile.mkdtemp(prefix="allelic-arch-")
+    raw = C.read_snp_stream(spark, msg_dir, "text", max_per_trigger=2)
+    q = R.archive(R.messages_to_snps(raw), os.path.join(root, "a"), os.path.join(root, "ck"),
+                  partition_by=("event_date", "event_hour"), available_now=True)
+    q.awaitTermination()
+    back = spark.read.parquet(os.path.join(root, "a"))
+    assert back.count() == 1000
+    day = back.filter(F.col("event_date") == "2024-01-02")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    ref = load_snps(spark, SF).filter(F.to_date("ts") == "2024-01-02").count()
+    assert day.count() == ref
