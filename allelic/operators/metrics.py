@@ -253,14 +253,16 @@ def orientation_percentages(df: DataFrame, style: str = "letters", col: str | No
 
 
 def gene_diversity(df: DataFrame, style: str = "vcf", col: str | None = None,
-                   strict_types: bool = False) -> DataFrame:
+                   strict_types: bool = False, approximate: bool = False) -> DataFrame:
     """One row: distinct genes / (classified genotypes + 1), 4 dp, 0 when
     nothing is classified (dashboard formula), and distinct genes / all
-    variants (README formula)."""
+    variants (README formula).  ``approximate`` counts genes with
+    HyperLogLog++ (``approx_count_distinct``) instead of exactly."""
     v = _valid(df)
     ann = annotate_gene(v.select("chromosome", "position", orientation(style, col).alias("_o")),
                         strict_types=strict_types)
-    a = ann.agg(F.count_distinct("gene").alias("distinct_genes"),
+    n_genes = F.approx_count_distinct("gene") if approximate else F.count_distinct("gene")
+    a = ann.agg(n_genes.alias("distinct_genes"),
                 F.count(F.col("_o")).alias("total_genotypes"),
                 F.count(F.lit(1)).alias("total_variants"))
     return a.select(

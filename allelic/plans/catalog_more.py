@@ -434,6 +434,16 @@ def q_zscore(spark, d):
     return TS.zscore_anomaly(wc, "valid_records", "window_start", by=["member_type"], k=3.0, history=50)
 
 
+@query("zscore_anomaly_readme", W(_WC_HOUR) + """SELECT window_start,
+  member_type, valid_records, round(avg(valid_records) OVER w, 6) AS hist_mean, round(stddev_samp(valid_records) OVER w, 6) AS hist_std,
+  coalesce(abs(valid_records - avg(valid_records) OVER w) > 2.5 * stddev_samp(valid_records) OVER w, false) AS is_anomaly
+  FROM wc WINDOW w AS (PARTITION BY member_type ORDER BY window_start ROWS BETWEEN 50 PRECEDING AND 1 PRECEDING)""")
+def q_zscore_readme(spark, d):
+    """W6 with the README's 2.5 sigma threshold (the report uses 3)."""
+    wc = M.window_counts(load_snps(spark, d), "1 hour").select("window_start", "member_type", "valid_records")
+    return TS.zscore_anomaly(wc, "valid_records", "window_start", by=["member_type"], k=2.5, history=50)
+
+
 @query("diversity_history", W() + f"""SELECT * FROM ({_pop_sql('member_type, window_start',
     src=f"(SELECT *, {S.window_start(24 * HOUR_US)} AS window_start FROM snps)")})
   QUALIFY row_number() OVER (PARTITION BY member_type ORDER BY window_start DESC) <= 100""")

@@ -148,3 +148,10 @@ def test_sequence_matches_row_number(spark):
     got = [r.i for r in TS.downsample(big, 30, "i").orderBy("i").collect()]
     ref = [i for i in range(1000) if i % 34 == 0][-30:]
     assert got == ref
+
+
+def test_gene_diversity_approximate_close(snps01):
+    exact = M.gene_diversity(snps01).first()
+    approx = M.gene_diversity(snps01, approximate=True).first()
+    assert exact.distinct_genes == 45
+    assert abs(approx.distinct_genes - exact.distinct_genes) <= 3
