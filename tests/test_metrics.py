@@ -155,3 +155,10 @@ def test_gene_diversity_approximate_close(snps01):
     approx = M.gene_diversity(snps01, approximate=True).first()
     assert exact.distinct_genes == 45
     assert abs(approx.distinct_genes - exact.distinct_genes) <= 3
+
+
+def test_flagship_plan_prunes_and_shuffles_once(snps01):
+    plan = M.population_heterozygosity(snps01)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<event_id:bigint,user_id:bigint,value:double>" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "partial_sum" in plan and "partial_count" in plan
