@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from allelic.operators.ranks import rank_index, values_at
+from allelic.operators.ranks import rank_index
 from allelic.operators.topk import top_k
 
 
@@ -125,27 +125,26 @@ def table_shape(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 # --- A32 --------------------------------------------------------------------------
-def _quantile_targets(groups: DataFrame, keys: list[str], ps: Sequence[float], h_of) -> DataFrame:
-    """Rows (keys, p, f, which, idx): the two ranks around h = h_of(p, n)
-    and the interpolation fraction f, for every group and every p."""
-    t = groups.select(*keys, "n", F.explode(F.array(*[F.lit(float(p)) for p in ps])).alias("p"))
-    h = h_of(F.col("p"), F.col("n"))
-    j = F.least(F.greatest(F.floor(h), F.lit(0)), F.col("n") - 1).cast("long")
-    f = F.when((h <= 0) | (j >= F.col("n") - 1), F.lit(0.0)).otherwise(h - j)
-    t = t.select(*keys, "n", "p", j.alias("j"), f.alias("f"))
-    pair = F.array(F.struct(F.lit(0).alias("which"), F.col("j").alias("idx")),
-                   F.struct(F.lit(1).alias("which"), F.least(F.col("j") + 1, F.col("n") - 1).alias("idx")))
-    return t.select(*keys, "p", "f", F.explode(pair).alias("_t")).select(*keys, "p", "f", "_t.which", "_t.idx")
-
-
 def _interpolated(index: DataFrame, keys: list[str], ps: Sequence[float], h_of) -> DataFrame:
     """(keys, p, value): linear interpolation between the ranks around
-    h_of(p, n) in each group's sorted values."""
-    groups = index.groupBy(*keys).agg(F.max("n").alias("n"))
-    hits = values_at(index, _quantile_targets(groups, keys, ps, h_of), keys)
-    res = hits.groupBy(*keys, "p", "f").agg(
-        F.max(F.when(F.col("which") == 0, F.col("value"))).alias("v0"),
-        F.max(F.when(F.col("which") == 1, F.col("value"))).alias("v1"))
+    h = h_of(p, n) in each group's sorted values.
+
+    Every index row carries its group size ``n``, so it can test itself
+    against the two target ranks of each p: one projection over the index
+    (exploded by the short p list) and one small aggregation, no join."""
+    x = index.select(*keys, "value", "first_idx", "last_idx", "n",
+                     F.explode(F.array(*[F.lit(float(p)) for p in ps])).alias("p"))
+    n = F.col("n")
+    h = h_of(F.col("p"), n)
+    j = F.least(F.greatest(F.floor(h), F.lit(0)), n - 1).cast("long")
+    j1 = F.least(j + 1, n - 1)
+    f = F.when((h <= 0) | (j >= n - 1), F.lit(0.0)).otherwise(h - j)
+    lo, hi = F.col("first_idx"), F.col("last_idx")
+    hit0 = (j >= lo) & (j <= hi)
+    hit1 = (j1 >= lo) & (j1 <= hi)
+    x = x.filter(hit0 | hit1).select(*keys, "p", f.alias("f"), F.when(hit0, F.col("value")).alias("v0"),
+                                     F.when(hit1, F.col("value")).alias("v1"))
+    res = x.groupBy(*keys, "p").agg(F.max("f").alias("f"), F.max("v0").alias("v0"), F.max("v1").alias("v1"))
     v0, v1 = F.col("v0").cast("double"), F.col("v1").cast("double")
     return res.select(*keys, "p", (v0 + F.col("f") * (v1 - v0)).alias("value"))
 

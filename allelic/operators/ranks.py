@@ -66,17 +66,3 @@ def rank_index(df: DataFrame, col: str, by: Sequence[str] = (), *,
                     (first + F.col("n_at") - 1).cast("long").alias("last_idx"),
                     F.col("n").cast("long").alias("n"))
 
-
-def values_at(index: DataFrame, targets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Look up the value at 0-based rank ``idx`` for every target row
-    (by..., idx, plus any payload columns): an equi-join on the group with
-    the rank range as residual condition, returning the targets + ``value``.
-    The targets are few per group; AQE broadcasts them from their size."""
-    keys = list(by)
-    ix = index.select(*[F.col(k).alias(f"_ix_{i}") for i, k in enumerate(keys)],
-                      F.col("value").alias("_ix_value"), F.col("first_idx").alias("_ix_lo"),
-                      F.col("last_idx").alias("_ix_hi"))
-    cond = [F.col(k).eqNullSafe(F.col(f"_ix_{i}")) for i, k in enumerate(keys)]
-    cond += [F.col("idx") >= F.col("_ix_lo"), F.col("idx") <= F.col("_ix_hi")]
-    cols = targets.columns
-    return targets.join(ix, cond, "inner").select(*cols, F.col("_ix_value").alias("value"))
