@@ -27,9 +27,17 @@ def value_profile(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     by = list(by)
     counts = (_genomes(df).filter(F.col(col).isNotNull())
               .groupBy(*by, F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("count")))
-    w = Window.partitionBy(*by) if by else Window.partitionBy()
-    total = F.sum("count").over(w)
-    return counts.withColumn("share", F.round(F.col("count").cast("double") / total, 6))
+    # group totals without a window over all distinct values of a group:
+    # a scalar subquery (one group) or a per-group total joined back
+    if not by:
+        total = counts.select(F.sum("count")).scalar()
+        out = counts.withColumn("_total", total)
+    else:
+        tot = counts.groupBy(*by).agg(F.sum("count").alias("_total"))
+        tot = tot.select(*[F.col(k).alias(f"_t_{i}") for i, k in enumerate(by)], "_total")
+        out = counts.join(tot, [F.col(k).eqNullSafe(F.col(f"_t_{i}")) for i, k in enumerate(by)], "inner")
+    return out.select(*by, "value", "count",
+                      F.round(F.col("count").cast("double") / F.col("_total").cast("double"), 6).alias("share"))
 
 
 def value_counts_by(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
