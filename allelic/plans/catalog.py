@@ -15,12 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from allelic.functions import genotype as G
-from allelic.operators import family as FAM
 from allelic.operators import genes as GEN
-from allelic.operators import metrics as M
-from allelic.operators import profile as P
-from allelic.operators import timeseries as TS
-from allelic.operators import topk as TK
 from allelic.plans import sqlparts as S
 from allelic.sources import codec as C
 from allelic.sources.fixture import nest_snp, snps_from_events

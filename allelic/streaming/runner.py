@@ -40,8 +40,9 @@ MEMBER = "member_type"
 
 def messages_to_snps(raw: DataFrame) -> DataFrame:
     """Raw ``value`` messages -> the flattened SNP view (event time as a
-    UTC TIMESTAMP so it can carry a watermark), plus ``kind``."""
-    parsed = C.message_kind(C.parse_snp_json(raw))
+    UTC TIMESTAMP so it can carry a watermark), plus ``kind`` and the
+    micro-batch's ``processed_at`` (S4)."""
+    parsed = C.stamp_ingest_time(C.message_kind(C.parse_snp_json(raw)))
     flat = C.flatten_snp(parsed)
     key = F.col("key") if "key" in raw.columns else F.lit(None)
     return flat.select(
@@ -51,7 +52,7 @@ def messages_to_snps(raw: DataFrame) -> DataFrame:
         (F.col("kind") == "snp").alias("has_snp"),
         "chromosome", "position", "genotype",
         F.lit(None).cast("string").alias("gt_num"),
-        "kind", "_corrupt_record")
+        "kind", "_corrupt_record", "processed_at")
 
 
 # --- additive per-batch partials: one grouping-sets aggregation ----------------

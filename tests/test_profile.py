@@ -2,7 +2,6 @@
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from allelic.operators import profile as P
 
