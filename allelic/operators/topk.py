@@ -44,7 +44,10 @@ def top_k(df: DataFrame, order: Sequence[Column | str], k: int, *,
             top = top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
         return top
     by = list(by)
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in by]), F.lit(salt_buckets))
+    # salt from the row's own values (deterministic under task retries);
+    # map columns cannot be hashed and are left out
+    hashable = [c for c, t in df.dtypes if c not in by and not t.startswith("map")]
+    salt = F.pmod(F.xxhash64(*hashable), F.lit(salt_buckets)) if hashable else F.lit(0)
     stage1 = (df.withColumn("_salt", salt)
               .withColumn("_r1", F.row_number().over(Window.partitionBy(*by, "_salt").orderBy(*order)))
               .filter(F.col("_r1") <= k).drop("_salt", "_r1"))

@@ -162,3 +162,9 @@ def test_flagship_plan_prunes_and_shuffles_once(snps01):
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,value:double>" in plan
     assert plan.count("Exchange hashpartitioning") == 1
     assert "partial_sum" in plan and "partial_count" in plan
+
+
+def test_top_k_with_map_column(spark):
+    df = spark.createDataFrame([("a", i, {"k": i}) for i in range(20)], "g string, v int, m map<string,int>")
+    got = [r.v for r in top_k(df, [F.desc("v")], 3, by=["g"]).orderBy(F.desc("v")).collect()]
+    assert got == [19, 18, 17]
