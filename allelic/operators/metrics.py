@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelic.functions.genotype import (
-    bucket, classify_genotype, genotype_orientation, is_het, normalize_chromosome, pct, ratio,
+    bucket, classify_genotype, default_genotype, genotype_orientation, is_het, normalize_chromosome, pct, ratio,
 )
 from allelic.operators.genes import annotate_gene
 
@@ -36,15 +36,33 @@ def epoch_us(ts: str | Column = "ts") -> Column:
 
 
 # --- A1 ---------------------------------------------------------------------
-def batch_metrics(df: DataFrame, batch_col: str | None = None) -> DataFrame:
-    """Per member (and batch): valid SNP records, messages, tokens, last ts."""
+def batch_metrics(df: DataFrame, batch_col: str | None = None, *, with_sample: bool = False) -> DataFrame:
+    """Per member (and batch): valid SNP records, messages, tokens, last ts.
+
+    ``with_sample`` adds the batch's sample genetic record (the reference
+    sent one with every batch): the valid SNP with the smallest ``snp_id``
+    (deterministic, where the reference took an arbitrary ``first()``),
+    with its default-filled genotype and its gene.  The sample is picked by
+    ``min_by`` inside the same aggregation; only the few sample rows are
+    annotated afterwards."""
     keys = [MEMBER] + ([batch_col] if batch_col else [])
-    return df.groupBy(*keys).agg(
-        F.count_if(F.col("has_snp")).alias("total_records"),
-        F.count(F.lit(1)).alias("messages"),
-        F.count_if(~F.col("has_snp")).alias("tokens"),
-        F.max("ts").alias("last_ts"),
-    )
+    aggs = [F.count_if(F.col("has_snp")).alias("total_records"),
+            F.count(F.lit(1)).alias("messages"),
+            F.count_if(~F.col("has_snp")).alias("tokens"),
+            F.max("ts").alias("last_ts")]
+    if with_sample:
+        rec = F.struct(F.col("snp_id"), F.col("chromosome"), F.col("position"), F.col("genotype"))
+        aggs.append(F.min_by(F.when(F.col("has_snp"), rec), F.when(F.col("has_snp"), F.col("snp_id")))
+                    .alias("_s"))
+    out = df.groupBy(*keys).agg(*aggs)
+    if not with_sample:
+        return out
+    out = out.select("*", F.col("_s.snp_id").alias("sample_snp_id"),
+                     F.col("_s.chromosome").alias("sample_chromosome"),
+                     F.col("_s.position").alias("sample_position"),
+                     F.when(F.col("_s").isNotNull(), default_genotype("_s.genotype")).alias("sample_genotype"))
+    ann = annotate_gene(out, chrom="sample_chromosome", pos="sample_position", out="sample_gene")
+    return ann.withColumn("sample_gene", F.when(F.col("_s").isNotNull(), F.col("sample_gene"))).drop("_s")
 
 
 # --- A2 / R3 / R4 -------------------------------------------------------------

@@ -131,6 +131,20 @@ def q_batch_metrics(spark, d):
     return M.batch_metrics(load_snps(spark, d))
 
 
+@query("batch_metrics_sample", W(
+    "smp AS (SELECT member_type, min(snp_id) FILTER (WHERE has_snp) AS sid FROM snps GROUP BY member_type)",
+    *S.annotated_cte(where="snp_id IN (SELECT sid FROM smp)")) + f"""SELECT b.member_type,
+  count(*) FILTER (WHERE b.has_snp) AS total_records, count(*) AS messages,
+  count(*) FILTER (WHERE NOT b.has_snp) AS tokens, max(b.ts) AS last_ts,
+  any_value(a.snp_id) AS sample_snp_id, any_value(a.chromosome) AS sample_chromosome,
+  any_value(a.position) AS sample_position, any_value({S.bucket('a.genotype', '0/0')}) AS sample_genotype,
+  any_value(a.gene) AS sample_gene
+  FROM snps b JOIN smp USING (member_type) LEFT JOIN ann a ON a.snp_id = smp.sid GROUP BY b.member_type""")
+def q_batch_metrics_sample(spark, d):
+    """A1 with the per-batch sample genetic record."""
+    return M.batch_metrics(load_snps(spark, d), with_sample=True)
+
+
 def _window_sql(width_us: int) -> str:
     return W() + f"""SELECT {S.window_start(width_us)} AS window_start,
   {S.window_start(width_us)} + to_microseconds({width_us}) AS window_end, member_type,
