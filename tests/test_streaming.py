@@ -174,3 +174,37 @@ def test_archive_partitioned_by_event_time(spark, msg_dir):
     assert "PartitionFilters: [isnotnull(event_date" in plan
     ref = load_snps(spark, SF).filter(F.to_date("ts") == "2024-01-02").count()
     assert day.count() == ref
+
+
+def test_window_counts_append_mode_drops_late_rows(spark):
+    import datetime as dt
+    import shutil
+    root = tempfile.mkdtemp(prefix="allelic-late-")
+    src = os.path.join(root, "src")
+    os.makedirs(src)
+    ddl = "member_type string, ts timestamp, has_snp boolean"
+    t = dt.datetime(2024, 1, 1, 0, 0, 0)
+    batches = [
+        [("child", t + dt.timedelta(minutes=1), True), ("child", t + dt.timedelta(minutes=2), True)],
+        # advances the watermark to 02:00 - 10 min
+        [("child", t + dt.timedelta(hours=2), True)],
+        # late for the closed 00:00 window: dropped
+        [("child", t + dt.timedelta(minutes=3), True), ("child", t + dt.timedelta(hours=2, minutes=5), True)],
+    ]
+    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (ST.stream_window_counts(stream, "1 hour").writeStream.outputMode("append").format("memory")
+         .queryName("late_rows").option("checkpointLocation", os.path.join(root, "ck"))
+         .trigger(processingTime="0 seconds").start())
+    try:
+        for i, rows in enumerate(batches):
+            d = os.path.join(root, f"b{i}")
+            spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(d)
+            f = [x for x in os.listdir(d) if x.endswith(".parquet")][0]
+            shutil.copy(os.path.join(d, f), os.path.join(src, f"part-{i}.parquet"))
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {(r.window_start.hour, r.total_records) for r in spark.table("late_rows").collect()}
+    # the 00:00 window was emitted once with its two on-time rows; the late
+    # 00:03 row did not reopen it; the 02:00 window is still open
+    assert got == {(0, 2)}
