@@ -279,10 +279,17 @@ def gene_diversity(df: DataFrame, style: str = "vcf", col: str | None = None,
     v = _valid(df)
     ann = annotate_gene(v.select("chromosome", "position", orientation(style, col).alias("_o")),
                         strict_types=strict_types)
-    n_genes = F.approx_count_distinct("gene") if approximate else F.count_distinct("gene")
-    a = ann.agg(n_genes.alias("distinct_genes"),
-                F.count(F.col("_o")).alias("total_genotypes"),
-                F.count(F.lit(1)).alias("total_variants"))
+    if approximate:
+        a = ann.agg(F.approx_count_distinct("gene").alias("distinct_genes"),
+                    F.count(F.col("_o")).alias("total_genotypes"),
+                    F.count(F.lit(1)).alias("total_variants"))
+    else:
+        # two-level aggregation: per gene first (map-side partial), then one
+        # row per gene is counted; no Expand for the distinct count
+        per_gene = ann.groupBy("gene").agg(F.count(F.col("_o")).alias("_g"), F.count(F.lit(1)).alias("_n"))
+        a = per_gene.agg(F.count(F.lit(1)).alias("distinct_genes"),
+                         F.coalesce(F.sum("_g"), F.lit(0)).cast("long").alias("total_genotypes"),
+                         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_variants"))
     return a.select(
         "distinct_genes", "total_genotypes", "total_variants",
         F.when(F.col("total_genotypes") > 0,
@@ -307,10 +314,15 @@ def genetic_orientation(df: DataFrame, style: str = "letters", col: str | None =
     ann = annotate_gene(v.select(MEMBER, "chromosome", "position",
                                  orientation(style, col).alias("_o")),
                         strict_types=strict_types)
-    a = ann.groupBy(MEMBER).agg(
+    # per (member, gene) first, then per member: the distinct gene count is
+    # a plain row count, no Expand
+    per_gene = ann.groupBy(MEMBER, "gene").agg(
         *[F.count_if(F.col("_o") == k).alias(k) for k in _CLASSES],
-        F.count(F.col("_o")).alias("total_genotypes"),
-        F.count_distinct("gene").alias("distinct_genes"))
+        F.count(F.col("_o")).alias("total_genotypes"))
+    a = per_gene.groupBy(MEMBER).agg(
+        *[F.sum(k).cast("long").alias(k) for k in _CLASSES],
+        F.sum("total_genotypes").cast("long").alias("total_genotypes"),
+        F.count(F.lit(1)).alias("distinct_genes"))
     return a.select(
         MEMBER, *[pct(k, "total_genotypes").alias(f"{k}_pct") for k in _CLASSES],
         F.when(F.col("total_genotypes") > 0,
