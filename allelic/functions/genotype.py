@@ -152,10 +152,15 @@ def is_completion_token(message_type: ColumnOrName = "message_type") -> Column:
     return _c(message_type) == "FAMILY_COMPLETE"
 
 
-def pct(part: ColumnOrName, whole: ColumnOrName, digits: int = 2) -> Column:
-    """``round(100 * part / whole, digits)`` as double, NULL when whole = 0."""
+def pct(part: ColumnOrName, whole: ColumnOrName, digits: int = 2, *, share_first: bool = False) -> Column:
+    """Percentage as double, NULL when whole = 0: ``round(100 * part /
+    whole)``, or ``round(part / whole * 100)`` with ``share_first`` (the
+    two orders can differ in the last bit, so each metric uses the one the
+    reference uses)."""
     w = _c(whole).cast("double")
-    return F.round(F.when(w != 0, F.lit(100.0) * _c(part).cast("double") / w), digits)
+    p = _c(part).cast("double")
+    v = (p / w) * F.lit(100.0) if share_first else F.lit(100.0) * p / w
+    return F.round(F.when(w != 0, v), digits)
 
 
 def ratio(part: ColumnOrName, whole: ColumnOrName, digits: int = 4) -> Column:

@@ -129,7 +129,7 @@ def genotype_trends(df: DataFrame, by: Sequence[str] = (MEMBER,)) -> DataFrame:
               .groupBy(*by, "genotype").agg(F.count(F.lit(1)).alias("count")))
     w = Window.partitionBy(*by) if by else Window.partitionBy()
     return (counts.withColumn("total", F.sum("count").over(w))
-            .withColumn("pct", pct("count", "total")))
+            .withColumn("pct", pct("count", "total", share_first=True)))
 
 
 # --- A6 ---------------------------------------------------------------------------
@@ -266,7 +266,7 @@ def orientation_percentages(df: DataFrame, style: str = "letters", col: str | No
     """Share of each class in percent (2 dp); no rows when nothing is
     classified."""
     wide = _class_counts(df, style, col, []).filter(F.col("total_genotypes") > 0)
-    wide = wide.select(*[pct(k, "total_genotypes").alias(f"{k}_pct") for k in _CLASSES])
+    wide = wide.select(*[pct(k, "total_genotypes", share_first=True).alias(f"{k}_pct") for k in _CLASSES])
     return _stack_classes(wide, [], [f"{k}_pct" for k in _CLASSES], "pct")
 
 

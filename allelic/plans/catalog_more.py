@@ -69,7 +69,7 @@ def q_chrom_map(spark, d):
 
 @query("genotype_trends", W() + f"""SELECT member_type, genotype, count,
   CAST(sum(count) OVER (PARTITION BY member_type) AS BIGINT) AS total,
-  {S.pct('count', 'sum(count) OVER (PARTITION BY member_type)')} AS pct FROM (
+  {S.pct('count', 'sum(count) OVER (PARTITION BY member_type)', share_first=True)} AS pct FROM (
   SELECT member_type, {S.bucket('genotype', '0/0')} AS genotype, count(*) AS count
   FROM snps WHERE has_snp GROUP BY ALL)""")
 def q_genotype_trends(spark, d):
@@ -327,9 +327,9 @@ for _style, _suffix in [("letters", ""), ("vcf", "_vcf")]:
           """SELECT 'dominant' AS orientation, dominant AS count FROM c UNION ALL
              SELECT 'recessive', recessive FROM c UNION ALL SELECT 'heterozygous', heterozygous FROM c""")(_dist(_style))
     query(f"orientation_percentages{_suffix}", W(f"c AS ({_orient_counts_sql(_style)} )") +
-          f"""SELECT 'dominant' AS orientation, {S.pct('dominant', 'total_genotypes')} AS pct FROM c WHERE total_genotypes > 0
-             UNION ALL SELECT 'recessive', {S.pct('recessive', 'total_genotypes')} FROM c WHERE total_genotypes > 0
-             UNION ALL SELECT 'heterozygous', {S.pct('heterozygous', 'total_genotypes')} FROM c WHERE total_genotypes > 0
+          f"""SELECT 'dominant' AS orientation, {S.pct('dominant', 'total_genotypes', share_first=True)} AS pct FROM c WHERE total_genotypes > 0
+             UNION ALL SELECT 'recessive', {S.pct('recessive', 'total_genotypes', share_first=True)} FROM c WHERE total_genotypes > 0
+             UNION ALL SELECT 'heterozygous', {S.pct('heterozygous', 'total_genotypes', share_first=True)} FROM c WHERE total_genotypes > 0
           """)(_pcts(_style))
 
 

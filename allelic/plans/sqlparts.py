@@ -12,7 +12,10 @@ def with_snps(*ctes: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-def pct(a: str, b: str, digits: int = 2) -> str:
+def pct(a: str, b: str, digits: int = 2, share_first: bool = False) -> str:
+    if share_first:
+        return (f"round(CASE WHEN CAST({b} AS DOUBLE) <> 0 THEN (CAST({a} AS DOUBLE)"
+                f" / CAST({b} AS DOUBLE)) * 100.0 END, {digits})")
     return (f"round(CASE WHEN CAST({b} AS DOUBLE) <> 0 THEN 100.0 * CAST({a} AS DOUBLE)"
             f" / CAST({b} AS DOUBLE) END, {digits})")
 
