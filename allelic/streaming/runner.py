@@ -31,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from allelic.functions.genotype import bucket, is_het
 from allelic.operators.genes import annotate_gene
-from allelic.operators.metrics import orientation
+from allelic.operators.metrics import _het_summary, orientation
 from allelic.operators.topk import top_k
 from allelic.sources import codec as C
 
@@ -175,15 +175,11 @@ def _derived(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     hot = top_k(pos, [F.desc("frequency"), F.asc_nulls_last("chromosome"), F.asc("position")],
                 10, by=[MEMBER], rank_col="rank")
     het = metric_snapshot(spark, out, "het_counts").drop("batches")
-    pop = het.groupBy(MEMBER).agg(F.sum("heterozygous").cast("long").alias("heterozygous"),
-                                  F.sum("total_snps").cast("long").alias("total_snps"))
-    n = F.col("total_snps").cast("double")
-    p, q = F.col("heterozygous") / n, (F.col("total_snps") - F.col("heterozygous")) / n
-    pop = pop.select(MEMBER, "heterozygous", "total_snps",
-                     F.round(100.0 * p, 2).alias("heterozygous_pct"),
-                     F.round(100.0 * q, 2).alias("homozygous_pct"),
-                     F.round(2.0 * p * q, 4).alias("diversity"))
-    return {"hotspots": hot, "population": pop}
+    pop = (het.groupBy(MEMBER).agg(F.sum("heterozygous").cast("long").alias("heterozygous"),
+                                   F.sum("total_snps").cast("long").alias("total_snps"))
+           .withColumn("homozygous", F.col("total_snps") - F.col("heterozygous")))
+    # the batch operator's own summary: identical numbers on both paths
+    return {"hotspots": hot, "population": _het_summary(pop, [MEMBER])}
 
 
 def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str,
