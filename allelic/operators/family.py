@@ -4,17 +4,19 @@ Per-family outputs are always built in two hash-aggregation steps:
 rows -> (family, person) counts -> family.  The only collected list is the
 children of one family, whose size is fixed by the pedigree.
 
-Trio and relatedness joins pair each child with the single father and the
-single mother of its family at the same locus: an equi-join on
-(family_id, locus) where the parent side holds one call per key, so no
-pair explosion can occur.
+Trio and relatedness operators pair each call with the single father and
+the single mother of its family at the same locus through one window over
+(family_id, locus): a group holds one call per family member, so its size
+is fixed by the pedigree, and no self-join or pair explosion occurs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from allelic.operators.ranks import materialize
+
 MEMBER = "member_type"
 
 
@@ -39,8 +41,9 @@ def family_stats(df: DataFrame, member_type: str | None = None) -> DataFrame:
         F.max("snps").alias("max_snps"),
         F.min("snps").alias("min_snps"),
         F.array_sort(F.collect_set("gender")).alias("genders"))
-    total = src.filter(F.col("person_id").isNotNull()).select(
-        F.count_distinct("family_id")).scalar()
+    # one row per family, read twice (rows and the total): materialise once
+    fam = materialize(fam)
+    total = fam.select(F.count(F.lit(1))).scalar()
     return fam.withColumn("total_families", total)
 
 
@@ -80,20 +83,31 @@ def ingest_statistics(df: DataFrame) -> DataFrame:
 
 
 # --- J2 / D1 / D2 -----------------------------------------------------------------
+def _with_parents(calls: DataFrame) -> DataFrame:
+    """Every call plus the father's and the mother's call at the same
+    (family_id, locus), from one window over that key: a (family, locus)
+    group holds one call per family member, so its size is fixed by the
+    pedigree.  No self-join, and the calls are computed once."""
+    fl = Window.partitionBy("family_id", "locus")
+    is_f, is_m = F.col(MEMBER) == "father", F.col(MEMBER) == "mother"
+    return calls.select(
+        "*",
+        F.max(F.when(is_f, F.col("person_id"))).over(fl).alias("father_id"),
+        F.max(F.when(is_f, F.col("genotype"))).over(fl).alias("father_gt"),
+        F.max(F.when(is_m, F.col("person_id"))).over(fl).alias("mother_id"),
+        F.max(F.when(is_m, F.col("genotype"))).over(fl).alias("mother_gt"))
+
+
 def trio_join(calls: DataFrame) -> DataFrame:
     """Child call with the father's and the mother's call at the same
-    (family_id, locus).  ``calls``: family_id, person_id, member_type,
+    (family_id, locus); children without both parents' calls are dropped
+    (inner-join semantics).  ``calls``: family_id, person_id, member_type,
     locus, genotype with one call per person and locus."""
-    c = calls.filter(F.col(MEMBER) == "child").select(
-        "family_id", "locus", F.col("person_id").alias("child_id"),
-        F.col("genotype").alias("child_gt"))
-    f = calls.filter(F.col(MEMBER) == "father").select(
-        "family_id", "locus", F.col("person_id").alias("father_id"),
-        F.col("genotype").alias("father_gt"))
-    m = calls.filter(F.col(MEMBER) == "mother").select(
-        "family_id", "locus", F.col("person_id").alias("mother_id"),
-        F.col("genotype").alias("mother_gt"))
-    return c.join(f, ["family_id", "locus"], "inner").join(m, ["family_id", "locus"], "inner")
+    w = _with_parents(calls)
+    return w.filter((F.col(MEMBER) == "child") & F.col("father_gt").isNotNull()
+                    & F.col("mother_gt").isNotNull()).select(
+        "family_id", "locus", F.col("person_id").alias("child_id"), F.col("genotype").alias("child_gt"),
+        "father_id", "father_gt", "mother_id", "mother_gt")
 
 
 def _alleles_in(allele: Column, gt: Column) -> Column:
@@ -134,30 +148,24 @@ def genetic_similarity(calls: DataFrame) -> DataFrame:
     family (father-child, mother-child, father-mother): the mean of shared
     alleles / 2 over the loci both persons have.
 
-    Pairs follow the pedigree's one-father / one-mother structure, so each
-    call meets at most one partner call of each role.
+    Each call is paired with the single father and mother of its (family,
+    locus) group (one window, see :func:`_with_parents`): a child call
+    yields its father-child and mother-child pairs, a mother call the
+    father-mother pair.  No self-join, no pair explosion.
     """
-    fm_calls = calls.filter(F.col(MEMBER) == "father").select(
-        "family_id", "locus", F.col("person_id").alias("person_a"), F.col("genotype").alias("gt_a")
-    ).join(calls.filter(F.col(MEMBER) == "mother").select(
-        "family_id", "locus", F.col("person_id").alias("person_b"), F.col("genotype").alias("gt_b")),
-        ["family_id", "locus"], "inner").withColumn("relation", F.lit("father-mother"))
-    fc = (calls.filter(F.col(MEMBER) == "father")
-          .select("family_id", "locus", F.col("person_id").alias("person_a"),
-                  F.col("genotype").alias("gt_a"))
-          .join(calls.filter(F.col(MEMBER) == "child")
-                .select("family_id", "locus", F.col("person_id").alias("person_b"),
-                        F.col("genotype").alias("gt_b")), ["family_id", "locus"], "inner")
-          .withColumn("relation", F.lit("father-child")))
-    mc = (calls.filter(F.col(MEMBER) == "mother")
-          .select("family_id", "locus", F.col("person_id").alias("person_a"),
-                  F.col("genotype").alias("gt_a"))
-          .join(calls.filter(F.col(MEMBER) == "child")
-                .select("family_id", "locus", F.col("person_id").alias("person_b"),
-                        F.col("genotype").alias("gt_b")), ["family_id", "locus"], "inner")
-          .withColumn("relation", F.lit("mother-child")))
-    pairs = fm_calls.unionByName(fc).unionByName(mc)
-    return (pairs.groupBy("family_id", "relation", "person_a", "person_b")
+    w = _with_parents(calls)
+    m = F.col(MEMBER)
+
+    def pair(rel, cond, a_id, a_gt):
+        return F.when(cond & a_gt.isNotNull(),
+                      F.struct(F.lit(rel).alias("relation"), a_id.alias("person_a"), a_gt.alias("gt_a")))
+    pairs = F.array(pair("father-child", m == "child", F.col("father_id"), F.col("father_gt")),
+                    pair("mother-child", m == "child", F.col("mother_id"), F.col("mother_gt")),
+                    pair("father-mother", m == "mother", F.col("father_id"), F.col("father_gt")))
+    x = (w.select("family_id", F.col("person_id").alias("person_b"), F.col("genotype").alias("gt_b"),
+                  F.explode(F.filter(pairs, lambda p: p.isNotNull())).alias("_p"))
+         .select("family_id", "_p.relation", "_p.person_a", "person_b", "_p.gt_a", "gt_b"))
+    return (x.groupBy("family_id", "relation", "person_a", "person_b")
             .agg(F.count(F.lit(1)).alias("loci"),
                  F.round(F.avg(ibs_shared(F.col("gt_a"), F.col("gt_b")) / 2.0), 4).alias("similarity")))
 

@@ -26,6 +26,15 @@ from pyspark.sql import functions as F
 DEFAULT_BINS = 4096
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of ``df`` under ``spark.checkpoint.dir`` (read
+    from the session; only set when unset, e.g. in local tests).  Used
+    where one derived table feeds several branches of a plan."""
+    from allelic.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _on(keys: list[str], left: DataFrame, right: DataFrame) -> list[Column]:
     return [left[k].eqNullSafe(right[k]) for k in keys]
 
@@ -48,7 +57,10 @@ def rank_index(df: DataFrame, col: str, by: Sequence[str] = (), *,
         hi = v.select(F.max(F.col(col).cast("double"))).scalar()
         width = F.greatest((hi - lo) / F.lit(float(bins)), F.lit(1e-300))
         b = F.floor((F.col("value").cast("double") - lo) / width)
-    d = d.withColumn("_bin", b.cast("long"))
+    # the distinct-value table feeds two branches (bin totals and the
+    # in-bin ranks); materialise it once in the shared checkpoint folder so
+    # the raw input is scanned once and the lineage is cut
+    d = materialize(d.withColumn("_bin", b.cast("long")))
     tot = d.groupBy(*keys, "_bin").agg(F.sum("n_at").alias("_bin_n"))
     grp = Window.partitionBy(*keys) if keys else Window.partitionBy()
     tot = tot.select(

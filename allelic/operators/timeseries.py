@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from allelic.functions.genotype import trend_direction
 from allelic.operators.metrics import epoch_us
-from allelic.operators.ranks import rank_index
+from allelic.operators.ranks import materialize, rank_index
 from allelic.operators.topk import top_k
 
 US = 1_000_000
@@ -170,7 +170,9 @@ def _with_rank(df: DataFrame, by: Sequence[str], order: str, bin_width: float |
     Positions come from the binned rank index: no task numbers a whole
     group, however long its history."""
     keys = list(by)
-    src = df.withColumn("_ord", _numeric_order(df, order))
+    # the input (a metric series) is read by the index and by the join back:
+    # materialise it once
+    src = materialize(df.withColumn("_ord", _numeric_order(df, order)))
     idx = rank_index(src, "_ord", keys, bin_width=bin_width)
     ix = idx.select(*[F.col(k).alias(f"_ix_{i}") for i, k in enumerate(keys)],
                     F.col("value").alias("_ix_v"), F.col("first_idx").alias("_i"), F.col("n").alias("_n"))
