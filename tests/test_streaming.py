@@ -213,3 +213,29 @@ def test_window_counts_append_mode_drops_late_rows(spark):
     # the 00:00 window was emitted once with its two on-time rows; the late
     # 00:03 row did not reopen it; the 02:00 window is still open
     assert got == {(0, 2)}
+
+
+def test_stream_partials_match_batch_operators(spark, msg_dir):
+    root = tempfile.mkdtemp(prefix="allelic-par2-")
+    out, ck = os.path.join(root, "out"), os.path.join(root, "ck")
+    R.run_metrics(spark, msg_dir, out, ck, fmt="text", available_now=True, max_per_trigger=1,
+                  every=0, compact_every=3).awaitTermination()
+    batch = load_snps(spark, SF)
+
+    def same(a, b):
+        return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    hot_cols = ["member_type", "chromosome", "position", "frequency", "rank"]
+    hot = R._derived(spark, out)["hotspots"].select(*hot_cols)
+    assert same(hot, M.position_hotspots(batch, per_member=True).select(*hot_cols))
+    orient = (R.metric_snapshot(spark, out, "orientation_counts")
+              .groupBy("member_type").pivot("orientation", ["dominant", "recessive", "heterozygous"])
+              .agg(F.sum("count")).na.fill(0))
+    ref = M.genotype_class_trends(batch).select("member_type", "dominant", "recessive", "heterozygous")
+    assert same(orient.select(ref.columns), ref)
+    genes = R.metric_snapshot(spark, out, "gene_counts").groupBy("gene").agg(F.sum("count").alias("count"))
+    assert same(genes, M.gene_frequency(batch))
+    ind = (R.metric_snapshot(spark, out, "het_counts")
+           .filter(F.col("person_id").isNotNull() & (F.col("person_id") != ""))
+           .select("member_type", "person_id", "heterozygous", "total_snps"))
+    assert same(ind, M.individual_heterozygosity(batch).select(ind.columns))
