@@ -255,9 +255,15 @@ def _stack_classes(wide: DataFrame, keys: list[str], value_cols: Sequence[str],
     return wide.select(*keys, F.expr(f"stack(3, {pairs}) as (orientation, {name})"))
 
 
-def orientation_distribution(df: DataFrame, style: str = "letters", col: str | None = None) -> DataFrame:
+def orientation_distribution(df: DataFrame, style: str = "letters", col: str | None = None, *,
+                             sampled: bool = False, batch_col: str | None = None) -> DataFrame:
     """Counts of dominant / recessive / heterozygous; all three always
-    present (0 when absent); unclassifiable genotypes skipped."""
+    present (0 when absent); unclassifiable genotypes skipped.
+    ``sampled=True`` classifies only each batch's sample SNP (W11), as the
+    reference's dashboard did, instead of every SNP."""
+    if sampled:
+        from allelic.operators.timeseries import first_per_batch
+        df = first_per_batch(_valid(df), batch_col or MEMBER)
     wide = _class_counts(df, style, col, [])
     return _stack_classes(wide, [], _CLASSES, "count")
 

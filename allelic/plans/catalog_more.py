@@ -333,6 +333,16 @@ for _style, _suffix in [("letters", ""), ("vcf", "_vcf")]:
           """)(_pcts(_style))
 
 
+@query("orientation_distribution_sampled", W(f"b AS (SELECT * FROM snps WHERE snp_id IN (SELECT min(snp_id) FROM snps "
+                                             f"WHERE has_snp GROUP BY {S.window_start(HOUR_US)}))",
+                                             "c AS (" + _orient_counts_sql("letters").replace("FROM snps", "FROM b") + ")") +
+       """SELECT 'dominant' AS orientation, dominant AS count FROM c UNION ALL
+          SELECT 'recessive', recessive FROM c UNION ALL SELECT 'heterozygous', heterozygous FROM c""")
+def q_orient_sampled(spark, d):
+    """A12 over each hourly batch's sample SNP (the reference's sampling)."""
+    return M.orientation_distribution(hour_batch(load_snps(spark, d)), "letters", sampled=True, batch_col="batch")
+
+
 @query("gene_diversity", W(*S.annotated_cte()) + f"""SELECT count(DISTINCT gene) AS distinct_genes,
   count(o) AS total_genotypes, count(*) AS total_variants,
   CASE WHEN count(o) > 0 THEN round(CAST(count(DISTINCT gene) AS DOUBLE) / CAST(count(o) + 1 AS DOUBLE), 4) ELSE 0.0 END
