@@ -21,6 +21,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpointed intermediates (shared derived tables) are transient:
+    # delete their files once the plans that use them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -32,11 +35,14 @@ def get_session(master: str | None = None, app: str = "allelic",
     ``master`` and ``shuffle_partitions`` are for local runs and tests; on
     a cluster leave them ``None`` so spark-submit decides.
     """
+    from pyspark import SparkConf
+    cluster = SparkConf()  # spark-submit / spark-defaults.conf values
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
+        if not cluster.contains(k):
+            builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
