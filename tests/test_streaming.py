@@ -239,3 +239,16 @@ def test_stream_partials_match_batch_operators(spark, msg_dir):
            .filter(F.col("person_id").isNotNull() & (F.col("person_id") != ""))
            .select("member_type", "person_id", "heterozygous", "total_snps"))
     assert same(ind, M.individual_heterozygosity(batch).select(ind.columns))
+
+
+def test_read_snp_stream_parquet_with_file_cap(spark):
+    snps = load_snps(spark, SF).withColumn("ts", F.col("ts").cast("timestamp"))
+    root = tempfile.mkdtemp(prefix="allelic-pq-")
+    snps.repartition(4).write.parquet(os.path.join(root, "src"))
+    stream = C.read_snp_stream(spark, os.path.join(root, "src"), "parquet", max_per_trigger=1,
+                               schema=snps.schema)
+    q = (stream.writeStream.format("memory").queryName("pq_rows").trigger(availableNow=True)
+         .option("checkpointLocation", os.path.join(root, "ck")).start())
+    q.awaitTermination()
+    assert spark.table("pq_rows").count() == 1000
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4  # one file per batch
