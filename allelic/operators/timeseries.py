@@ -42,6 +42,9 @@ def rate_series(df: DataFrame, seconds: Sequence[int] = (60, 30, 10), *,
     ``rate_{w}s = n / w`` for each width ``w`` in seconds."""
     by = list(by)
     seconds = list(dict.fromkeys(seconds))
+    if not seconds or any(int(s) != s or s <= 0 for s in seconds):
+        raise ValueError(f"window widths must be positive whole seconds, got {seconds}")
+    seconds = [int(s) for s in seconds]
     src = df.filter(F.col("has_snp")) if valid_only else df
     per_ts = (src.groupBy(*by, F.col(ts).alias("ts"))
               .agg(F.count(F.lit(1)).alias("n_at"))

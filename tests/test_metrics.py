@@ -168,3 +168,10 @@ def test_top_k_with_map_column(spark):
     df = spark.createDataFrame([("a", i, {"k": i}) for i in range(20)], "g string, v int, m map<string,int>")
     got = [r.v for r in top_k(df, [F.desc("v")], 3, by=["g"]).orderBy(F.desc("v")).collect()]
     assert got == [19, 18, 17]
+
+
+def test_rate_series_rejects_fractional_widths(spark):
+    import pytest
+    df = _snps(spark, [{}])
+    with pytest.raises(ValueError):
+        TS.rate_series(df, (0.5,))
