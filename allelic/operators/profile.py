@@ -97,16 +97,22 @@ def histogram(df: DataFrame, col: str, bins: int = 50, density: bool = False) ->
     """Equal-width histogram between the column's min and max (the last bin
     is closed).  Bin = least(floor((x - lo) * bins / (hi - lo)), bins - 1).
     All ``bins`` bins are returned, empty ones with count 0.  When min =
-    max the range is (min - 0.5, min + 0.5), as numpy does."""
-    x = F.col(col).cast("double")
-    src = df.filter(F.col(col).isNotNull())
-    lo0 = src.select(F.min(x)).scalar()
-    hi0 = src.select(F.max(x)).scalar()
-    n = src.select(F.count(F.lit(1))).scalar()
+    max the range is (min - 0.5, min + 0.5), as numpy does.
+
+    The input is scanned once: the column is reduced to distinct values
+    with multiplicities and materialised; the range (scalar subqueries) and
+    the bin counts are both computed from that compact table."""
+    from allelic.operators.ranks import materialize
+    vals = materialize(df.filter(F.col(col).isNotNull())
+                       .groupBy(F.col(col).cast("double").alias("_x")).agg(F.count(F.lit(1)).alias("_c")))
+    x = F.col("_x")
+    lo0 = vals.select(F.min(x)).scalar()
+    hi0 = vals.select(F.max(x)).scalar()
+    n = vals.select(F.sum("_c")).scalar()
     lo = F.when(lo0 == hi0, lo0 - 0.5).otherwise(lo0)
     hi = F.when(lo0 == hi0, hi0 + 0.5).otherwise(hi0)
     idx = F.least(F.floor((x - lo) * F.lit(float(bins)) / (hi - lo)), F.lit(bins - 1)).cast("int")
-    counts = src.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
+    counts = vals.select(idx.alias("bin"), "_c").groupBy("bin").agg(F.sum("_c").alias("count"))
     # the bin index domain is a parameter (bins rows), not data
     domain = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     width = (hi - lo) / F.lit(float(bins))

@@ -7,9 +7,8 @@ from __spark_entry__ import queries
 from tests.conftest import SF001
 
 QS = queries()
-# by design: histogram (range pass, then bins) and the U1/U2 unions, which
-# model three separate member-topic sources
-TWO_PASS = {"position_histogram": 2, "union_member_streams": 3, "union_member_metrics": 3}
+# by design: the U1/U2 unions, which model three separate member-topic sources
+TWO_PASS = {"union_member_streams": 3, "union_member_metrics": 3}
 
 
 @pytest.fixture

@@ -49,9 +49,8 @@ def main(argv):
              "under global aggregates and global top-k over already-reduced rows.",
              "`scans` counts raw Parquet scans in the final plan; tables materialised",
              "with `checkpoint()` (rank indexes, metric series, per-family rows) are",
-             "read from the checkpoint folder instead. Two scans remain by design: the",
-             "histogram (range first, then bins) and the U1/U2 unions, which model three",
-             "separate member-topic sources.", "",
+             "read from the checkpoint folder instead. Several scans remain only in the",
+             "U1/U2 unions, which model three separate member-topic sources.", "",
              "| query | scans | reused exchanges | shuffles | single-partition | broadcasts | windows | expands | sorts | scalar subqueries | top-k | scan reads |",
              "| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
     for name, s in rows:
