@@ -52,21 +52,23 @@ def get_session(master: str | None = None, app: str = "allelic",
     # a runtime SQL conf, so pin it here too (results depend on it).
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder for lineage cuts and intermediate tables.
 
-    On a cluster this setting names a shared (HDFS/object store) folder and
-    is used as is.  Only when it is unset (local tests) do we create one.
+    ``spark.checkpoint.dir`` names it; failing that, the folder already set
+    with ``setCheckpointDir``.  With neither, a local master gets a temporary
+    folder (tests); any other master raises, because a folder of one machine
+    is invisible to the other executors.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="allelic-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
