@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the application's Python workers, as spark-submit
+    --py-files does; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    archive = os.path.join(tempfile.mkdtemp(prefix="allelic-package-"), "allelic-package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted((root / "allelic").rglob("*.py")):
+            z.write(file, file.relative_to(root))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the shared checkpoint folder."""
     return scratch_path(spark, os.path.join("llm", f"{name}-{uuid.uuid4().hex}"))
