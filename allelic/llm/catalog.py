@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from allelic.llm import (decontaminate, exact_dedup, licenses, mixing, personal_data, quality,
+from allelic.llm import (bloom_lm, decontaminate, exact_dedup, licenses, mixing, personal_data, quality,
                          simhash, token_store, warc)
 from allelic.llm.common import ship_package, table
 
@@ -48,6 +48,10 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.language_scores(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +62,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: _shipped(f) for f in (op1_warc, op2_exact_dedup, op3_token_ids, op4_quality, op5_licenses, op6_mixing,
-                                    op7_simhash, op8_decontamination, op9_personal_data)}
+                                    op7_simhash, op8_decontamination, op9_personal_data, op10_language_model)}
 
 
 def oracle_sql() -> dict[str, str]:
