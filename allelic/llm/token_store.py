@@ -10,15 +10,17 @@ One document is read by one index look-up and one range read.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelic.llm.common import fresh_folder, stored
@@ -30,36 +32,117 @@ LEVEL = 3
 #: The dictionary is fitted on about so many documents (never more than twice), of each so many ids at most.
 SAMPLE_DOCS, SAMPLE_IDS = 1024, 4096
 DICTIONARY_BYTES = 64 * 1024
-#: Distinct words whose ids a Python worker remembers.
-REMEMBERED = 800_000
+#: Distinct pieces whose ids a Python worker remembers, bytes of text encoded together.
+REMEMBERED, SLICE_BYTES = 300_000, 12 * 1024 * 1024
 
+#: Sets pieces apart for the tokenizer.
+APART = "\x01"
+#: Punctuation but ' < > |, a piece that begins and ends in an ASCII letter or digit, punctuation.
+_WRAPPED = r"(?s)^(?P<a>[!-&(-/:;=?@\[-`{}~]*)(?P<c>[0-9A-Za-z](?:.*[0-9A-Za-z])?)(?P<z>[!-&(-/:;=?@\[-`{}~]*)$"
+
+_LETTERS = re.compile("[a-zà-öø-ÿ]+")
 _HEAD, _TAIL = "<8sB32s", "<QQ8s"
 _encoders: dict[str, Encoder] = {}
 
 
-class Encoder(dict):
-    """Ids of a text, as bytes, word by word.
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces ``which`` of ``flat`` one after the other, and their sizes."""
+    size = sizes[which]
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(flat)) < 2 ** 31 else np.int64
+    places = np.repeat((starts[which] - (ends - size)).astype(kind), size)
+    places += np.arange(total, dtype=kind)
+    return flat[places], size
+
+
+class Encoder:
+    """Ids of texts, word by word.
 
     The tokenizer drops white space and never merges across it, so the ids of
-    a text are those of its words; words seen before are looked up.
+    a text are those of its words.  Of a word, ASCII punctuation around
+    letters or digits is a piece of its own, and ASCII letters have the ids of
+    their lower case.  So each distinct piece of some texts is encoded once,
+    if it wasn't met before; the tokenizer gets the new pieces in one text, set
+    apart by a control character that is one token.  Pieces of lower-case
+    letters need no normalising or splitting, so they go to the same model
+    without these steps.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        super().__init__()
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 2 ** 16 else "<u4")
-        self.end = np.array([END_ID], self.dtype).tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, self.dtype).tobytes()
-        if len(self) < REMEMBERED:
-            self[word] = ids
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.apart = self._ids(APART)
+        if any(self._ids(w).tobytes() != self._ids(w, self.plain).tobytes() for w in ("the", "straße", "éàñ", APART)):
+            self.plain = self.tokenizer
+        self.known: dict[str, bytes] = {}
+
+    def _ids(self, text: str, tokenizer=None) -> np.ndarray:
+        return np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+
+    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+        found = {}
+        groups: dict[bool, list[str]] = {True: [], False: []}
+        for p in pieces if len(self.apart) == 1 else ():
+            if APART not in p:
+                groups[_LETTERS.fullmatch(p) is not None].append(p)
+        for plain, part in ((k, g[at:at + 512]) for k, g in groups.items() for at in range(0, len(g), 512)):
+            ids = self._ids(f" {APART} ".join(part), self.plain if plain else None)
+            cuts = np.flatnonzero(ids == self.apart[0])
+            if len(cuts) == len(part) - 1:
+                size, raw = self.dtype.itemsize, ids.tobytes()
+                for p, i, j in zip(part, [-1, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True):
+                    found[p] = raw[(i + 1) * size:j * size]
+        return found | {p: self._ids(p).tobytes() for p in pieces if p not in found}
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        ids = list(map(self.known.get, pieces))
+        if None in ids:
+            new = self._new([p for p, x in zip(pieces, ids, strict=True) if x is None])
+            if len(self.known) < REMEMBERED:
+                self.known.update(new)
+            ids = [new[p] if x is None else x for p, x in zip(pieces, ids, strict=True)]
         return ids
 
-    def encode(self, text: bytes) -> bytes:
-        """Serialized ids of the text and the end id."""
-        return b"".join(map(self.__getitem__, text.split())) + self.end
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and their numbers."""
+        cut = pc.extract_regex(words, _WRAPPED)
+        apart = pc.and_(cut.is_valid(), pc.invert(pc.match_substring(words, "<|")))
+        three = [pc.if_else(apart, x, y) for x, y in
+                 ((cut.field("a"), ""), (pc.ascii_lower(cut.field("c")), words), (cut.field("z"), ""))]
+        coded = pa.concat_arrays([pc.cast(x, pa.string()) for x in three]).dictionary_encode()
+        found = self._pieces(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(found), self.dtype)
+        order = coded.indices.to_numpy().reshape(3, -1).T.ravel()
+        ids, size = _gather(flat, np.cumsum(sizes) - sizes, sizes, order)
+        return ids, size.reshape(-1, 3).sum(axis=1)
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Serialized ids of each text and the end id."""
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        flat, sizes = self._words(coded.dictionary)
+        ids, size = _gather(flat, np.cumsum(sizes) - sizes, sizes, coded.indices.to_numpy())
+        ends = np.concatenate([[0], np.cumsum(size)])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        raw, width = ids.tobytes(), self.dtype.itemsize
+        end = np.array([END_ID], self.dtype).tobytes()
+        return [raw[i * width:j * width] + end for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+    def encode_batch(self, texts: pa.Array) -> Iterator[tuple[int, bytes]]:
+        """(row, ids) of each text, some ``SLICE_BYTES`` of text at a time."""
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        begin = 0
+        while begin < len(texts):
+            before = size[begin - 1] if begin else 0
+            end = max(int(np.searchsorted(size, before + SLICE_BYTES, side="right")), begin + 1)
+            yield from enumerate(self.encode(texts.slice(begin, end - begin)), begin)
+            begin = end
 
 
 def encoder(path: str) -> Encoder:
@@ -69,6 +152,11 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def valid_text(text_col: str) -> Column:
+    """The text, null as empty, bytes that are no UTF-8 replaced."""
+    return F.make_valid_utf8(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
@@ -83,11 +171,11 @@ def train_dictionary(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = encoder(tokenizer)
         for batch in batches:
-            ids = [one.encode(t)[:SAMPLE_IDS * one.dtype.itemsize] for t in batch.column(0).to_pylist()]
+            ids = [x[:SAMPLE_IDS * one.dtype.itemsize] for _, x in one.encode_batch(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
 
     rows = (docs.where(F.pmod(F.xxhash64(id_col), F.lit(every)) == 0)
-            .select(F.coalesce(text_col, F.lit("")).cast("binary").alias("t")).limit(2 * SAMPLE_DOCS)
+            .select(valid_text(text_col).alias("t")).limit(2 * SAMPLE_DOCS)
             .mapInArrow(sample, "ids binary").collect())
     samples = sorted(bytes(r["ids"]) for r in rows)
     try:
@@ -115,7 +203,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None,
     with open_write(dictionary) as out:
         out.write(data)
     order = F.col("id").asc_nulls_last()
-    ranged = (docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).cast("binary").alias("text"))
+    ranged = (docs.select(F.col(id_col).cast("long").alias("id"), valid_text(text_col).alias("text"))
               .repartitionByRange(order).sortWithinPartitions(order, "text"))
     manifest = pa.schema([("part", pa.int32()), ("path", pa.string()), ("dictionary", pa.string()),
                           ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
@@ -127,15 +215,15 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None,
         out, path, at = None, "", struct.calcsize(_HEAD)
         ids, counts, offsets = [], [], []
         for batch in batches:
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            keys = batch.column(0).to_pylist()
+            for row, tokens in one.encode_batch(batch.column(1)):
                 if out is None:
                     path = own_name(folder, "tokens", ".tok")
                     out = open_write(path)
                     out.write(struct.pack(_HEAD, MAGIC, one.dtype.itemsize, digest))
-                tokens = one.encode(text)
                 frame = squeeze.compress(tokens)
                 out.write(frame)
-                ids.append(doc_id)
+                ids.append(keys[row])
                 counts.append(len(tokens) // one.dtype.itemsize)
                 offsets.append(at)
                 at += len(frame)
