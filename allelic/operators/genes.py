@@ -28,7 +28,6 @@ from allelic.functions.genotype import default_genotype, normalize_chromosome, v
 from allelic.schemas import gene_rows
 
 DEFAULT_BIN = 1_000_000
-BROADCAST_LIMIT = 200_000
 
 
 def _values(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
@@ -71,29 +70,50 @@ def local_segments(rows: list[tuple]) -> list[tuple]:
     return out
 
 
+#: Levels of the tree over the elementary segments of a chromosome (2**32 leaves).
+LEVELS = 32
+
+
 def disjoint_segments(genes: DataFrame) -> DataFrame:
     """Cut gene intervals into disjoint labelled segments.
 
     Input columns: priority, gene, chromosome, start, end (inclusive).
-    Output: chromosome, lo, hi (inclusive), gene.  Runs on the annotation
-    table only; per chromosome the boundaries are the starts and ends + 1.
+    Output: chromosome, lo, hi (inclusive), gene.  The interval boundaries of
+    a chromosome (starts and ends + 1) number its elementary segments.  An
+    interval is at most two nodes per level of the binary tree over these
+    numbers; every node keeps its first gene, and a segment takes the first
+    gene of its ancestors.  All joins are equi joins and the rows grow with
+    the logarithm of the intervals, however many of them overlap.
     """
-    g = genes.select(normalize_chromosome("chromosome").alias("chromosome"),
-                     "priority", "gene", "start", "end")
-    bounds = (g.select("chromosome", F.col("start").cast("long").alias("b"))
-              .unionByName(g.select("chromosome", (F.col("end").cast("long") + 1).alias("b")))
-              .distinct())
+    g = genes.select(normalize_chromosome("chromosome").alias("chromosome"), "priority", "gene",
+                     F.col("start").cast("long").alias("lo"), (F.col("end").cast("long") + 1).alias("end"))
+    g = g.filter(F.col("lo") < F.col("end"))
+    bounds = (g.select("chromosome", F.col("lo").alias("b"))
+              .unionByName(g.select("chromosome", F.col("end").alias("b"))).distinct())
     w = Window.partitionBy("chromosome").orderBy("b")
-    seg = (bounds.select("chromosome", F.col("b").alias("lo"),
-                         (F.lead("b").over(w) - 1).alias("hi"))
-           .filter(F.col("hi").isNotNull()))
-    covered = seg.join(
-        g.withColumnRenamed("chromosome", "g_chrom"),
-        (seg.chromosome == F.col("g_chrom"))
-        & (F.col("start") <= seg.lo) & (seg.hi <= F.col("end")),
-        "inner")
-    return (covered.groupBy("chromosome", "lo", "hi")
-            .agg(F.min_by("gene", "priority").alias("gene")))
+    cuts = bounds.select("chromosome", "b", (F.row_number().over(w) - 1).cast("long").alias("i"),
+                         (F.lead("b").over(w) - 1).alias("hi"),
+                         F.ceil(F.log2(F.count(F.lit(1)).over(Window.partitionBy("chromosome")))).cast("int").alias("height"))
+    at = cuts.select(F.col("chromosome").alias("_c"), F.col("b").alias("_b"), F.col("i").alias("first"))
+    to = cuts.select(F.col("chromosome").alias("_d"), F.col("b").alias("_e"), F.col("i").alias("past"))
+    spans = (g.join(at, (F.col("chromosome") == F.col("_c")) & (F.col("lo") == F.col("_b")))
+             .join(to, (F.col("chromosome") == F.col("_d")) & (F.col("end") == F.col("_e"))))
+
+    def level_nodes(k):
+        size = F.pow(F.lit(2.0), k).cast("long")
+        left, right = F.ceil(F.col("first") / size), F.floor(F.col("past") / size)
+        return F.filter(F.array(F.when((left < right) & (left % 2 == 1), F.struct(k.alias("k"), left.alias("n"))),
+                                F.when((left < right) & (right % 2 == 1), F.struct(k.alias("k"), (right - 1).alias("n")))),
+                        lambda x: x.isNotNull())
+    levels = F.sequence(F.lit(0), F.lit(LEVELS))
+    nodes = (spans.withColumn("x", F.explode(F.flatten(F.transform(levels, level_nodes))))
+             .groupBy(F.col("chromosome").alias("_c"), F.col("x.k").alias("_k"), F.col("x.n").alias("_n"))
+             .agg(F.min(F.struct("priority", "gene")).alias("best")))
+    above = F.transform(F.sequence(F.lit(0), F.col("height")), lambda k: F.struct(k.alias("k"), F.floor(F.col("i") / F.pow(F.lit(2.0), k).cast("long")).alias("n")))
+    segments = cuts.filter(F.col("hi").isNotNull()).withColumn("x", F.explode(above))
+    return (segments.join(nodes, (F.col("chromosome") == F.col("_c")) & (F.col("x.k") == F.col("_k")) & (F.col("x.n") == F.col("_n")))
+            .groupBy("chromosome", F.col("b").alias("lo"), "hi").agg(F.min("best").alias("best"))
+            .select("chromosome", "lo", "hi", F.col("best.gene").alias("gene")))
 
 
 def _binned(segments: DataFrame, bin_size: int) -> DataFrame:
@@ -108,27 +128,24 @@ def _binned(segments: DataFrame, bin_size: int) -> DataFrame:
 def annotate_gene(df: DataFrame, genes: DataFrame | list | None = None, *,
                   chrom: str = "chromosome", pos: str = "position",
                   out: str = "gene", strict_types: bool = False,
-                  bin_size: int = DEFAULT_BIN,
-                  broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+                  bin_size: int = DEFAULT_BIN) -> DataFrame:
     """Add column ``out`` with the gene name of (chrom, pos).
 
     ``genes``: None -> the fixed table; a list of (gene, chromosome, start,
     end) tuples in priority order; or a DataFrame with columns priority,
-    gene, chromosome, start, end.
+    gene, chromosome, start, end.  Only the fixed table is broadcast; other
+    annotations are joined by bin, and adaptive execution broadcasts them if
+    their measured size allows it.
     """
     spark = df.sparkSession
-    if genes is None or isinstance(genes, list):
-        rows = gene_rows(strict_types) if genes is None else [(i, *r) for i, r in enumerate(genes)]
-        segs = _values(spark, local_segments(rows), "chromosome string, lo bigint, hi bigint, gene string")
-        n_genes = len(rows)
+    if genes is None:
+        segs = _values(spark, local_segments(gene_rows(strict_types)), "chromosome string, lo bigint, hi bigint, gene string")
+        seg = F.broadcast(_binned(segs, bin_size))
     else:
-        segs, n_genes = disjoint_segments(genes), None
-    seg = _binned(segs, bin_size)
-    if n_genes is None:
-        # size check on the annotation side before choosing a broadcast
-        n_genes = genes.count()
-    if n_genes <= broadcast_limit:
-        seg = F.broadcast(seg)
+        if isinstance(genes, list):
+            genes = spark.createDataFrame([(i, *r) for i, r in enumerate(genes)],
+                                          "priority int, gene string, chromosome string, start long, end long")
+        seg = _binned(disjoint_segments(genes), bin_size)
 
     c_norm = normalize_chromosome(chrom)
     probe = df.withColumn("_chrom_n", c_norm).withColumn(

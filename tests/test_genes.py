@@ -63,8 +63,7 @@ def test_custom_table_and_shuffle_path(spark):
     assert _ann(spark, rows, genes=genes, bin_size=1000) == expect
     gdf = spark.createDataFrame([(i, *g) for i, g in enumerate(genes)],
                                 "priority int, gene string, chromosome string, start int, end int")
-    # broadcast_limit=0 forces the shuffle-join path after the size check
-    assert _ann(spark, rows, genes=gdf, broadcast_limit=0, bin_size=1000) == expect
+    assert _ann(spark, rows, genes=gdf, bin_size=1000) == expect
 
 
 def test_plan_broadcasts_and_never_shuffles_snps(spark, snps01):
@@ -114,3 +113,28 @@ def test_apply_record_defaults(spark):
                                "position int, quality int")
     rows = [tuple(r) for r in apply_record_defaults(df).collect()]
     assert rows == [("SNP", "Unknown", "Unknown", "0", 0, 0), ("SNP", "BRCA1", "AG", "17", 5, 99)]
+
+
+def test_many_overlapping_intervals(spark):
+    """20,000 intervals on one chromosome, by brute force at some points, and
+    no join on the chromosome alone."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from allelic.operators.genes import disjoint_segments
+    rng = random.Random(4)
+    rows = []
+    for i in range(20_000):
+        start = rng.randint(0, 5_000_000)
+        rows.append((rng.randint(0, 10 ** 6) * 20_000 + i, f"g{i}", "7", start, start + rng.choice([3, 500, 100_000, 4_000_000])))
+    genes = spark.createDataFrame(rows, "priority long, gene string, chromosome string, start long, end long").repartition(8)
+    points = sorted(rng.sample(range(-10, 9_100_000), 60))
+    segments = disjoint_segments(genes)
+    wanted = spark.createDataFrame([(p,) for p in points], "p long")
+    got = {r["p"]: r["gene"] for r in segments.join(F.broadcast(wanted), (F.col("lo") <= F.col("p")) & (F.col("p") <= F.col("hi"))).collect()}
+    for p in points:
+        cover = [(pri, g) for pri, g, _, s, e in rows if s <= p <= e]
+        assert got.get(p) == (min(cover)[1] if cover else None)
+    plan = disjoint_segments(genes)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
