@@ -35,12 +35,14 @@ def read_genome(spark: SparkSession, path: str, *, rsid_only: bool = False) -> D
 # --- S2 / S10 -------------------------------------------------------------------
 def read_snp_stream(spark: SparkSession, source: str, fmt: str = "kafka", *,
                     topics: str | None = None, max_per_trigger: int | None = None,
-                    schema: T.StructType | None = None, options: dict | None = None) -> DataFrame:
+                    schema: T.StructType | None = None, options: dict | None = None,
+                    fail_on_data_loss: bool = True) -> DataFrame:
     """Streaming DataFrame of raw messages with a string ``value``.
 
     ``fmt='kafka'``: ``source`` is the bootstrap servers, ``topics`` the
     comma-separated subscription (all member topics in one query);
-    ``maxOffsetsPerTrigger`` caps a batch.  The connector jar is not part of
+    ``maxOffsetsPerTrigger`` caps a batch; offsets that are gone fail the query
+    unless ``fail_on_data_loss`` is False.  The connector jar is not part of
     this environment, so this branch is untested here.
     ``fmt='text'``/``'json'``: a folder of files, one message per line;
     ``maxFilesPerTrigger`` caps a batch.  ``fmt='parquet'``: a folder of
@@ -52,7 +54,7 @@ def read_snp_stream(spark: SparkSession, source: str, fmt: str = "kafka", *,
     if fmt == "kafka":
         r = (r.format("kafka").option("kafka.bootstrap.servers", source)
              .option("subscribe", topics or ",".join(MEMBER_TOPICS.values()))
-             .option("startingOffsets", "latest").option("failOnDataLoss", "false"))
+             .option("startingOffsets", "latest").option("failOnDataLoss", str(fail_on_data_loss).lower()))
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", str(max_per_trigger))
         return r.load().select(F.col("key").cast("string").alias("key"),

@@ -15,9 +15,11 @@ One ``foreachBatch`` query per message stream.  Per micro-batch it
 
 ``metric_snapshot`` reads one metric's partials (partition-pruned) and
 merges all batches with one hash aggregation.  Every ``compact_every``
-batches the partials are merged into ``base/version=N``; readers take the
-latest base plus the partials of later batches only, so the read cost does
-not grow with the age of the stream.
+batches the partials are merged into ``base/version=N``; readers open the
+latest base and the folders of later batches only.  Folders that an earlier
+base holds are deleted then, as are old snapshots and merged batch logs, so
+neither files nor read cost grow with the age of the stream.  One ``out``
+folder belongs to one checkpoint.
 """
 
 from __future__ import annotations
@@ -29,30 +31,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from allelic.functions.genotype import bucket, is_het
+from allelic.functions.genotype import bucket, is_het, pct
 from allelic.operators.genes import annotate_gene
-from allelic.operators.metrics import _het_summary, orientation
+from allelic.operators.metrics import _het_summary, orientation, with_group_total
 from allelic.operators.topk import top_k
 from allelic.sources import codec as C
+from allelic.streaming.stateful import delete, latest_version, numbered
 
 MEMBER = "member_type"
 
 
+TOKEN_FIELDS = ["total_members", "num_children", "generation_start_time", "generation_end_time",
+                "generation_duration_secs", "snps_per_member"]
+
+
 def messages_to_snps(raw: DataFrame) -> DataFrame:
     """Raw ``value`` messages -> the flattened SNP view (event time as a
-    UTC TIMESTAMP so it can carry a watermark), plus ``kind`` and the
-    micro-batch's ``processed_at`` (S4)."""
+    UTC TIMESTAMP so it can carry a watermark), plus ``kind``, the
+    micro-batch's ``processed_at`` (S4) and the completion token's fields
+    (NULL on SNP messages).  A key that is no number gives a NULL id."""
     parsed = C.stamp_ingest_time(C.message_kind(C.parse_snp_json(raw)))
+    # a message whose time cannot be read is corrupt; it must not end the stream
+    parsed = parsed.withColumn("ts", F.try_to_timestamp("timestamp"))
+    parsed = parsed.withColumn("kind", F.when(F.col("ts").isNull(), "corrupt").otherwise(F.col("kind")))
     flat = C.flatten_snp(parsed)
     key = F.col("key") if "key" in raw.columns else F.lit(None)
     return flat.select(
-        key.cast("long").alias("snp_id"),
-        F.to_timestamp("timestamp").alias("ts"),
+        key.try_cast("long").alias("snp_id"),
+        "ts",
         "family_id", MEMBER, "person_id", "gender",
         (F.col("kind") == "snp").alias("has_snp"),
         "chromosome", "position", "genotype",
         F.lit(None).cast("string").alias("gt_num"),
-        "kind", "_corrupt_record", "processed_at")
+        "kind", "_corrupt_record", "processed_at", *TOKEN_FIELDS)
 
 
 # --- additive per-batch partials: one grouping-sets aggregation ----------------
@@ -65,9 +76,10 @@ _SETS = {
     "gene_counts": [MEMBER, "gene"],
     "orientation_counts": [MEMBER, "orientation"],
     "family_tokens": ["family_id"],
+    "minute_counts": [MEMBER, "minute"],
 }
 _KEYS = [MEMBER, "chromosome_b", "genotype_b", "chromosome", "position", "person_id", "gene",
-         "orientation", "family_id"]
+         "orientation", "family_id", "minute"]
 
 
 def _partials(snps: DataFrame) -> DataFrame:
@@ -78,7 +90,8 @@ def _partials(snps: DataFrame) -> DataFrame:
     rows = annotate_gene(snps, out="gene").select(
         MEMBER, "chromosome", "position", "person_id", "gene", "family_id", "ts", "kind", valid.alias("v"),
         bucket("chromosome", "Unknown").alias("chromosome_b"), bucket("genotype", "0/0").alias("genotype_b"),
-        orientation("letters").alias("orientation"), is_het("genotype").alias("_h"))
+        orientation("letters").alias("orientation"), is_het("genotype").alias("_h"),
+        F.window("ts", "1 minute").start.alias("minute"))
     gid = F.grouping_id(*_KEYS)
     full = (1 << len(_KEYS)) - 1
     names = F.lit(None).cast("string")
@@ -97,7 +110,7 @@ def _partials(snps: DataFrame) -> DataFrame:
         F.min(F.when(F.col("kind") == "token", F.col("ts"))).alias("first_token_ts"),
         names.alias("metric"))
     m = F.col("metric")
-    keep = ((m == "batch_metrics")
+    keep = (m.isin("batch_metrics", "minute_counts")
             | (m.isin("chromosome_counts", "gene_counts") & (F.col("valid") > 0))
             | ((m == "position_counts") & (F.col("valid") > 0) & F.col("position").isNotNull())
             | ((m == "het_counts") & (F.col("het_n") > 0))
@@ -119,6 +132,8 @@ _SUMS = {
     "gene_counts": ({MEMBER: MEMBER, "gene": "gene"}, {"valid": ("sum", "count")}),
     "orientation_counts": ({MEMBER: MEMBER, "orientation": "orientation"}, {"valid": ("sum", "count")}),
     "family_tokens": ({"family_id": "family_id"}, {"first_token_ts": ("min", "first_token_ts")}),
+    "minute_counts": ({MEMBER: MEMBER, "minute": "minute"},
+                      {"messages": ("sum", "total_records"), "valid": ("sum", "valid_records")}),
 }
 
 
@@ -135,16 +150,17 @@ def _partial_rows(spark: SparkSession, out: str, upto: int | None = None) -> Dat
     """Partials of every batch (up to ``upto``): the latest compacted base
     (below ``upto``) plus the per-batch partials written after it; older
     batch folders are pruned by ``batch_id``."""
-    from allelic.streaming.stateful import latest_version
-    base_dir = os.path.join(out, "base")
+    base_dir, folder = os.path.join(out, "base"), os.path.join(out, "partials")
     v = latest_version(spark, base_dir, before=upto)
-    parts = spark.read.parquet(os.path.join(out, "partials"))
-    if upto is not None:
-        parts = parts.filter(F.col("batch_id") <= upto)
+    later = [b for b in numbered(spark, folder, "batch_id=") if (v is None or b > v) and (upto is None or b <= upto)]
+    parts = (spark.read.option("basePath", folder).parquet(*[os.path.join(folder, f"batch_id={b}") for b in later])
+             if later else None)
     if v is None:
+        if parts is None:
+            raise FileNotFoundError(f"no partials under {out}")
         return parts
     base = spark.read.parquet(os.path.join(base_dir, f"version={v}")).withColumn("batch_id", F.lit(v))
-    return parts.filter(F.col("batch_id") > v).unionByName(base, allowMissingColumns=True)
+    return base if parts is None else parts.unionByName(base, allowMissingColumns=True)
 
 
 def compact(spark: SparkSession, out: str, batch_id: int) -> None:
@@ -152,10 +168,58 @@ def compact(spark: SparkSession, out: str, batch_id: int) -> None:
     (one aggregation over every metric), starting from the newest base
     strictly below it.  Re-running it for the same batch rewrites the same
     version from the same inputs, so compaction is replay-safe too."""
+    bases, folder, logs = os.path.join(out, "base"), os.path.join(out, "partials"), os.path.join(out, "batch_log")
+    if any(v > batch_id for v in numbered(spark, bases, "version=")):
+        return  # a later base holds this one
     rows = _partial_rows(spark, out, upto=batch_id)
     merged = rows.groupBy("metric", *_KEYS).agg(*[_merge(c, h) for c, h in _VALUE_MERGE.items()])
     (merged.write.mode("overwrite").partitionBy("metric")
-     .parquet(os.path.join(out, "base", f"version={batch_id}")))
+     .parquet(os.path.join(bases, f"version={batch_id}")))
+    # what the base before this one holds is needed by no replay
+    older = [v for v in numbered(spark, bases, "version=") if v < batch_id]
+    for v in older[:-1]:
+        delete(spark, os.path.join(bases, f"version={v}"))
+    held = older[-1] if older else -1
+    for b in numbered(spark, folder, "batch_id="):
+        if b <= held:
+            delete(spark, os.path.join(folder, f"batch_id={b}"))
+    log = [b for b in numbered(spark, logs, "batch_id=") if b <= held]
+    if len(log) > 1:  # the newest of them takes the rows of the others
+        rows = batch_log(spark, out).filter(F.col("batch_id") <= held)
+        rows.coalesce(1).write.mode("overwrite").parquet(os.path.join(out, "batch_log_base", f"version={held}"))
+        for b in log:
+            delete(spark, os.path.join(logs, f"batch_id={b}"))
+        for v in numbered(spark, os.path.join(out, "batch_log_base"), "version=")[:-1]:
+            delete(spark, os.path.join(out, "batch_log_base", f"version={v}"))
+
+
+def batch_log(spark: SparkSession, out: str) -> DataFrame:
+    """One row per batch: batch_id, processing_ms, corrupt, finished_at."""
+    folder, base = os.path.join(out, "batch_log"), os.path.join(out, "batch_log_base")
+    v = latest_version(spark, base)
+    later = [b for b in numbered(spark, folder, "batch_id=") if v is None or b > v]
+    paths = [os.path.join(folder, f"batch_id={b}") for b in later]
+    if v is not None:
+        paths.append(os.path.join(base, f"version={v}"))
+    return spark.read.schema("batch_id long, processing_ms double, corrupt long, finished_at timestamp").parquet(*paths)
+
+
+def window_snapshot(spark: SparkSession, out: str, minutes: int = 1) -> DataFrame:
+    """Current counts per member and event-time window of whole minutes, and
+    the window's rate of valid records per second (A2, W1 over windows)."""
+    m = metric_snapshot(spark, out, "minute_counts").filter(F.col("minute").isNotNull())
+    w = F.window("minute", f"{minutes} minutes")
+    return (m.groupBy(MEMBER, w.start.alias("window_start"))
+            .agg(F.sum("total_records").cast("long").alias("total_records"),
+                 F.sum("valid_records").cast("long").alias("valid_records"))
+            .withColumn("rate", F.round(F.col("valid_records") / (minutes * 60.0), 4)))
+
+
+def genotype_snapshot(spark: SparkSession, out: str) -> DataFrame:
+    """Current genotype counts, totals and percent per member (A5)."""
+    counts = (metric_snapshot(spark, out, "chromosome_counts").groupBy(MEMBER, "genotype")
+              .agg(F.sum("count").cast("long").alias("count")))
+    return with_group_total(counts, [MEMBER], "total").withColumn("pct", pct("count", "total", share_first=True))
 
 
 def metric_snapshot(spark: SparkSession, out: str, metric: str) -> DataFrame:
@@ -197,6 +261,7 @@ def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str,
              .write.mode("overwrite").partitionBy("event_date")
              .parquet(os.path.join(archive, f"batch_id={batch_id}")))
         snps = batch.filter(F.col("kind") != "corrupt")
+        corrupt = batch.filter(F.col("kind") == "corrupt").count()
         (_partials(snps).write.mode("overwrite").partitionBy("metric")
          .parquet(os.path.join(out, "partials", f"batch_id={batch_id}")))
         if compact_every and batch_id > 0 and batch_id % compact_every == 0:
@@ -206,11 +271,15 @@ def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str,
                 # versioned by batch id: a replay rewrites the same version
                 df.write.mode("overwrite").parquet(
                     os.path.join(out, "snapshots", name, f"version={batch_id}"))
+                for v in numbered(spark, os.path.join(out, "snapshots", name), "version=")[:-2]:
+                    if v < batch_id:
+                        delete(spark, os.path.join(out, "snapshots", name, f"version={v}"))
         # One row per batch with its processing time (the metric work
         # above, as the reference measured it), replay-safe like the partials
         ms = (time.time() - started) * 1000.0
         (spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"),
                                F.lit(round(ms, 3)).alias("processing_ms"),
+                               F.lit(corrupt).cast("long").alias("corrupt"),
                                F.current_timestamp().alias("finished_at"))
          .write.mode("overwrite").parquet(os.path.join(out, "batch_log", f"batch_id={batch_id}")))
     finally:

@@ -52,38 +52,55 @@ def stream_family_completion(snps: DataFrame, *, watermark: str = DEFAULT_WATERM
 
 
 def upsert_snapshot(spark: SparkSession, batch: DataFrame, batch_id: int, path: str,
-                    keys: list[str], ts: str) -> None:
+                    keys: list[str], ts: str, keep: int = 2) -> None:
     """Merge a micro-batch into a last-write-wins snapshot.
 
     Versions live in ``{path}/version={batch_id}``; the new version is the
-    previous version union the batch reduced by ``latest_by_key``.  A
-    replayed batch rewrites its own version from the same previous one, so
-    the result is idempotent.  Readers take the highest version.
+    previous version union the batch reduced by ``latest_by_key``, equal times
+    by the rows' other columns.  A replayed batch rewrites its own version
+    from the same previous one, so the result is idempotent.  Readers take the
+    highest version; all but the ``keep`` newest are deleted.
     """
     prev = latest_version(spark, path, before=batch_id)
     merged = batch
     if prev is not None:
         merged = spark.read.parquet(f"{path}/version={prev}").unionByName(batch)
-    latest_by_key(merged, keys, ts).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+    rest = [c for c, t in merged.dtypes if c not in keys and c != ts and not t.startswith(("map", "variant"))]
+    tie = F.struct(*[x for c in rest for x in (F.col(c).isNull(), F.col(c))]) if rest else None
+    if tie is not None:
+        merged = merged.withColumn("_tie", tie)
+    latest = latest_by_key(merged, keys, ts, tiebreak="_tie" if rest else None).drop("_tie")
+    latest.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+    for v in numbered(spark, path, "version=")[:-keep]:
+        if v < batch_id:
+            delete(spark, f"{path}/version={v}")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the finished folders ``{prefix}{number}`` under ``path``, ascending."""
+    fs, hpath = _hadoop(spark, path)
+    if not fs.exists(hpath):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(hpath) if fs.exists(
+        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hpath = _hadoop(spark, path)
+    fs.delete(hpath, True)
 
 
 def latest_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
     """Highest committed snapshot version (optionally below ``before``).
     Lists the snapshot folder through the Hadoop FileSystem of the session,
     so it works on HDFS and object stores as well as local disks."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return None
-    vs = []
-    for st in fs.listStatus(hpath):
-        name = st.getPath().getName()
-        if name.startswith("version=") and fs.exists(
-                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            v = int(name.split("=", 1)[1])
-            if before is None or v < before:
-                vs.append(v)
+    vs = [v for v in numbered(spark, path, "version=") if before is None or v < before]
     return max(vs) if vs else None
 
 

@@ -56,7 +56,7 @@ def test_foreach_batch_parity_with_batch(spark, msg_dir):
             "diversity", "total_snps"]
     ref = M.population_heterozygosity(batch).select(*cols)
     assert now.select(*cols).exceptAll(ref).count() == 0 and ref.exceptAll(now.select(*cols)).count() == 0
-    log = spark.read.parquet(os.path.join(out, "batch_log"))
+    log = R.batch_log(spark, out)
     assert log.count() == spark.read.parquet(os.path.join(out, "partials")).select("batch_id").distinct().count()
     assert log.filter("processing_ms > 0").count() == log.count()
     # archive holds every message once
@@ -252,3 +252,104 @@ def test_read_snp_stream_parquet_with_file_cap(spark):
     q.awaitTermination()
     assert spark.table("pq_rows").count() == 1000
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4  # one file per batch
+
+
+def _message(**fields):
+    import json
+    base = {"family_id": "f1", "member_type": "child", "person_id": "c1", "gender": "F",
+            "snp_data": {"chromosome": "1", "position": 100, "genotype": "AG"},
+            "timestamp": "2024-01-01T00:00:01.000000"}
+    return json.dumps(base | fields)
+
+
+def _keyless():
+    def at(member, person, gt, second):
+        return _message(member_type=member, person_id=person, timestamp=f"2024-01-01T00:00:{second:02d}.000000",
+                        snp_data={"chromosome": "1", "position": 100, "genotype": gt})
+    return [at("father", "p1", "AA", 1), at("mother", "m1", "GG", 2), at("child", "c1", "AG", 3), at("child", "c2", "AG", 4),
+            at("child", "c2", "TT", 9),  # a later call of the same locus
+            _message(timestamp="yesterday"), _message(timestamp=None), "no json", "",
+            _message(message_type="FAMILY_COMPLETE", snp_data=None, member_type="family", person_id=None, total_members=4, num_children=2,
+                     snps_per_member={"father": 1, "mother": 1, "children": [1, 2]})]
+
+
+def test_messages_without_ids(spark):
+    """Trios, similarity, samples and tokens of messages as the producer sends them."""
+    from allelic.operators import family as FAM
+    from allelic.operators import metrics as M
+    from allelic.operators import timeseries as TS
+    raw = spark.createDataFrame([("text key", v) for v in _keyless()], "key string, value string")
+    rows = R.messages_to_snps(raw)
+    kinds = {r["kind"]: r["n"] for r in rows.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert kinds == {"snp": 5, "token": 1, "corrupt": 4}
+    good = rows.filter("kind <> 'corrupt'")
+    calls = FAM.genotype_calls(good)
+    assert sorted((r.child_id, r.child_gt, r.father_gt, r.mother_gt) for r in FAM.trio_join(calls).collect()) == [
+        ("c1", "AG", "AA", "GG"), ("c2", "AG", "AA", "GG")]
+    pairs = {(r.relation, r.person_a, r.person_b): r.similarity for r in FAM.genetic_similarity(calls).collect()}
+    assert pairs[("siblings", "c1", "c2")] == 1.0 and pairs[("father-mother", "p1", "m1")] == 0.0 and len(pairs) == 6
+    sample = {r.member_type: r.sample_genotype for r in M.batch_metrics(good, with_sample=True).collect()}
+    assert sample["father"] == "AA" and sample["child"] == "AG"
+    first = TS.first_per_batch(good.filter("has_snp"), "family_id").first()
+    assert first.person_id == "p1"
+    check = FAM.check_tokens(good.filter("kind = 'token'"), good).first()
+    assert check.agrees and check.total_snps == 5
+
+
+def test_bad_messages_do_not_end_the_stream(spark):
+    root = tempfile.mkdtemp(prefix="allelic-bad-")
+    src, out = os.path.join(root, "in"), os.path.join(root, "out")
+    spark.createDataFrame([(v,) for v in _keyless()], "value string").coalesce(1).write.text(src)
+    R.run_metrics(spark, src, out, os.path.join(root, "ckpt"), fmt="text", available_now=True, every=1).awaitTermination()
+    log = R.batch_log(spark, out).agg(F.sum("corrupt")).first()[0]
+    assert log >= 3  # an empty line may be dropped by the text reader
+    counts = {r.member_type: r.total_records for r in R.metric_snapshot(spark, out, "batch_metrics").collect()}
+    assert counts["child"] == 3 and counts["father"] == 1
+    windows = {r.member_type: r.valid_records for r in R.window_snapshot(spark, out, 5).collect()}
+    assert windows["child"] == 3
+    assert {(r.member_type, r.genotype): r["count"] for r in R.genotype_snapshot(spark, out).collect()}[("child", "AG")] == 2
+
+
+def test_files_of_a_long_stream_stay_few(spark):
+    """60 batches through the sink; a replay of the last one changes nothing."""
+    from allelic.streaming.stateful import numbered
+    out = os.path.join(tempfile.mkdtemp(prefix="allelic-long-"), "out")
+    raw = spark.createDataFrame([(None, v) for v in _keyless()[:5]], "key string, value string")
+    batch = R.messages_to_snps(raw).cache()
+    for i in range(60):
+        R._write_batch(spark, batch, i, out, None, 30, 10)
+    R._write_batch(spark, batch, 59, out, None, 30, 10)
+    assert len(numbered(spark, os.path.join(out, "partials"), "batch_id=")) <= 20
+    assert len(numbered(spark, os.path.join(out, "base"), "version=")) <= 2
+    assert len(numbered(spark, os.path.join(out, "batch_log"), "batch_id=")) <= 20
+    assert R.batch_log(spark, out).select("batch_id").distinct().count() == 60 == R.batch_log(spark, out).count()
+    got = {r.member_type: r.total_records for r in R.metric_snapshot(spark, out, "batch_metrics").collect()}
+    assert got == {"father": 60, "mother": 60, "child": 180}
+
+
+def test_two_fathers_give_two_rows(spark):
+    from allelic.operators import family as FAM
+    rows = [("f", "p1", "father", "1:5", "TT"), ("f", "p2", "father", "1:5", "AA"), ("f", "m", "mother", "1:5", "AG"),
+            ("f", "c", "child", "1:5", "AG"), (None, "x", "father", "1:5", "AA"), (None, "y", "child", "1:5", "AA"), (None, "z", "mother", "1:5", "AA")]
+    calls = spark.createDataFrame(rows, "family_id string, person_id string, member_type string, locus string, genotype string")
+    assert sorted((r.father_id, r.father_gt) for r in FAM.trio_join(calls).collect()) == [("p1", "TT"), ("p2", "AA")]
+
+
+def test_cells_hold_a_hot_window(spark):
+    """Trailing counts over a window that holds nearly all rows."""
+    from allelic.operators import timeseries as TS
+    times = [i * 7 for i in range(2000)] + [5, 5, 40_000]
+    rows = spark.createDataFrame([(t, True) for t in times], "t long, has_snp boolean").select(
+        F.timestamp_seconds("t").alias("ts"), "has_snp")
+    got = {int(r.ts.timestamp()): (r.n_21600s, r.n_30s) for r in TS.rate_series(rows, (21600, 30)).collect()}
+    for t in {0, 5, 7, 700, 13_993, 40_000}:
+        assert got[t] == (sum(t - 21600 < x <= t for x in times), sum(t - 30 < x <= t for x in times))
+
+
+def test_sequence_numbers_every_row(spark):
+    from allelic.operators import timeseries as TS
+    rows = [("g", None, 1), ("g", None, 2), ("g", 5, 1), ("g", 5, 2), ("g", 5, 0), ("g", 7, 9), (None, 1, 1)]
+    df = spark.createDataFrame(rows, "g string, t int, u int")
+    got = sorted((r.g or "", r.seq, r.t, r.u) for r in TS.sequence(df, ["g"], ["t", "u"]).collect())
+    assert got == [("", 0, 1, 1), ("g", 0, None, 1), ("g", 1, None, 2), ("g", 2, 5, 0), ("g", 3, 5, 1), ("g", 4, 5, 2), ("g", 5, 7, 9)]
+    assert TS.downsample(df, 3, ["t", "u"], by=["g"]).filter("g = 'g'").count() == 3
