@@ -4,24 +4,24 @@ Per-family outputs are always built in two hash-aggregation steps:
 rows -> (family, person) counts -> family.  The only collected list is the
 children of one family, whose size is fixed by the pedigree.
 
-Trio and relatedness operators pair each call with the single father and
-the single mother of its family at the same locus through one window over
-(family_id, locus): a group holds one call per family member, so its size
-is fixed by the pedigree, and no self-join or pair explosion occurs.
+Trio and relatedness operators gather the calls of one (family_id, locus):
+a group holds one call per family member, so its size is fixed by the
+pedigree.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from allelic.operators.ranks import materialize
+from allelic.functions.genotype import normalize_chromosome
+from allelic.operators.metrics import row_order
 
 MEMBER = "member_type"
 
 
 def _person_counts(df: DataFrame) -> DataFrame:
-    persons = df.filter(F.col("person_id").isNotNull())
+    persons = df.filter(F.col("person_id").isNotNull() & F.col("family_id").isNotNull())
     return persons.groupBy("family_id", "person_id", MEMBER, "gender").agg(
         F.count_if(F.col("has_snp")).alias("snps"),
         F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
@@ -41,8 +41,7 @@ def family_stats(df: DataFrame, member_type: str | None = None) -> DataFrame:
         F.max("snps").alias("max_snps"),
         F.min("snps").alias("min_snps"),
         F.array_sort(F.collect_set("gender")).alias("genders"))
-    # one row per family, read twice (rows and the total): materialise once
-    fam = materialize(fam)
+    # the total reads the same family table; its exchange is reused
     total = fam.select(F.count(F.lit(1))).scalar()
     return fam.withColumn("total_families", total)
 
@@ -72,6 +71,25 @@ def family_completion_summary(df: DataFrame) -> DataFrame:
         .alias("generation_duration_secs"))
 
 
+def check_tokens(tokens: DataFrame, snps: DataFrame) -> DataFrame:
+    """Completion tokens against the family's rows (A17): per token the stated
+    and the counted members, children and SNPs, and whether they agree.  A
+    family without rows counts none; a field the token lacks agrees with none.
+    ``tokens``: family_id, total_members, num_children, snps_per_member."""
+    summary = family_completion_summary(snps.filter(F.col("has_snp")))
+    stated = tokens.select(
+        "family_id", F.col("total_members").cast("long").alias("stated_members"),
+        F.col("num_children").cast("long").alias("stated_children"),
+        (F.col("snps_per_member.father") + F.col("snps_per_member.mother")
+         + F.aggregate("snps_per_member.children", F.lit(0), lambda a, x: a + x)).cast("long").alias("stated_snps"))
+    counted = summary.select(F.col("family_id").alias("_f"), "total_members", "num_children", "total_snps")
+    x = stated.join(counted, F.col("family_id") == F.col("_f"), "left").drop("_f").fillna(
+        0, ["total_members", "num_children", "total_snps"])
+    agree = ((F.col("stated_members") == F.col("total_members")) & (F.col("stated_children") == F.col("num_children"))
+             & (F.col("stated_snps") == F.col("total_snps")))
+    return x.withColumn("agrees", F.coalesce(agree, F.lit(False)))
+
+
 # --- A18 -------------------------------------------------------------------------
 def ingest_statistics(df: DataFrame) -> DataFrame:
     """Families, SNPs sent and SNPs per family (divisor at least 1)."""
@@ -83,31 +101,27 @@ def ingest_statistics(df: DataFrame) -> DataFrame:
 
 
 # --- J2 / D1 / D2 -----------------------------------------------------------------
-def _with_parents(calls: DataFrame) -> DataFrame:
-    """Every call plus the father's and the mother's call at the same
-    (family_id, locus), from one window over that key: a (family, locus)
-    group holds one call per family member, so its size is fixed by the
-    pedigree.  No self-join, and the calls are computed once."""
-    fl = Window.partitionBy("family_id", "locus")
-    is_f, is_m = F.col(MEMBER) == "father", F.col(MEMBER) == "mother"
-    return calls.select(
-        "*",
-        F.max(F.when(is_f, F.col("person_id"))).over(fl).alias("father_id"),
-        F.max(F.when(is_f, F.col("genotype"))).over(fl).alias("father_gt"),
-        F.max(F.when(is_m, F.col("person_id"))).over(fl).alias("mother_id"),
-        F.max(F.when(is_m, F.col("genotype"))).over(fl).alias("mother_gt"))
+def _members(calls: DataFrame) -> DataFrame:
+    """Per (family_id, locus) the fathers', mothers' and children's calls as
+    arrays of (id, gt).  A group holds one call per person of one family, so
+    its size is fixed by the pedigree.  NULL families and loci form no group."""
+    known = calls.filter(F.col("family_id").isNotNull() & F.col("locus").isNotNull())
+    one = F.struct(F.col("person_id").alias("id"), F.col("genotype").alias("gt"))
+    return known.groupBy("family_id", "locus").agg(
+        *[F.collect_list(F.when(F.col(MEMBER) == m, one)).alias(m) for m in ("father", "mother", "child")])
 
 
 def trio_join(calls: DataFrame) -> DataFrame:
-    """Child call with the father's and the mother's call at the same
-    (family_id, locus); children without both parents' calls are dropped
-    (inner-join semantics).  ``calls``: family_id, person_id, member_type,
-    locus, genotype with one call per person and locus."""
-    w = _with_parents(calls)
-    return w.filter((F.col(MEMBER) == "child") & F.col("father_gt").isNotNull()
-                    & F.col("mother_gt").isNotNull()).select(
-        "family_id", "locus", F.col("person_id").alias("child_id"), F.col("genotype").alias("child_gt"),
-        "father_id", "father_gt", "mother_id", "mother_gt")
+    """Child call with a father's and a mother's call at the same
+    (family_id, locus); children without both parents' calls are dropped, and
+    two fathers give two rows (inner-join semantics).  ``calls``: family_id,
+    person_id, member_type, locus, genotype with one call per person and locus."""
+    rows = _members(calls)
+    for m in ("father", "mother", "child"):
+        rows = rows.withColumn(m, F.explode(m))
+    return rows.select("family_id", "locus", F.col("child.id").alias("child_id"), F.col("child.gt").alias("child_gt"),
+                       F.col("father.id").alias("father_id"), F.col("father.gt").alias("father_gt"),
+                       F.col("mother.id").alias("mother_id"), F.col("mother.gt").alias("mother_gt"))
 
 
 def _alleles_in(allele: Column, gt: Column) -> Column:
@@ -144,38 +158,42 @@ def ibs_shared(g1: Column, g2: Column) -> Column:
 
 
 def genetic_similarity(calls: DataFrame) -> DataFrame:
-    """Identity-by-state similarity of the pedigree pairs of each
-    family (father-child, mother-child, father-mother): the mean of shared
-    alleles / 2 over the loci both persons have.
-
-    Each call is paired with the single father and mother of its (family,
-    locus) group (one window, see :func:`_with_parents`): a child call
-    yields its father-child and mother-child pairs, a mother call the
-    father-mother pair.  No self-join, no pair explosion.
-    """
-    w = _with_parents(calls)
-    m = F.col(MEMBER)
-
-    def pair(rel, cond, a_id, a_gt):
-        return F.when(cond & a_gt.isNotNull(),
-                      F.struct(F.lit(rel).alias("relation"), a_id.alias("person_a"), a_gt.alias("gt_a")))
-    pairs = F.array(pair("father-child", m == "child", F.col("father_id"), F.col("father_gt")),
-                    pair("mother-child", m == "child", F.col("mother_id"), F.col("mother_gt")),
-                    pair("father-mother", m == "mother", F.col("father_id"), F.col("father_gt")))
-    x = (w.select("family_id", F.col("person_id").alias("person_b"), F.col("genotype").alias("gt_b"),
-                  F.explode(F.filter(pairs, lambda p: p.isNotNull())).alias("_p"))
-         .select("family_id", "_p.relation", "_p.person_a", "person_b", "_p.gt_a", "gt_b"))
+    """Identity-by-state similarity of the pairs of each family
+    (father-mother, father-child, mother-child, siblings with the smaller
+    person id first): the mean of shared alleles / 2 over the loci both
+    persons have.  Pairs are formed inside one (family, locus) group, whose
+    size is fixed by the pedigree."""
+    def pairs(relation, left, right, keep=None):
+        def of(x):
+            others = F.filter(right, lambda y: keep(x, y)) if keep else F.col(right)
+            return F.transform(others, lambda y: F.struct(
+                F.lit(relation).alias("relation"), x["id"].alias("person_a"), y["id"].alias("person_b"),
+                x["gt"].alias("gt_a"), y["gt"].alias("gt_b")))
+        return F.flatten(F.transform(left, of))
+    every = F.concat(pairs("father-mother", "father", "mother"), pairs("father-child", "father", "child"),
+                     pairs("mother-child", "mother", "child"),
+                     pairs("siblings", "child", "child", lambda x, y: x["id"] < y["id"]))
+    x = _members(calls).select("family_id", F.explode(every).alias("_p")).select("family_id", "_p.*")
     return (x.groupBy("family_id", "relation", "person_a", "person_b")
             .agg(F.count(F.lit(1)).alias("loci"),
                  F.round(F.avg(ibs_shared(F.col("gt_a"), F.col("gt_b")) / 2.0), 4).alias("similarity")))
 
 
-def genotype_calls(snps: DataFrame, locus: Column) -> DataFrame:
-    """One call per (family, person, locus): the genotype of the earliest
-    SNP row (smallest ``snp_id``) among 2-letter A/C/G/T genotypes.
-    ``locus`` is the locus key expression (e.g. chromosome:position)."""
-    v = (snps.filter(F.col("has_snp") & F.col("person_id").isNotNull()
+def locus_key() -> Column:
+    """Normalised chromosome and position; NULL when either is NULL."""
+    return F.when(F.col("chromosome").isNotNull() & F.col("position").isNotNull(),
+                  F.concat(normalize_chromosome("chromosome"), F.lit(":"), F.col("position").cast("string")))
+
+
+def genotype_calls(snps: DataFrame, locus: Column | None = None) -> DataFrame:
+    """One call per (family, person, locus): the genotype of the first SNP
+    row (smallest ``snp_id``; rows without an id by time and content, see
+    ``row_order``) among 2-letter A/C/G/T genotypes.  Rows without a family,
+    person or locus make no call.  ``locus``: by default ``locus_key()``."""
+    locus = locus_key() if locus is None else locus
+    v = (snps.filter(F.col("has_snp") & F.col("person_id").isNotNull() & F.col("family_id").isNotNull()
                      & F.col("genotype").rlike("^[ACGT]{2}$"))
-         .select("family_id", "person_id", MEMBER, locus.alias("locus"), "snp_id", "genotype"))
+         .withColumn("locus", locus).filter(F.col("locus").isNotNull()))
+    v = v.select("family_id", "person_id", MEMBER, "locus", "genotype", row_order(v).alias("_order"))
     return (v.groupBy("family_id", "person_id", MEMBER, "locus")
-            .agg(F.min_by("genotype", "snp_id").alias("genotype")))
+            .agg(F.min_by("genotype", "_order").alias("genotype")))

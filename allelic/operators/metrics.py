@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from allelic.functions.genotype import (
@@ -35,6 +35,15 @@ def epoch_us(ts: str | Column = "ts") -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
+def row_order(df: DataFrame, first: str = "snp_id") -> Column:
+    """A sort key that is never NULL: ``first`` (NULL last), then event time
+    and the rest of the message, for rows that came without an id."""
+    names = [c for c in (first, "ts", "family_id", MEMBER, "person_id", "chromosome", "position", "genotype")
+             if c in df.columns]
+    return F.struct(*[x for i, c in enumerate(dict.fromkeys(names))
+                      for x in (F.col(c).isNull().alias(f"none_{i}"), F.col(c).alias(f"key_{i}"))])
+
+
 # --- A1 ---------------------------------------------------------------------
 def batch_metrics(df: DataFrame, batch_col: str | None = None, *, with_sample: bool = False) -> DataFrame:
     """Per member (and batch): valid SNP records, messages, tokens, last ts.
@@ -42,8 +51,9 @@ def batch_metrics(df: DataFrame, batch_col: str | None = None, *, with_sample: b
     ``with_sample`` adds the batch's sample genetic record (the reference
     sent one with every batch): the valid SNP with the smallest ``snp_id``
     (deterministic, where the reference took an arbitrary ``first()``),
-    with its default-filled genotype and its gene.  The sample is picked by
-    ``min_by`` inside the same aggregation; only the few sample rows are
+    with its default-filled genotype and its gene.  Messages without an id
+    are ordered by their content (see ``row_order``).  The sample is picked
+    by ``min_by`` inside the same aggregation; only the few sample rows are
     annotated afterwards."""
     keys = [MEMBER] + ([batch_col] if batch_col else [])
     aggs = [F.count_if(F.col("has_snp")).alias("total_records"),
@@ -52,7 +62,7 @@ def batch_metrics(df: DataFrame, batch_col: str | None = None, *, with_sample: b
             F.max("ts").alias("last_ts")]
     if with_sample:
         rec = F.struct(F.col("snp_id"), F.col("chromosome"), F.col("position"), F.col("genotype"))
-        aggs.append(F.min_by(F.when(F.col("has_snp"), rec), F.when(F.col("has_snp"), F.col("snp_id")))
+        aggs.append(F.min_by(F.when(F.col("has_snp"), rec), F.when(F.col("has_snp"), row_order(df)))
                     .alias("_s"))
     out = df.groupBy(*keys).agg(*aggs)
     if not with_sample:
@@ -83,6 +93,19 @@ def window_counts(df: DataFrame, width: str, *, slide: str | None = None,
                     F.expr("cast(_sum_us div total_records as bigint)").alias("avg_epoch_us")))
 
 
+def with_group_total(counts: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """``counts`` with the group's summed ``count``.  Labels are free text, so
+    the total is a partial aggregate that is joined back, not a window that
+    brings all labels of a group into one task."""
+    by = list(by)
+    if not by:
+        return counts.withColumn(name, counts.select(F.sum("count")).scalar())
+    total = counts.groupBy(*by).agg(F.sum("count").alias(name))
+    total = total.select(*[F.col(k).alias(f"_t_{i}") for i, k in enumerate(by)], name)
+    on = [F.col(k).eqNullSafe(F.col(f"_t_{i}")) for i, k in enumerate(by)]
+    return counts.join(total, on, "inner").select(*counts.columns, name)
+
+
 # --- A3 / A37 ------------------------------------------------------------------
 def chromosome_distribution(df: DataFrame, as_map: bool = False) -> DataFrame:
     """Per member x chromosome x genotype counts plus the chromosome total.
@@ -97,8 +120,7 @@ def chromosome_distribution(df: DataFrame, as_map: bool = False) -> DataFrame:
             F.sum("count").alias("chromosome_total"),
             F.map_from_entries(F.sort_array(F.collect_list(F.struct("genotype", "count"))))
             .alias("genotypes"))
-    w = Window.partitionBy(MEMBER, "chromosome")
-    return base.withColumn("chromosome_total", F.sum("count").over(w))
+    return with_group_total(base, [MEMBER, "chromosome"], "chromosome_total")
 
 
 def hotspot_chromosomes(df: DataFrame, k: int = 5) -> DataFrame:
@@ -127,9 +149,7 @@ def genotype_trends(df: DataFrame, by: Sequence[str] = (MEMBER,)) -> DataFrame:
     by = list(by)
     counts = (_valid(df).select(*by, bucket("genotype", "0/0").alias("genotype"))
               .groupBy(*by, "genotype").agg(F.count(F.lit(1)).alias("count")))
-    w = Window.partitionBy(*by) if by else Window.partitionBy()
-    return (counts.withColumn("total", F.sum("count").over(w))
-            .withColumn("pct", pct("count", "total", share_first=True)))
+    return with_group_total(counts, by, "total").withColumn("pct", pct("count", "total", share_first=True))
 
 
 # --- A6 ---------------------------------------------------------------------------
@@ -210,15 +230,9 @@ def pipeline_counters(df: DataFrame, batch_col: str) -> DataFrame:
 
 
 # --- A10 / A11 ---------------------------------------------------------------------
-def gene_frequency(df: DataFrame, *, sampled: bool = False, batch_col: str | None = None,
-                   strict_types: bool = False) -> DataFrame:
-    """Count of valid SNPs per gene.  ``sampled=True`` reproduces the
-    reference's one-SNP-per-batch sample (W11) instead of counting all."""
-    v = _valid(df)
-    if sampled:
-        from allelic.operators.timeseries import first_per_batch
-        v = first_per_batch(v, batch_col or MEMBER)
-    ann = annotate_gene(v.select("chromosome", "position"), strict_types=strict_types)
+def gene_frequency(df: DataFrame, *, strict_types: bool = False) -> DataFrame:
+    """Count of valid SNPs per gene."""
+    ann = annotate_gene(_valid(df).select("chromosome", "position"), strict_types=strict_types)
     return ann.groupBy("gene").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -255,15 +269,9 @@ def _stack_classes(wide: DataFrame, keys: list[str], value_cols: Sequence[str],
     return wide.select(*keys, F.expr(f"stack(3, {pairs}) as (orientation, {name})"))
 
 
-def orientation_distribution(df: DataFrame, style: str = "letters", col: str | None = None, *,
-                             sampled: bool = False, batch_col: str | None = None) -> DataFrame:
+def orientation_distribution(df: DataFrame, style: str = "letters", col: str | None = None) -> DataFrame:
     """Counts of dominant / recessive / heterozygous; all three always
-    present (0 when absent); unclassifiable genotypes skipped.
-    ``sampled=True`` classifies only each batch's sample SNP (W11), as the
-    reference's dashboard did, instead of every SNP."""
-    if sampled:
-        from allelic.operators.timeseries import first_per_batch
-        df = first_per_batch(_valid(df), batch_col or MEMBER)
+    present (0 when absent); unclassifiable genotypes skipped."""
     wide = _class_counts(df, style, col, [])
     return _stack_classes(wide, [], _CLASSES, "count")
 

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from allelic.operators.metrics import with_group_total
 from allelic.operators.ranks import rank_index
 from allelic.operators.topk import top_k
 
@@ -75,9 +76,8 @@ def compare_chromosomes(df: DataFrame, genome: str, genomes: Sequence[str]) -> D
     genome (the genome list is passed, which saves a distinct job)."""
     v = _genomes(df).filter(F.col("chromosome").isNotNull())
     long = v.groupBy(genome, "chromosome").agg(F.count(F.lit(1)).alias("count"))
-    long = long.withColumn(
-        "pct", F.round(F.lit(100.0) * F.col("count")
-                       / F.sum("count").over(Window.partitionBy(genome)), 4))
+    long = with_group_total(long, [genome], "_total").select(
+        genome, "chromosome", F.round(F.lit(100.0) * F.col("count") / F.col("_total"), 4).alias("pct"))
     return long.groupBy("chromosome").pivot(genome, list(genomes)).agg(F.first("pct"))
 
 
@@ -86,9 +86,8 @@ def compare_genotypes(df: DataFrame, genome: str, k: int = 10) -> DataFrame:
     percent share (ties by genotype)."""
     v = _genomes(df).filter(F.col("genotype").isNotNull())
     counts = v.groupBy(genome, "genotype").agg(F.count(F.lit(1)).alias("count"))
-    counts = counts.withColumn(
-        "pct", F.round(F.lit(100.0) * F.col("count")
-                       / F.sum("count").over(Window.partitionBy(genome)), 4))
+    counts = with_group_total(counts, [genome], "_total").select(
+        genome, "genotype", "count", F.round(F.lit(100.0) * F.col("count") / F.col("_total"), 4).alias("pct"))
     return top_k(counts, [F.desc("count"), F.asc("genotype")], k, by=[genome], rank_col="rank")
 
 
@@ -99,20 +98,16 @@ def histogram(df: DataFrame, col: str, bins: int = 50, density: bool = False) ->
     All ``bins`` bins are returned, empty ones with count 0.  When min =
     max the range is (min - 0.5, min + 0.5), as numpy does.
 
-    The input is scanned once: the column is reduced to distinct values
-    with multiplicities and materialised; the range (scalar subqueries) and
-    the bin counts are both computed from that compact table."""
-    from allelic.operators.ranks import materialize
-    vals = materialize(df.filter(F.col(col).isNotNull())
-                       .groupBy(F.col(col).cast("double").alias("_x")).agg(F.count(F.lit(1)).alias("_c")))
+    Two scans of the one column: its range and number (one scalar subquery),
+    then the bin counts, of which each task sends ``bins`` rows at most."""
+    vals = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("_x"))
     x = F.col("_x")
-    lo0 = vals.select(F.min(x)).scalar()
-    hi0 = vals.select(F.max(x)).scalar()
-    n = vals.select(F.sum("_c")).scalar()
+    span = vals.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"))).scalar()
+    lo0, hi0, n = span["lo"], span["hi"], span["n"]
     lo = F.when(lo0 == hi0, lo0 - 0.5).otherwise(lo0)
     hi = F.when(lo0 == hi0, hi0 + 0.5).otherwise(hi0)
     idx = F.least(F.floor((x - lo) * F.lit(float(bins)) / (hi - lo)), F.lit(bins - 1)).cast("int")
-    counts = vals.select(idx.alias("bin"), "_c").groupBy("bin").agg(F.sum("_c").alias("count"))
+    counts = vals.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     # the bin index domain is a parameter (bins rows), not data
     domain = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     width = (hi - lo) / F.lit(float(bins))
@@ -172,7 +167,7 @@ def boxplot_stats(df: DataFrame, col: str, by: Sequence[str] = (), *,
     Exact and distributed: ranks come from :func:`rank_index`, and the
     whiskers are aggregated over distinct values, never over a whole group
     held in one task.  ``bin_width`` (value units) sizes the rank index's
-    bins; by default the global range is cut into equal bins."""
+    bins; by default they lie between approximate quantiles."""
     keys = list(by)
     idx = rank_index(df, col, keys, bin_width=bin_width)
     q = _interpolated(idx, keys, (0.25, 0.5, 0.75), lambda p, n: (n - 1).cast("double") * p)

@@ -8,12 +8,16 @@ Plan (no task ever holds more than one value bin of one group):
 
 1. hash-aggregate to distinct (group, value) with multiplicity ``n_at``
    (a hot value collapses to one row before the shuffle);
-2. per (group, bin) totals, where bin = floor((value - lo) / width), and a
-   prefix sum over the bins of each group (a few thousand rows at most);
+2. per (group, bin) totals, and a prefix sum over the bins of each group (a
+   few thousand rows at most).  Bins have a given width, or lie between
+   approximate quantiles of the column, so that they stay even when the
+   values are not;
 3. inside each (group, bin) partition a running sum over the sorted
    distinct values gives the offset within the bin.
 
 ``first_idx = rows in earlier bins + rows before this value in its bin``.
+Ranks are exact whatever the bins.  Nothing runs while the plan is built; the
+two branches over the distinct values share their exchange.
 """
 
 from __future__ import annotations
@@ -23,44 +27,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BINS = 4096
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` under ``spark.checkpoint.dir`` (read
-    from the session; only set when unset, e.g. in local tests).  Used
-    where one derived table feeds several branches of a plan."""
-    from allelic.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+#: Default bins: parts of equal width between this many approximate quantiles.
+QUANTILES, PARTS = 32, 128
 
 
 def _on(keys: list[str], left: DataFrame, right: DataFrame) -> list[Column]:
     return [left[k].eqNullSafe(right[k]) for k in keys]
 
 
+def with_quantile_bin(df: DataFrame, x: Column, values: DataFrame, name: str = "_bin") -> DataFrame:
+    """``df`` with the bin number of ``x``, not falling as x grows: ``PARTS``
+    parts of equal width between each two of ``QUANTILES`` approximate
+    quantiles of the one column of ``values`` (a scalar subquery), so that
+    bins stay even under outliers.  NULL has no bin."""
+    col = values.columns[0]
+    edges = values.select(F.percentile_approx(col, [i / QUANTILES for i in range(QUANTILES + 1)], 10_000)).scalar()
+    inner = F.slice("_edges", 2, QUANTILES - 1)
+    df = df.withColumns({"_edges": edges, "_x": x})
+    df = df.withColumn("_coarse", F.size(F.filter(inner, lambda e: e <= F.col("_x"))))
+    df = df.withColumns({"_lo": F.get("_edges", F.col("_coarse")), "_hi": F.get("_edges", F.col("_coarse") + 1)})
+    part = F.when(F.col("_hi") > F.col("_lo"), F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * PARTS)).otherwise(0)
+    number = F.col("_coarse") * PARTS + F.least(F.greatest(part, F.lit(0)), F.lit(PARTS - 1))
+    return (df.withColumn(name, F.when(F.col("_x").isNotNull(), number.cast("long")))
+            .drop("_edges", "_x", "_coarse", "_lo", "_hi"))
+
+
 def rank_index(df: DataFrame, col: str, by: Sequence[str] = (), *,
-               bin_width: float | None = None, bins: int = DEFAULT_BINS) -> DataFrame:
+               bin_width: float | None = None) -> DataFrame:
     """Columns: by..., value, n_at, first_idx, last_idx, n (group size).
 
     ``bin_width`` splits the value axis (e.g. 1,000,000 bases for genome
-    positions); when None the global range is cut into ``bins`` bins using
-    scalar subqueries for min and max.
+    positions); when None the bins lie between approximate quantiles (see
+    ``with_quantile_bin``).
     """
     keys = list(by)
     v = df.filter(F.col(col).isNotNull())
     d = v.groupBy(*keys, F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n_at"))
     if bin_width is not None:
-        b = F.floor(F.col("value") / F.lit(float(bin_width)))
+        d = d.withColumn("_bin", F.floor(F.col("value") / F.lit(float(bin_width))).cast("long"))
     else:
-        lo = v.select(F.min(F.col(col).cast("double"))).scalar()
-        hi = v.select(F.max(F.col(col).cast("double"))).scalar()
-        width = F.greatest((hi - lo) / F.lit(float(bins)), F.lit(1e-300))
-        b = F.floor((F.col("value").cast("double") - lo) / width)
-    # the distinct-value table feeds two branches (bin totals and the
-    # in-bin ranks); materialise it once in the shared checkpoint folder so
-    # the raw input is scanned once and the lineage is cut
-    d = materialize(d.withColumn("_bin", b.cast("long")))
+        d = with_quantile_bin(d, F.col("value").cast("double"), v.select(F.col(col).cast("double").alias("x")))
     tot = d.groupBy(*keys, "_bin").agg(F.sum("n_at").alias("_bin_n"))
     grp = Window.partitionBy(*keys) if keys else Window.partitionBy()
     tot = tot.select(
@@ -70,7 +76,7 @@ def rank_index(df: DataFrame, col: str, by: Sequence[str] = (), *,
         F.sum("_bin_n").over(grp).alias("n"))
     # one row per (group, bin): AQE broadcasts it from its measured size
     j = d.join(tot.withColumnRenamed("_bin", "_tbin"),
-               _on(keys, d, tot) + [d["_bin"] == F.col("_tbin")], "inner")
+               _on(keys, d, tot) + [d["_bin"].eqNullSafe(F.col("_tbin"))], "inner")
     in_bin = Window.partitionBy(*[d[k] for k in keys], d["_bin"]).orderBy("value")
     before = F.coalesce(F.sum("n_at").over(in_bin.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     first = (F.col("_before_bin") + before).cast("long")

@@ -3,21 +3,19 @@
 Trailing counts ``n(t - w, t]`` are computed without bounded window
 frames: Spark re-aggregates a sliding frame's whole buffer for every row,
 which costs O(rows x frame size) and collapses when a frame holds millions
-of events.  ``rate_series`` uses running sums only (incremental, O(n)):
+of events.  ``rate_series`` takes differences of prefix counts instead.  With
+P(x) the number of events at or before x, ``n(t - w, t] = P(t) - P(t - w)``:
 
 1. pre-aggregate to one row per (group, timestamp), which collapses hot
    timestamps before any shuffle;
-2. for each width w, cut time into buckets of width w; every row goes to
-   its own bucket b and, as a "ghost", to bucket b + 1, keyed by its offset
-   o = t - b*w inside its bucket;
-3. in the window partition (group, w, bucket b), ordered by offset with
-   ghosts first at equal offsets, an event at offset o has
-   ``n(t - w, t] = R + T - G``: R = running count of real rows (bucket b up
-   to t), T = total of the ghost rows (bucket b - 1) and G = running count
-   of ghost rows with offset <= o, i.e. those at or before t - w;
-4. a group-by on (group, timestamp) puts the widths side by side.
-
-Windows run in parallel over (group, width, bucket) partitions.
+2. every timestamp asks for P at t and at t - w for each width w; time is cut
+   into cells of ``CELL_SECONDS``, whatever the widths;
+3. P(x) = events in earlier cells (a prefix sum over one row per cell) +
+   events up to x in x's own cell (a running sum inside the cell);
+4. a group-by on (group, timestamp) puts the answers side by side.
+
+A task holds cells, never a whole window, so a wide window with most of the
+rows is as parallel as its cells.
 """
 
 from __future__ import annotations
@@ -28,11 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelic.functions.genotype import trend_direction
-from allelic.operators.metrics import epoch_us
-from allelic.operators.ranks import materialize, rank_index
+from allelic.operators.metrics import epoch_us, row_order
+from allelic.operators.ranks import with_quantile_bin
 from allelic.operators.topk import top_k
 
 US = 1_000_000
+#: Width of the time cells of the prefix counts, in seconds.
+CELL_SECONDS = 60
+#: Rows of a chunk of a numbered series.
+CHUNK = 10_000
 
 
 def rate_series(df: DataFrame, seconds: Sequence[int] = (60, 30, 10), *,
@@ -49,27 +51,27 @@ def rate_series(df: DataFrame, seconds: Sequence[int] = (60, 30, 10), *,
     per_ts = (src.groupBy(*by, F.col(ts).alias("ts"))
               .agg(F.count(F.lit(1)).alias("n_at"))
               .withColumn("_us", epoch_us("ts")))
-    copies = []
-    for i, s in enumerate(seconds):
-        w = s * US
-        b = F.floor(F.col("_us") / w)
-        o = F.col("_us") - b * w
-        copies += [F.struct(F.lit(i).alias("wid"), b.alias("b"), o.alias("o"), F.lit(False).alias("g")),
-                   F.struct(F.lit(i).alias("wid"), (b + 1).alias("b"), o.alias("o"), F.lit(True).alias("g"))]
-    x = (per_ts.select(*by, "ts", "n_at", F.explode(F.array(*copies)).alias("_c"))
-         .select(*by, "ts", "n_at", "_c.*"))
-    part = Window.partitionBy(*by, "wid", "b")
-    run = part.orderBy("o", F.desc("g")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    real_n = F.when(~F.col("g"), F.col("n_at")).otherwise(F.lit(0))
-    ghost_n = F.when(F.col("g"), F.col("n_at")).otherwise(F.lit(0))
-    n = F.sum(real_n).over(run) + F.sum(ghost_n).over(part) - F.sum(ghost_n).over(run)
-    per_width = x.select(*by, "ts", "n_at", "wid", "g", n.alias("n")).filter(~F.col("g"))
-    if len(seconds) == 1:
-        wide = per_width.select(*by, "ts", "n_at", F.col("n").alias(f"n_{seconds[0]}s"))
-    else:
-        wide = per_width.groupBy(*by, "ts").agg(
-            F.max("n_at").alias("n_at"),
-            *[F.max(F.when(F.col("wid") == i, F.col("n"))).alias(f"n_{s}s") for i, s in enumerate(seconds)])
+    asks = F.array(*[F.struct(F.lit(i).alias("wid"), (F.col("_us") - s * US).alias("x"))
+                     for i, s in enumerate([0, *seconds])])
+    x = (per_ts.select(*by, "ts", "n_at", F.explode(asks).alias("_a"))
+         .select(*by, "ts", "n_at", "_a.*", F.floor(F.col("_a.x") / (CELL_SECONDS * US)).alias("cell"),
+                 F.when(F.col("_a.wid") == 0, F.col("n_at")).otherwise(F.lit(0)).alias("_n")))
+    cells = x.groupBy(*by, "cell").agg(F.sum("_n").alias("_cell_n"))
+    earlier = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("cell")
+    cells = cells.select(*[F.col(k).alias(f"_c_{i}") for i, k in enumerate(by)], F.col("cell").alias("_c"),
+                         F.coalesce(F.sum("_cell_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)),
+                                    F.lit(0)).alias("_before"))
+    on = [F.col(k).eqNullSafe(F.col(f"_c_{i}")) for i, k in enumerate(by)] + [F.col("cell") == F.col("_c")]
+    # the event at x itself counts for P(x): it comes before the questions
+    run = (Window.partitionBy(*by, "cell").orderBy("x", "wid")
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = x.withColumn("_run", F.sum("_n").over(run)).join(cells, on, "inner").select(
+        *by, "ts", "n_at", "wid", (F.col("_before") + F.col("_run")).alias("p"))
+
+    def at(i):
+        return F.max(F.when(F.col("wid") == i, F.col("p")))
+    wide = counted.groupBy(*by, "ts").agg(
+        F.max("n_at").alias("n_at"), *[(at(0) - at(i)).alias(f"n_{s}s") for i, s in enumerate(seconds, 1)])
     return wide.select(*by, "ts", "n_at", *[F.col(f"n_{s}s").cast("long").alias(f"n_{s}s") for s in seconds],
                        *[(F.col(f"n_{s}s").cast("double") / float(s)).alias(f"rate_{s}s") for s in seconds])
 
@@ -84,10 +86,21 @@ def mutation_rate(df: DataFrame, seconds: int = 60, *, by: Sequence[str] = (),
 
 
 def rate_history(rates: DataFrame, n: int = 60, *, by: Sequence[str] = ()) -> DataFrame:
-    """The last ``n`` computed rates (newest first)."""
+    """The last ``n`` computed rates (newest first)."""
     return top_k(rates, [F.desc("ts")], n, by=list(by) or None)
 
 
+def mutation_rate_history(df: DataFrame, seconds: int = 60, n: int = 60, *, ts: str = "ts") -> DataFrame:
+    """The rates at the ``n`` newest event times.  Only events that one of
+    their windows reaches are counted: the oldest of the newest times is a
+    scalar subquery over the time column."""
+    src = df.filter(F.col("has_snp") & F.col(ts).isNotNull())
+    newest = src.select(ts).distinct().orderBy(F.desc(ts)).limit(n)
+    oldest = newest.select(F.min(epoch_us(ts))).scalar()
+    tail = src.filter(epoch_us(ts) > oldest - seconds * US)
+    return rate_history(mutation_rate(tail, seconds, ts=ts), n)
+
+
 def rate_trend(df: DataFrame, short: int = 30, long: int = 60, *,
                by: Sequence[str] = (), ts: str = "ts") -> DataFrame:
     """At each event time the ``short`` rate against the ``long`` rate
@@ -141,14 +154,22 @@ def zscore_anomaly(series: DataFrame, value: str, order: str, *, by: Sequence[st
                    k: float = 3.0, history: int = 50) -> DataFrame:
     """Flag values more than ``k`` sample standard deviations from the
     mean of the previous ``history`` points of the same group (k = 3 in the
-    report, 2.5 in the README)."""
-    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(order) \
-        .rowsBetween(-history, -1)
-    mean = F.avg(value).over(w)
-    std = F.stddev_samp(value).over(w)
-    return series.select(
-        "*", F.round(mean, 6).alias("hist_mean"), F.round(std, 6).alias("hist_std"),
-        F.coalesce(F.abs(F.col(value) - mean) > F.lit(k) * std, F.lit(False)).alias("is_anomaly"))
+    report, 2.5 in the README).
+
+    The series is numbered and cut into chunks of ``CHUNK`` points; the last
+    ``history`` points of a chunk also go to the next one, so a long series
+    of one group is many tasks."""
+    by = list(by)
+    chunk = max(CHUNK, history)
+    own = F.floor(F.col("_seq") / chunk)
+    goes_on = F.col("_seq") % chunk >= chunk - history
+    x = (sequence(series, by, order, name="_seq").withColumn("_own", own)
+         .withColumn("_chunk", F.explode(F.when(goes_on, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own")))))
+    w = Window.partitionBy(*by, "_chunk").orderBy("_seq").rowsBetween(-history, -1)
+    x = x.select("*", F.avg(value).over(w).alias("_mean"), F.stddev_samp(value).over(w).alias("_std"))
+    return x.filter(F.col("_own") == F.col("_chunk")).select(
+        *series.columns, F.round("_mean", 6).alias("hist_mean"), F.round("_std", 6).alias("hist_std"),
+        F.coalesce(F.abs(F.col(value) - F.col("_mean")) > F.lit(k) * F.col("_std"), F.lit(False)).alias("is_anomaly"))
 
 
 # --- histories over per-batch metric rows (W3, W7, W8, W9, W11) ---------------------
@@ -167,39 +188,53 @@ def _numeric_order(df: DataFrame, col: str):
     return F.col(col)
 
 
-def _with_rank(df: DataFrame, by: Sequence[str], order: str, bin_width: float | None) -> DataFrame:
-    """``df`` + ``_i`` (0-based position of the row's ``order`` value in its
-    group; equal values share the first position) and ``_n`` (group size).
-    Positions come from the binned rank index: no task numbers a whole
-    group, however long its history."""
+def _numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], bin_width: float | None) -> DataFrame:
+    """``df`` + ``_i`` (0-based position of the row in its group) and ``_n``
+    (group size).  Rows are ordered by all ``order`` columns, NULL first, and
+    among equal ones by their other columns, so every row has a position of
+    its own.  Positions come in two levels, bins of the first order column
+    and rows within a bin: no task numbers a whole group."""
     keys = list(by)
-    # the input (a metric series) is read by the index and by the join back:
-    # materialise it once
-    src = materialize(df.withColumn("_ord", _numeric_order(df, order)))
-    idx = rank_index(src, "_ord", keys, bin_width=bin_width)
-    ix = idx.select(*[F.col(k).alias(f"_ix_{i}") for i, k in enumerate(keys)],
-                    F.col("value").alias("_ix_v"), F.col("first_idx").alias("_i"), F.col("n").alias("_n"))
-    cond = [F.col(k).eqNullSafe(F.col(f"_ix_{i}")) for i, k in enumerate(keys)] + [F.col("_ord") == F.col("_ix_v")]
-    return src.join(ix, cond, "inner").select(*df.columns, "_i", "_n")
+    lead = _numeric_order(df, order[0])
+    t = dict(df.dtypes)[order[0]]
+    if t == "string":
+        x = df.withColumn("_bin", F.when(F.col(order[0]).isNotNull(), F.lit(0).cast("long")))
+    elif bin_width is not None:
+        x = df.withColumn("_bin", F.floor(lead / F.lit(float(bin_width))).cast("long"))
+    else:
+        x = with_quantile_bin(df, lead.cast("double"), df.select(lead.cast("double").alias("x")))
+    tot = x.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_bin_n"))
+    grp = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    before = F.sum("_bin_n").over(grp.orderBy(F.asc_nulls_first("_bin")).rowsBetween(Window.unboundedPreceding, -1))
+    tot = tot.select(*[F.col(k).alias(f"_ix_{i}") for i, k in enumerate(keys)], F.col("_bin").alias("_ix_bin"),
+                     F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_bin_n").over(grp).alias("_n"))
+    rest = [c for c, t in df.dtypes if c not in keys and c not in order and not t.startswith(("map", "variant"))]
+    inside = Window.partitionBy(*keys, "_bin").orderBy(*[F.asc_nulls_first(c) for c in [*order, *rest]])
+    on = [F.col(k).eqNullSafe(F.col(f"_ix_{i}")) for i, k in enumerate(keys)] + [F.col("_bin").eqNullSafe(F.col("_ix_bin"))]
+    return (x.withColumn("_at", F.row_number().over(inside)).join(tot, on, "inner")
+            .select(*df.columns, (F.col("_before") + F.col("_at") - 1).cast("long").alias("_i"), F.col("_n").cast("long").alias("_n")))
+
+
+def _columns(order: str | Sequence[str]) -> list[str]:
+    return [order] if isinstance(order, str) else list(order)
 
 
 def sequence(df: DataFrame, by: Sequence[str], order: str | Sequence[str], *,
-             bin_width: float | None = None) -> DataFrame:
-    """0-based sequence number per group in ``order`` (one column; rows
-    with equal order values share the number of the first)."""
-    order = order if isinstance(order, str) else order[0]
-    return _with_rank(df, by, order, bin_width).withColumnRenamed("_i", "seq").drop("_n")
+             bin_width: float | None = None, name: str = "seq") -> DataFrame:
+    """0-based sequence number per group in ``order`` (NULL first; ties by
+    the other columns, so every row has its own number)."""
+    return _numbered(df, by, _columns(order), bin_width).withColumnRenamed("_i", name).drop("_n")
 
 
 def downsample(df: DataFrame, limit: int, order: str | Sequence[str], *, by: Sequence[str] = (),
                bin_width: float | None = None) -> DataFrame:
     """When a group has more than ``limit`` rows keep every
-    ``ceil(n/limit)``-th row (from the first), then the last ``limit``."""
-    order = order if isinstance(order, str) else order[0]
-    r = _with_rank(df, by, order, bin_width)
+    ``ceil(n/limit)``-th row (from the first), then the last ``limit``.  Rows
+    are counted one by one, also those with equal or NULL order values."""
+    r = _numbered(df, by, _columns(order), bin_width)
     step = F.greatest(F.ceil(F.col("_n") / F.lit(limit)), F.lit(1))
-    kept = r.filter((F.col("_n") <= limit) | ((F.col("_i") % step) == 0)).drop("_i", "_n")
-    return top_k(kept, [F.desc(order)], limit, by=list(by) or None)
+    kept = r.filter((F.col("_n") <= limit) | ((F.col("_i") % step) == 0))
+    return top_k(kept, [F.desc("_i")], limit, by=list(by) or None).drop("_i", "_n")
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str | None = None) -> DataFrame:
@@ -213,8 +248,8 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str | N
 
 
 def first_per_batch(df: DataFrame, batch_col: str, order: str = "snp_id") -> DataFrame:
-    """The first valid row of each batch, deterministic by ``order``
-    (the reference took an arbitrary ``first()``)."""
+    """The first valid row of each batch by ``order``, rows without it
+    by time and content (the reference took an arbitrary ``first()``)."""
     rest = [c for c in df.columns if c != batch_col]
-    return (df.groupBy(batch_col).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_first"))
+    return (df.groupBy(batch_col).agg(F.min_by(F.struct(*rest), row_order(df, order)).alias("_first"))
             .select(batch_col, *[F.col(f"_first.{c}").alias(c) for c in rest]))

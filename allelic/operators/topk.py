@@ -4,13 +4,9 @@ Global top-k is ``orderBy().limit()``, which Spark plans as
 TakeOrderedAndProject: every partition keeps its own k best rows and only
 those reach the final merge, so nothing larger than k x partitions moves.
 
-Per-group top-k cannot use ``limit``.  A plain ``row_number()`` partitioned
-by the group sends a whole group to one task, which fails when one group
-holds a large share of the rows.  ``top_k(by=...)`` therefore ranks in two
-exact stages: first within (group, salt) sub-groups, keeping k rows each,
-then within the group over at most k x salts survivors.  The k best rows of
-a group are always among the k best of their own sub-group, so the result
-equals a single-stage ranking.
+Per-group top-k is a ranked window with a limit, which Spark plans with a
+partial group limit before the shuffle: every task sends k rows of a group at
+most, so a group with a large share of the rows stays small.
 """
 
 from __future__ import annotations
@@ -21,16 +17,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALT_BUCKETS = 64
-
-
 def _order_exprs(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
 def top_k(df: DataFrame, order: Sequence[Column | str], k: int, *,
-          by: Sequence[str] | None = None, rank_col: str | None = None,
-          salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+          by: Sequence[str] | None = None, rank_col: str | None = None) -> DataFrame:
     """The first ``k`` rows in ``order`` (per ``by`` group when given).
 
     ``order`` must be a total order for the result to be deterministic;
@@ -44,15 +36,8 @@ def top_k(df: DataFrame, order: Sequence[Column | str], k: int, *,
             top = top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
         return top
     by = list(by)
-    # salt from the row's own values (deterministic under task retries);
-    # map columns cannot be hashed and are left out
-    hashable = [c for c, t in df.dtypes if c not in by and not t.startswith("map")]
-    salt = F.pmod(F.xxhash64(*hashable), F.lit(salt_buckets)) if hashable else F.lit(0)
-    stage1 = (df.withColumn("_salt", salt)
-              .withColumn("_r1", F.row_number().over(Window.partitionBy(*by, "_salt").orderBy(*order)))
-              .filter(F.col("_r1") <= k).drop("_salt", "_r1"))
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long")
-    out = stage1.withColumn("_rank", rank).filter(F.col("_rank") <= k)
+    out = df.withColumn("_rank", rank).filter(F.col("_rank") <= k)
     if rank_col:
         return out.withColumnRenamed("_rank", rank_col)
     return out.drop("_rank")
@@ -68,8 +53,14 @@ def top_variants(variant_counts: DataFrame, k: int = 5) -> DataFrame:
     return top_k(variant_counts, [F.desc("count"), F.asc("variant_type")], k, rank_col="rank")
 
 
+def members_of(df: DataFrame, members: Sequence[str] = ("father", "mother", "child")) -> DataFrame:
+    """U1/U2 over one table: the members' rows, in one scan."""
+    return df.filter(F.col("member_type").isin(*members))
+
+
 def union_members(*dfs: DataFrame) -> DataFrame:
-    """Concatenate same-schema member streams or metric tables."""
+    """Concatenate same-schema member streams or metric tables that
+    are separate inputs (use ``members_of`` for one table)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
@@ -87,7 +78,7 @@ def chromosome_order(df: DataFrame, col: str = "chromosome") -> DataFrame:
     dashboard sorts them) and a natural rank (1..22, X, Y, MT, others)."""
     labels = df.select(F.col(col).alias("chromosome")).filter(F.col("chromosome").isNotNull()).distinct()
     n = F.regexp_replace(F.upper("chromosome"), "^CHR", "")
-    natural_key = (F.when(n.rlike("^[0-9]+$"), n.cast("int"))
+    natural_key = (F.when(n.rlike("^[0-9]{1,3}$"), n.try_cast("int"))
                    .when(n == "X", 1001).when(n == "Y", 1002).when(n == "MT", 1003)
                    .otherwise(2000))
     # label count is bounded by the chromosome alphabet; one small window

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from allelic.operators.genes import apply_record_defaults
 from allelic.functions import genotype as G
 from allelic.operators import family as FAM
 from allelic.operators import metrics as M
@@ -198,6 +199,19 @@ def q_proc_hist(spark, d):
     return TK.top_k(b, [F.desc("batch"), F.desc("member_type")], 50)
 
 
+@query("record_defaults", W() + """SELECT CASE WHEN has_snp THEN 'SNP' ELSE 'SNP' END AS variant_type,
+  coalesce(person_id, 'Unknown') AS gene, coalesce(genotype, 'Unknown') AS genotype, coalesce(chromosome, '0') AS chromosome,
+  coalesce(position, 0) AS position, CASE WHEN has_snp THEN 99 ELSE 0 END AS quality FROM snps""")
+def q_record_defaults(spark, d):
+    """P12 over records of all rows: the person stands in for the gene, and
+    completion tokens for records without fields."""
+    has = F.col("has_snp")
+    rec = load_snps(spark, d).select(
+        F.when(has, "SNP").alias("variant_type"), F.col("person_id").alias("gene"), "genotype", "chromosome", "position",
+        F.when(has, 99).alias("quality"))
+    return apply_record_defaults(rec)
+
+
 @query("task_time_series", W() + f"""SELECT *, row_number() OVER (PARTITION BY member_type ORDER BY batch) - 1 AS seq
   FROM ({_BATCHES})""")
 def q_task_series(spark, d):
@@ -240,16 +254,14 @@ def q_first_batch(spark, d):
 @query("union_member_streams", W() + """SELECT member_type, count(*) AS messages FROM snps
   WHERE member_type IN ('father', 'mother', 'child') GROUP BY member_type""")
 def q_union(spark, d):
-    s = load_snps(spark, d)
-    parts = [s.filter(F.col("member_type") == m) for m in ("father", "mother", "child")]
-    return TK.union_members(*parts).groupBy("member_type").agg(F.count(F.lit(1)).alias("messages"))
+    s = TK.members_of(load_snps(spark, d))
+    return s.groupBy("member_type").agg(F.count(F.lit(1)).alias("messages"))
 
 
 @query("union_member_metrics", W() + f"""SELECT DISTINCT {S.bucket('chromosome', 'Unknown')} AS chromosome FROM snps WHERE has_snp""")
 def q_union_metrics(spark, d):
-    cd = M.chromosome_distribution(load_snps(spark, d))
-    parts = [cd.filter(F.col("member_type") == m).select("chromosome") for m in ("father", "mother", "child")]
-    return TK.union_members(*parts).distinct()
+    s = TK.members_of(load_snps(spark, d)).filter(F.col("has_snp"))
+    return s.select(G.bucket("chromosome", "Unknown").alias("chromosome")).distinct()
 
 
 @query("chromosome_order", W() + """SELECT chromosome, row_number() OVER (ORDER BY chromosome) AS lexical_rank,
@@ -279,13 +291,6 @@ def q_gene_freq(spark, d):
     return M.gene_frequency(load_snps(spark, d))
 
 
-@query("gene_frequency_sampled", W(f"b AS (SELECT * FROM snps WHERE snp_id IN (SELECT min(snp_id) FROM snps "
-                                   f"WHERE has_snp GROUP BY {S.window_start(HOUR_US)}))",
-                                   *S.annotated_cte(src="b")) + "SELECT gene, count(*) AS count FROM ann GROUP BY gene")
-def q_gene_freq_sampled(spark, d):
-    return M.gene_frequency(hour_batch(load_snps(spark, d)), sampled=True, batch_col="batch")
-
-
 @query("top_genes", W(*S.annotated_cte()) + """SELECT gene, count, row_number() OVER (ORDER BY count DESC, gene) AS rank
   FROM (SELECT gene, count(*) AS count FROM ann GROUP BY gene) QUALIFY rank <= 5""")
 def q_top_genes(spark, d):
@@ -333,16 +338,6 @@ for _style, _suffix in [("letters", ""), ("vcf", "_vcf")]:
           """)(_pcts(_style))
 
 
-@query("orientation_distribution_sampled", W(f"b AS (SELECT * FROM snps WHERE snp_id IN (SELECT min(snp_id) FROM snps "
-                                             f"WHERE has_snp GROUP BY {S.window_start(HOUR_US)}))",
-                                             "c AS (" + _orient_counts_sql("letters").replace("FROM snps", "FROM b") + ")") +
-       """SELECT 'dominant' AS orientation, dominant AS count FROM c UNION ALL
-          SELECT 'recessive', recessive FROM c UNION ALL SELECT 'heterozygous', heterozygous FROM c""")
-def q_orient_sampled(spark, d):
-    """A12 over each hourly batch's sample SNP (the reference's sampling)."""
-    return M.orientation_distribution(hour_batch(load_snps(spark, d)), "letters", sampled=True, batch_col="batch")
-
-
 @query("gene_diversity", W(*S.annotated_cte()) + f"""SELECT count(DISTINCT gene) AS distinct_genes,
   count(o) AS total_genotypes, count(*) AS total_variants,
   CASE WHEN count(o) > 0 THEN round(CAST(count(DISTINCT gene) AS DOUBLE) / CAST(count(o) + 1 AS DOUBLE), 4) ELSE 0.0 END
@@ -398,7 +393,7 @@ def q_mut_rate_member(spark, d):
 @query("mutation_rate_history", W(S.rate_cte([LONG_S])) + f"""SELECT ts, n_at, n_{LONG_S}s AS n_window,
   round(CAST(n_{LONG_S}s AS DOUBLE) / {float(LONG_S)}, 4) AS mutation_rate FROM rates ORDER BY ts DESC LIMIT 60""")
 def q_mut_hist(spark, d):
-    return TS.rate_history(TS.mutation_rate(load_snps(spark, d), LONG_S), 60)
+    return TS.mutation_rate_history(load_snps(spark, d), LONG_S, 60)
 
 
 @query("rate_level", W(S.rate_cte([LONG_S])) + f"""SELECT ts, round(CAST(n_{LONG_S}s AS DOUBLE) / {float(LONG_S)} * 100.0, 2) AS rate_pct,
@@ -525,13 +520,13 @@ def q_family_completion(spark, d):
 
 
 def _calls(spark, d):
-    # FIXTURES: trio loci are snp_id % 23 (random positions rarely coincide
-    # within a family in the stand-in data)
-    return FAM.genotype_calls(load_snps(spark, d), (F.col("snp_id") % 23).alias("locus"))
+    return FAM.genotype_calls(load_snps(spark, d))
 
 
-_CALLS = ("calls AS (SELECT family_id, person_id, member_type, snp_id % 23 AS locus, arg_min(genotype, snp_id) AS genotype "
-          "FROM snps WHERE has_snp AND person_id IS NOT NULL AND regexp_full_match(genotype, '[ACGT]{2}') GROUP BY ALL)")
+_CALLS = (f"calls AS (SELECT family_id, person_id, member_type, {S.norm_chrom('chromosome')} || ':' || position AS locus, "
+          "arg_min(genotype, snp_id) AS genotype FROM snps WHERE has_snp AND person_id IS NOT NULL "
+          "AND family_id IS NOT NULL AND position IS NOT NULL AND chromosome IS NOT NULL "
+          "AND regexp_full_match(genotype, '[ACGT]{2}') GROUP BY ALL)")
 _TRIOS = ("trios AS (SELECT c.family_id, c.locus, c.person_id AS child_id, c.genotype AS child_gt, "
           "f.person_id AS father_id, f.genotype AS father_gt, m.person_id AS mother_id, m.genotype AS mother_gt "
           "FROM calls c JOIN calls f ON c.family_id = f.family_id AND c.locus = f.locus AND f.member_type = 'father' "
@@ -575,7 +570,8 @@ def _pairs_sql(ra: str, rb: str, rel: str) -> str:
 @query("genetic_similarity", W(_CALLS) + f"""SELECT family_id, relation, person_a, person_b, count(*) AS loci,
   round(avg({_ibs('gt_a', 'gt_b')} / 2.0), 4) AS similarity FROM (
   {_pairs_sql('father', 'mother', 'father-mother')} UNION ALL {_pairs_sql('father', 'child', 'father-child')}
-  UNION ALL {_pairs_sql('mother', 'child', 'mother-child')}) GROUP BY ALL""")
+  UNION ALL {_pairs_sql('mother', 'child', 'mother-child')}
+  UNION ALL {_pairs_sql('child', 'child', 'siblings')} AND a.person_id < b.person_id) GROUP BY ALL""")
 def q_similarity(spark, d):
     return FAM.genetic_similarity(_calls(spark, d))
 

@@ -3,12 +3,14 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from allelic.plans.registry import queries
 from tests.conftest import SF001
 
 QS = queries()
-# by design: the U1/U2 unions, which model three separate member-topic sources
-TWO_PASS = {"union_member_streams": 3, "union_member_metrics": 3}
+# two column-pruned scans instead of a shuffle of the whole input: range and
+# bin counts, rows and their total, newest times and the tail they reach
+TWO_PASS = {"position_histogram": 2, "boxplot_stats": 2, "family_stats": 2, "mutation_rate_history": 2, "task_time_series": 2, "downsample_last_n": 2,
+            "zscore_anomaly": 2, "zscore_anomaly_readme": 2}
 
 
 @pytest.fixture
@@ -27,3 +29,24 @@ def test_raw_table_scanned_once(spark, static_plans, name):
     assert scans <= TWO_PASS.get(name, 1), f"{name} scans the input {scans} times"
     # no cartesian products or nested-loop joins anywhere
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_building_queries_runs_no_job(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "no job may run")
+    try:
+        for name in sorted(QS):
+            QS[name](spark, SF001)
+            assert not sc.statusTracker().getJobIdsForGroup("building"), name
+    finally:
+        sc._jsc.clearJobGroup()
+
+
+def test_histogram_exchanges(spark, static_plans):
+    plan = QS["position_histogram"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange (?:hash|Single)", plan)) <= 3
+
+
+def test_top_k_limits_groups_before_the_shuffle(spark, static_plans):
+    plan = QS["hotspots_per_member"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"WindowGroupLimit.*Partial", plan)
