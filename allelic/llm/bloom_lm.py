@@ -1,7 +1,6 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counting: tasks count words and word pairs of their own documents; words go
-on as (word, count), pairs as sorted arrays of 64-bit hashes with counts, dealt
+Counting: tasks count words and word pairs of their own texts; words go on as (word, count), pairs as sorted arrays of 64-bit hashes with counts, dealt
 by hash range.  A range's task sums them and sets the bits of its own segment
 of the filter.  An n-gram of count c is quantised to the level
 1 + floor(log_BASE(c)) and entered once per level up to its own, so that its
@@ -21,11 +20,12 @@ and those of all other words from a join.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,30 +42,56 @@ BASE, PROBES, TOKEN_BITS, MOST_BITS = 2.0, 5, 24, 1 << 28
 RANGE_TOKENS, MOST_SEGMENTS = 1 << 20, 1 << 18
 #: Weight of a word's own probability against its pair's, in tokens.
 PRIOR = 4.0
-#: A task sends its counts on when it has so many distinct words, or so many n-grams.
-MOST_WORDS, MOST_PAIRS = 400_000, 4_000_000
-REMEMBERED = 500_000
 
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-#: The end token and the start of a text; no word has white space in it.
+#: The end token, which also stands before a text; no word has white space in it.
 END = b"\n"
+#: Bytes of text that are taken apart together.
+SLICE_BYTES = 12 * 1024 * 1024
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    """Lower-case words and the end token."""
-    return [*(text or b"").translate(_LOWER).split(), END]
+@dataclass
+class Tokens:
+    """The tokens of some texts: distinct ones (the end token is the last),
+    each token's number in them, and where each text begins and ends."""
 
+    distinct: pa.Array
+    which: np.ndarray
+    offsets: np.ndarray
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < REMEMBERED:
-            self[word] = h
-        return h
+    def hashes(self) -> np.ndarray:
+        """Hashes of the distinct tokens."""
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, self.distinct.to_pylist()), np.uint64, len(self.distinct))
 
+    def counts(self) -> np.ndarray:
+        return np.bincount(self.which, minlength=len(self.distinct))
 
-_hashes = _Hashes()
+
+def tokens(texts: pa.Array) -> Tokens:
+    """Lower-case words (A-Z alone are lowered) and the end token of each text."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    coded = split.flatten().dictionary_encode()
+    word = coded.indices.to_numpy()
+    at = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+    real = pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False).astype(bool)[word] if len(word) else np.zeros(0, bool)
+    at = np.concatenate([[0], np.cumsum(real)])[at]  # splitting leaves empty strings at a text's ends
+    word = word[real]
+    offsets = at + np.arange(len(at))
+    which = np.full(len(word) + len(texts), len(coded.dictionary), np.int64)
+    which[np.arange(len(word)) + np.repeat(np.arange(len(texts)), np.diff(at))] = word
+    distinct = pa.concat_arrays([pc.cast(coded.dictionary, pa.binary()), pa.array([END], pa.binary())])
+    return Tokens(distinct, which, offsets)
+
+
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``SLICE_BYTES`` of text, one row at least."""
+    size = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < batch.num_rows:
+        before = size[begin - 1] if begin else 0
+        end = max(int(np.searchsorted(size, before + SLICE_BYTES, side="right")), begin + 1)
+        yield batch.slice(begin, end - begin)
+        begin = end
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -75,14 +101,13 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+def end_hash() -> np.uint64:
+    return np.uint64(xxhash.xxh3_64_intdigest(END))
 
 
 def pair_hashes(h: np.ndarray) -> np.ndarray:
-    """Hash of each token with the one before it; the first follows the end token."""
-    before = np.concatenate([[np.uint64(_hashes[END])], h[:-1]])
-    return mixed(before * _SALT + h)
+    """Hash of each token with the one before it; a text's first follows the end token."""
+    return mixed(np.concatenate([[end_hash()], h[:-1]]) * _SALT + h)
 
 
 def single_hashes(h: np.ndarray) -> np.ndarray:
@@ -170,7 +195,7 @@ def filter_shape(n_tokens: int) -> tuple[int, int]:
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), (crc_remainder(id_col, FOLDS) == HELD_OUT).alias("held_out"),
-                       F.col(text_col).cast("binary").alias("text"))
+                       F.make_valid_utf8(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
 
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -178,14 +203,11 @@ def word_counts(train: DataFrame) -> DataFrame:
     schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Counter[bytes] = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                own.update(tokens(text))
-                if len(own) >= MOST_WORDS:
-                    yield pa.RecordBatch.from_arrays([pa.array(own.keys(), pa.binary()), pa.array(own.values(), pa.int64())], schema=schema)
-                    own = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array(own.keys(), pa.binary()), pa.array(own.values(), pa.int64())], schema=schema)
+        for part in (x for batch in batches for x in slices(batch, 0)):
+            own = tokens(part.column(0))
+            n = own.counts()
+            some = pa.array(n > 0)
+            yield pa.RecordBatch.from_arrays([own.distinct.filter(some), pa.array(n[n > 0], pa.int64())], schema=schema)
 
     return train.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
@@ -196,27 +218,18 @@ def build_filter(train: DataFrame, n_tokens: int) -> Filter:
     schema = pa.schema([("segment", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, size = [], 0
-
-        def flush():
-            nonlocal keys, size
-            k, n = summed([*keys, np.zeros(0, np.uint64)])
-            of = segment_of(k, segments)
-            starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(k) else []
-            keys, size = [], 0
-            for begin, end in zip(starts, [*starts[1:], len(k)], strict=True):
+        for part in (x for batch in batches for x in slices(batch, 0)):
+            own = tokens(part.column(0))
+            h = own.hashes()
+            for k, n in (summed([pair_hashes(h[own.which])]), summed([single_hashes(h)], [own.counts()])):
+                k, n = k[n > 0], n[n > 0]
+                of = segment_of(k, segments)
+                starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])).tolist() if len(k) else []
+                ends = [*starts[1:], len(k)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(of[begin])], pa.int32()), pa.array([k[begin:end].tobytes()], pa.binary()),
-                     pa.array([n[begin:end].astype("<u4").tobytes()], pa.binary())], schema=schema)
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                h = word_hashes(tokens(text))
-                keys += [pair_hashes(h), single_hashes(h)]
-                size += 2 * len(h)
-                if size >= MOST_PAIRS:
-                    yield from flush()
-        yield from flush()
+                    [pa.array(of[starts].tolist(), pa.int32()),
+                     pa.array([k[i:j].tobytes() for i, j in zip(starts, ends, strict=False)], pa.binary()),
+                     pa.array([n[i:j].astype("<u4").tobytes() for i, j in zip(starts, ends, strict=False)], pa.binary())], schema=schema)
 
     def build(table: pa.Table) -> pa.Table:
         k = [np.frombuffer(x, "<u8") for x in table.column("keys").to_pylist()]
@@ -232,18 +245,17 @@ def build_filter(train: DataFrame, n_tokens: int) -> Filter:
     return Filter(segments, words, bits)
 
 
-def model_scores(h: np.ndarray, starts: np.ndarray, model: Filter, n: int, v: int) -> np.ndarray:
-    """Sums, by text, of the log10 probabilities of its tokens.  ``h``: hashes
-    of the texts' tokens one after the other, each text ending in END."""
-    single = level_count(model.level(single_hashes(h)))
-    before = np.concatenate([[0.0], single[:-1]])
-    at_start = np.zeros(len(h), bool)
-    at_start[starts] = True
-    ends = level_count(model.level(single_hashes(word_hashes([END]))))[0]
-    before = np.where(at_start, ends, before)
-    pairs = np.minimum(level_count(model.level(pair_hashes(h))), before)
-    own = (np.minimum(single, n) + 1) / (n + v + 1)
-    return np.add.reduceat(np.log10((pairs + PRIOR * own) / (before + PRIOR)), starts)
+def model_scores(own: Tokens, model: Filter, n: int, v: int) -> np.ndarray:
+    """Sums, by text, of the log10 probabilities of its tokens."""
+    if not len(own.which):
+        return np.zeros(0)
+    h = own.hashes()
+    single = level_count(model.level(single_hashes(h)))  # the end token is the last
+    here = single[own.which]
+    before = np.concatenate([single[-1:], here[:-1]])  # what stands before a text's first token is an end token
+    pairs = np.minimum(level_count(model.level(pair_hashes(h[own.which]))), before)
+    alone = (np.minimum(here, n) + 1) / (n + v + 1)
+    return np.add.reduceat(np.log10((pairs + PRIOR * alone) / (before + PRIOR)), own.offsets[:-1])
 
 
 def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,25 +280,20 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     model = context.broadcast((made.segments, made.words, made.bits))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own = heavy.value, Filter(*model.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [tokens(t) for t in part.column(2).to_pylist()]
-                sizes = np.array([len(t) for t in texts])
-                starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                flat = [w for t in texts for w in t]
-                logs = np.fromiter((known.get(w, -1.0) for w in flat), float, len(flat))
-                rare = [[] for _ in texts]
-                for i in np.flatnonzero(logs < 0).tolist():
-                    rare[int(np.searchsorted(starts, i, side="right")) - 1].append(flat[i])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(sizes, pa.int64()),
-                     pa.array(np.add.reduceat((logs >= 0).astype(np.int64), starts), pa.int64()),
-                     pa.array(np.add.reduceat(np.maximum(logs, 0), starts), pa.float64()),
-                     pa.array(model_scores(word_hashes(flat), starts, own, n, v), pa.float64()),
-                     pa.array(rare, pa.list_(pa.binary()))],
-                    names=["id", "held_out", "n_tokens", "n_heavy", "heavy_logs", "score", "rare"])
+        known, filled = heavy.value, Filter(*model.value)
+        for part in (x for batch in batches for x in slices(batch, 2)):
+            own = tokens(part.column(2))
+            begin, words = own.offsets[:-1], own.distinct.to_pylist()
+            logs = np.fromiter((known.get(w, -1.0) for w in words), float, len(words))[own.which]
+            rare = logs < 0
+            ends = np.concatenate([[0], np.cumsum(rare)])[own.offsets]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(np.diff(own.offsets), pa.int64()),
+                 pa.array(np.add.reduceat((~rare).astype(np.int64), begin), pa.int64()),
+                 pa.array(np.add.reduceat(np.maximum(logs, 0), begin), pa.float64()),
+                 pa.array(model_scores(own, filled, n, v), pa.float64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), own.distinct.take(pa.array(own.which[rare])))],
+                names=["id", "held_out", "n_tokens", "n_heavy", "heavy_logs", "score", "rare"])
 
     schema = T.StructType([*rows.drop("text").schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("n_heavy", T.LongType()),
                            T.StructField("heavy_logs", T.DoubleType()), T.StructField("score", T.DoubleType()),
