@@ -52,35 +52,46 @@ LABELERS = ("form", "cue", "counter", "list", "edge")
 ROUNDS, STEPS, RATE, RIDGE = 50, 400, 0.5, 1e-3
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, not at each use in a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def prefix_sums(lengths: Column, block: int = 256) -> Column:
     """Sum of the elements before each element; by blocks, so that very many
     matches in a text cost far less than their square."""
-    zero = F.lit(0).cast("long")
-    total = lambda a: F.aggregate(a, zero, lambda s, x: s + x)
-    n = F.size(lengths)
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int")),
-                         lambda b: total(F.slice(lengths, b * block + 1, block)))
-    before = F.transform(blocks, lambda _, b: total(F.slice(blocks, F.lit(1), b)))
-    return F.transform(lengths, lambda _, i: F.element_at(before, (F.floor(i / block) + 1).cast("int"))
-                       + total(F.slice(lengths, (F.floor(i / block) * block + 1).cast("int"), i % block)))
-
-
-def _matches(docs: DataFrame, name: str, pattern: str, can_match: Column) -> DataFrame:
-    """Adds the column ``name``: (m, before, after, start) of all matches, the
-    texts between matches cut to the context.  The text outside the matches
-    comes from splitting by the same pattern, so one text is scanned twice at
-    most and no part of it is copied per match."""
-    docs = docs.withColumn("_m", F.when(can_match, F.regexp_extract_all("_text", F.lit(pattern), F.lit(0))))
-    docs = docs.withColumn("_p", F.when(F.size("_m") > 0, F.split("_text", pattern, -1)))
-    n = F.size("_m")
-    docs = docs.withColumn("_l", F.transform(F.arrays_zip(F.slice("_p", F.lit(1), n).alias("p"), F.col("_m").alias("m")),
-                                             lambda x: (F.length(x["p"]) + F.length(x["m"])).cast("long")))
-    zipped = F.arrays_zip(F.col("_m").alias("m"), F.slice("_p", F.lit(1), n).alias("p"), F.slice("_p", F.lit(2), n).alias("q"),
-                          prefix_sums(F.col("_l")).alias("s"))
-    spans = F.transform(zipped, lambda x: F.struct(
-        x["m"].alias("m"), F.right(x["p"], F.lit(CONTEXT)).alias("before"), F.left(x["q"], F.lit(CONTEXT)).alias("after"),
-        (x["s"] + F.length(x["p"])).alias("start"), (x["s"] + F.length(x["p"]) + F.length(x["m"])).alias("end")))
-    return docs.withColumn(name, F.when(F.size("_m") > 0, spans)).drop("_m", "_p", "_l")
+    def total(a):
+        return F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x)
+
+    def with_blocks(own):
+        last = F.floor((F.size(own) - 1) / block).cast("int")
+        sums = F.transform(F.sequence(F.lit(0), last), lambda b: total(F.slice(own, b * block + 1, block)))
+        return _let(sums, lambda blocks: _let(
+            F.transform(blocks, lambda _, b: total(F.slice(blocks, F.lit(1), b))),
+            lambda before: F.transform(own, lambda _, i: F.element_at(before, (F.floor(i / block) + 1).cast("int"))
+                                       + total(F.slice(own, (F.floor(i / block) * block + 1).cast("int"), i % block)))))
+
+    return _let(lengths, with_blocks)
+
+
+def _matches(docs: DataFrame, patterns: dict[str, str], can_match: dict[str, Column]) -> DataFrame:
+    """Adds a column for each pattern: (m, before, after, start, end) of all
+    matches, the texts between matches cut to the context.  The text outside
+    the matches comes from splitting by the same pattern, so a text is scanned
+    twice at most for a pattern and no part of it is copied per match."""
+    docs = docs.withColumns({f"_m_{k}": F.when(can_match[k], F.regexp_extract_all("_text", F.lit(p), F.lit(0))) for k, p in patterns.items()})
+    docs = docs.withColumns({f"_p_{k}": F.when(F.size(f"_m_{k}") > 0, F.split("_text", p, -1)) for k, p in patterns.items()})
+
+    def spans(k: str) -> Column:
+        m, p, n = F.col(f"_m_{k}"), F.col(f"_p_{k}"), F.size(f"_m_{k}")
+        lengths = F.zip_with(F.slice(p, F.lit(1), n), m, lambda x, y: (F.length(x) + F.length(y)).cast("long"))
+        zipped = F.arrays_zip(m.alias("m"), F.slice(p, F.lit(1), n).alias("p"), F.slice(p, F.lit(2), n).alias("q"),
+                              prefix_sums(lengths).alias("s"))
+        return F.when(n > 0, F.transform(zipped, lambda x: F.struct(
+            x["m"].alias("m"), F.right(x["p"], F.lit(CONTEXT)).alias("before"), F.left(x["q"], F.lit(CONTEXT)).alias("after"),
+            (x["s"] + F.length(x["p"])).alias("start"), (x["s"] + F.length(x["p"]) + F.length(x["m"])).alias("end"))))
+
+    return docs.withColumns({f"_{k}": spans(k) for k in patterns})
 
 
 def _luhn(digits: Column) -> Column:
@@ -143,8 +154,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     can = {"email": F.contains("_text", F.lit("@")), "ip": F.col("_digit"), "card": F.col("_digit"),
            "phone": F.contains("_text", F.lit("+")) & F.col("_text").rlike(r"\+[0-9]"),
            "spelled": F.col("_text").rlike(r"[\[(]at[\])]"), "local": F.col("_digit"), "national": F.col("_digit")}
-    for kind, pattern in {**PATTERNS, **WIDE}.items():
-        rows = _matches(rows, f"_{kind}", pattern, can[kind])
+    rows = _matches(rows, {**PATTERNS, **WIDE}, can)
     return rows.select("id", F.concat(*[_judged(k, f"_{k}", k in PATTERNS) for k in (*PATTERNS, *WIDE)]).alias("found"))
 
 
