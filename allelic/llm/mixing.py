@@ -28,7 +28,6 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 EPOCHS = 2
 SEED = "mix-1"
-#: Virtual times of sources that cannot be served.
 _BEFORE = Window.unboundedPreceding
 
 
@@ -123,15 +122,15 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     """
     queue = fair_queue(docs)
     copies = (queue.groupBy("row").agg(
-        F.first("id").alias("_id"), F.first("size").alias("_size"), F.first("source").alias("_source"),
-        F.sum(((F.col("taken") * 2 >= F.col("size")) & (F.col("taken") > 0)).cast("int")).alias("_n"))
-        .withColumn("_n", F.when(F.col("_size") == 0, 1).otherwise(F.col("_n"))))
-    same = Window.partitionBy("_id").orderBy(F.col("_source").asc_nulls_last(), "_size")
-    copies = copies.withColumn("_at", F.row_number().over(same)).select("_id", "_at", "_n")
-    theirs = Window.partitionBy("doc_id").orderBy(F.col("source").asc_nulls_last(), "_words")
-    rows = docs.withColumn("_words", words("text")).withColumn("_row", F.row_number().over(theirs))
-    return (rows.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_at")))
-            .withColumn("_copy", F.explode(F.when(F.col("_n") > 0, F.sequence(F.lit(1), F.col("_n").cast("int")))))
+        F.first("id").alias("_llm_id"), F.first("size").alias("_llm_size"), F.first("source").alias("_llm_source"),
+        F.sum(((F.col("taken") * 2 >= F.col("size")) & (F.col("taken") > 0)).cast("int")).alias("_llm_n"))
+        .withColumn("_llm_n", F.when(F.col("_llm_size") == 0, 1).otherwise(F.col("_llm_n"))))
+    same = Window.partitionBy("_llm_id").orderBy(F.col("_llm_source").asc_nulls_last(), "_llm_size")
+    copies = copies.withColumn("_llm_at", F.row_number().over(same)).select("_llm_id", "_llm_at", "_llm_n")
+    theirs = Window.partitionBy("doc_id").orderBy(F.col("source").asc_nulls_last(), "_llm_words")
+    rows = docs.withColumn("_llm_words", words("text")).withColumn("_llm_row", F.row_number().over(theirs))
+    return (rows.join(copies, F.col("doc_id").eqNullSafe(F.col("_llm_id")) & (F.col("_llm_row") == F.col("_llm_at")))
+            .withColumn("_llm_copy", F.explode(F.when(F.col("_llm_n") > 0, F.sequence(F.lit(1), F.col("_llm_n").cast("int")))))
             .select(*[docs[c] for c in docs.columns]))
 
 
