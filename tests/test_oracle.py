@@ -8,7 +8,8 @@ import pytest
 from tests.conftest import SF001
 from tools.check_oracle import TABLES, _rows
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from allelic.plans.registry import oracle_sql, queries
 
 QS, SQL = queries(), oracle_sql()
 

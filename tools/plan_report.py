@@ -35,7 +35,7 @@ def shape(plan: str) -> dict:
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    from __spark_entry__ import queries
+    from allelic.plans.registry import queries
     from allelic.session import get_session
     spark = get_session("local[4]", shuffle_partitions=8)
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # static plan shape
@@ -47,10 +47,8 @@ def main(argv):
              "Generated by `tools/plan_report.py` (static plans, AQE off, so no runtime",
              "broadcast conversion is shown). `SinglePartition` exchanges only appear",
              "under global aggregates and global top-k over already-reduced rows.",
-             "`scans` counts raw Parquet scans in the final plan; tables materialised",
-             "with `checkpoint()` (rank indexes, metric series, per-family rows) are",
-             "read from the checkpoint folder instead. Several scans remain only in the",
-             "U1/U2 unions, which model three separate member-topic sources.", "",
+             "`scans` counts raw Parquet scans; two scans are column-pruned passes where",
+             "one would need a shuffle of the whole input (see tests/test_plans.py).", "",
              "| query | scans | reused exchanges | shuffles | single-partition | broadcasts | windows | expands | sorts | scalar subqueries | top-k | scan reads |",
              "| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
     for name, s in rows:
