@@ -20,13 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Setting, Spark's default, this package's value.
+BATCH_SIZES = (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "4000"),
+               ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "16m"))
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Gives this package to the application's Python workers, as spark-submit
-    --py-files does; once per application."""
+    --py-files does; once per application.  Batches that Spark hands to Python
+    are kept small, unless the session has sizes of its own, because a batch
+    of whole texts is held several times over while it is worked on."""
     context = spark.sparkContext
+    for key, default, own in BATCH_SIZES:
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, own)
     if context.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parents[2]

@@ -30,7 +30,7 @@ from allelic.llm.files import open_read, open_write, own_name
 
 WINDOW = 10
 #: Words of a shard; characters of the benchmark in a block; text positions from sample to sample.
-SHARD, BLOCK_CHARS, SAMPLED = 1 << 20, 32 * 1024 * 1024, 16
+SHARD, BLOCK_CHARS, SAMPLED = 1 << 19, 32 * 1024 * 1024, 16
 #: Occurrences located at once.
 LOCATE = 1 << 18
 

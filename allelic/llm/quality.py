@@ -28,7 +28,7 @@ SAMPLE, BUCKETS, RANK = 6000, 2 ** 16, 8
 EPOCHS, BATCH, RATE, DECAY, SEED = 8, 128, 0.05, 1e-5, 11
 #: Rows remembered by rest of crc32(doc_id) / FOLDS: HELD_OUT is never learnt from.
 FOLDS, HELD_OUT = 3, 1
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 #: Most features of a sample row that are sent to the driver (the largest ones).
 SAMPLE_FEATURES = 2048
 
