@@ -11,7 +11,8 @@ from allelic.llm.common import stored
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours are linked to the least node around it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("at"), F.least("u", "m").alias("m"))
+    # a table of its own, so that adaptive execution can split a large node's part of the join
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("at"), F.least("u", "m").alias("m")), "least")
     return (both.where("v > u").join(least, F.col("u") == F.col("at"))
             .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
 

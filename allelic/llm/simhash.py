@@ -186,7 +186,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     are a component_id only if all ids of the component are null.
     """
     classes = _classified(docs, id_col, text_col)
-    least = classes.groupBy("root").agg(F.min("id").alias("component_id")).withColumnRenamed("root", "of")
+    # a table of its own, so that adaptive execution can split a large component's part of the join
+    least = stored(classes.groupBy(F.col("root").alias("of")).agg(F.min("id").alias("component_id")), "least")
     return (classes.join(least, F.col("root") == F.col("of"))
             .select(F.col("id").alias("doc_id"), "fp", "component_id"))
 
