@@ -140,9 +140,10 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     long_enough = F.octet_length("payload") >= LEAST_REVISIT
     ids = rows.where(long_enough).select("page_id", "digest")
-    groups = (ids.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-              .where("n > 1 AND first_id IS NOT NULL").select(F.col("digest").alias("of"), "first_id"))
-    # ids and digests alone are joined by digest, which may be hot; the payloads are joined by id
+    groups = stored(ids.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+                    .where("n > 1 AND first_id IS NOT NULL").select(F.col("digest").alias("of"), "first_id"), "equal")
+    # ids and digests alone are joined by digest, which may be hot (groups are a table of their own, so that adaptive
+    # execution can split the join); the payloads are joined by id
     revisits = (ids.join(groups, F.col("digest") == F.col("of")).where("NOT page_id <=> first_id")
                 .select(F.col("page_id").alias("rid"), F.col("of"), "first_id").distinct())
     decided = rows.join(revisits, F.col("page_id").eqNullSafe(F.col("rid")) & (F.col("digest") == F.col("of"))
