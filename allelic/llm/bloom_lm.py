@@ -1,10 +1,11 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counting: tasks count words and word pairs of their own texts; words go on as (word, count), pairs as sorted arrays of 64-bit hashes with counts, dealt
-by hash range.  A range's task sums them and sets the bits of its own segment
-of the filter.  An n-gram of count c is quantised to the level
-1 + floor(log_BASE(c)) and entered once per level up to its own, so that its
-level is read back by probing levels until one is absent.
+Counting: tasks count words and word pairs of their own texts; words go on as
+(word, count), n-grams as sorted arrays of 48-bit hashes with counts, dealt by
+hash range.  A range's task sums them and sets the bits of its own segment of
+the filter.  An n-gram of count c is quantised to the level 1 + floor(log_BASE(c))
+and entered once per level up to its own, so that its level is read back by
+probing levels until one is absent.
 
 The filter is broadcast.  Its size follows the number of training tokens up to
 ``MOST_BITS``; a segment whose entries would fill more than half of its bits
@@ -48,6 +49,9 @@ END = b"\n"
 #: Bytes of text that are taken apart together.
 SLICE_BYTES = 12 * 1024 * 1024
 _SALT = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of an n-gram's hash.  Equal hashes of different n-grams are far rarer than the filter's own errors.
+KEY_BYTES = 6
+_KEPT = np.uint64((1 << 64) - (1 << (64 - 8 * KEY_BYTES)))
 
 
 @dataclass
@@ -107,12 +111,23 @@ def end_hash() -> np.uint64:
 
 def pair_hashes(h: np.ndarray) -> np.ndarray:
     """Hash of each token with the one before it; a text's first follows the end token."""
-    return mixed(np.concatenate([[end_hash()], h[:-1]]) * _SALT + h)
+    return mixed(np.concatenate([[end_hash()], h[:-1]]) * _SALT + h) & _KEPT
 
 
 def single_hashes(h: np.ndarray) -> np.ndarray:
     """Hash of each token as an n-gram of its own."""
-    return mixed(h ^ _SALT)
+    return mixed(h ^ _SALT) & _KEPT
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """Keys without the low bytes that hashes of n-grams have as 0."""
+    return np.ascontiguousarray(keys, "<u8").view(np.uint8).reshape(-1, 8)[:, 8 - KEY_BYTES:].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // KEY_BYTES, 8), np.uint8)
+    out[:, 8 - KEY_BYTES:] = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES)
+    return out.view("<u8").ravel()
 
 
 def summed(keys: list[np.ndarray], counts: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -228,11 +243,11 @@ def build_filter(train: DataFrame, n_tokens: int) -> Filter:
                 ends = [*starts[1:], len(k)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(of[starts].tolist(), pa.int32()),
-                     pa.array([k[i:j].tobytes() for i, j in zip(starts, ends, strict=False)], pa.binary()),
+                     pa.array([packed(k[i:j]) for i, j in zip(starts, ends, strict=False)], pa.binary()),
                      pa.array([n[i:j].astype("<u4").tobytes() for i, j in zip(starts, ends, strict=False)], pa.binary())], schema=schema)
 
     def build(table: pa.Table) -> pa.Table:
-        k = [np.frombuffer(x, "<u8") for x in table.column("keys").to_pylist()]
+        k = [unpacked(x) for x in table.column("keys").to_pylist()]
         n = [np.frombuffer(x, "<u4").astype(np.int64) for x in table.column("counts").to_pylist()]
         return pa.table({"segment": table.column("segment").slice(0, 1),
                          "bits": pa.array([segment_bits(*summed(k, n), words).tobytes()], pa.binary())})

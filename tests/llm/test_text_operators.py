@@ -395,6 +395,13 @@ def test_filter_reads_back_levels():
     assert (made.level(bloom_lm.mixed(np.arange(30_000, 60_000, dtype=np.uint64))) == 0).mean() > 0.97
 
 
+def test_keys_pack_and_unpack():
+    import numpy as np
+    keys = bloom_lm.single_hashes(np.arange(1000, dtype=np.uint64) * np.uint64(7919))
+    assert len(np.unique(keys)) == 1000 and len(bloom_lm.packed(keys)) == 6000
+    assert (bloom_lm.unpacked(bloom_lm.packed(keys)) == keys).all() and not len(bloom_lm.unpacked(b""))
+
+
 def test_full_segments_leave_out_low_levels():
     import numpy as np
     keys = bloom_lm.mixed(np.arange(1, 5001, dtype=np.uint64))
