@@ -1,20 +1,24 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counting: tasks count words and word pairs of their own texts; words go on as
-(word, count), n-grams as sorted arrays of 48-bit hashes with counts, dealt by
-hash range.  A range's task sums them and sets the bits of its own segment of
-the filter.  An n-gram of count c is quantised to the level 1 + floor(log_BASE(c))
-and entered once per level up to its own, so that its level is read back by
-probing levels until one is absent.
-
-The filter is broadcast.  Its size follows the number of training tokens up to
-``MOST_BITS``; a segment whose entries would fill more than half of its bits
-leaves out the pairs of the lowest levels, as few as suffice, and a pair that
-is left out is scored as unseen.
+Units: texts are cut into units of some MB, stored with their rows, so that
+every pass sees the same units.
+
+Counting: tasks count the words and word pairs of a unit; words go on as
+(word, count), n-grams as sorted arrays of distinct 48-bit hashes with counts
+(0 for those of held-out texts alone), dealt by hash range.  A range's task
+sums them and sets the bits of its own segment of the filter.  An n-gram of
+count c is quantised to the level 1 + floor(log_BASE(c)) and entered once per
+level up to its own, so that its level is read back by probing levels until
+one is absent.
+
+A segment's bits follow its own entries, so every level of every n-gram is
+held whatever the input's size, and no process ever holds the whole filter:
+the range's task also probes its segment for the hashes of each unit, and a
+byte for each, its level, goes back to the unit in the order of the hashes.
 
 Scoring: the model's probability of a word is its pair's count over the first
-word's count, smoothed by the word's own probability, all counts being read
-from the filter.  The exact unigram base score takes the counts of words with
+word's count, smoothed by the word's own probability, all counts being those
+of the levels read from the filter.  The exact unigram base score takes the counts of words with
 over 1/``HEAVY`` of all tokens, fewer than ``HEAVY`` words, from a broadcast,
 and those of all other words from a join.
 """
@@ -28,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,9 +42,9 @@ from allelic.llm.common import crc_remainder, stored
 FOLDS, HELD_OUT = 7, 2
 #: Words that have over 1/HEAVY of the tokens, and this many bytes at most, are scored from a broadcast.
 HEAVY, MOST_LENGTH = 500_000, 64
-#: Quantisation base, probes per level, bits per training token, most bits (32 MB).
-BASE, PROBES, TOKEN_BITS, MOST_BITS = 2.0, 5, 24, 1 << 28
-#: Training tokens in a hash range, most ranges.
+#: Quantisation base, probes per level, bits per entry of a segment.
+BASE, PROBES, ENTRY_BITS = 2.0, 5, 32
+#: Training tokens in a hash range, most ranges (further tokens make the ranges larger).
 RANGE_TOKENS, MOST_SEGMENTS = 1 << 20, 1 << 18
 #: Weight of a word's own probability against its pair's, in tokens.
 PRIOR = 4.0
@@ -130,6 +135,21 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def packed_sorted(keys: np.ndarray) -> bytes:
+    """Sorted keys as the first one and the differences, in as many bytes as the largest needs."""
+    steps = np.diff(keys) >> np.uint64(64 - 8 * KEY_BYTES)
+    width = max((int(steps.max(initial=0)).bit_length() + 7) // 8, 1)
+    return bytes([width]) + packed(keys[:1]) + np.ascontiguousarray(steps, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpacked_sorted(data: bytes) -> np.ndarray:
+    width, begin = data[0], 1 + KEY_BYTES
+    steps = np.zeros(((len(data) - begin) // width, 8), np.uint8)
+    steps[:, :width] = np.frombuffer(data, np.uint8, offset=begin).reshape(-1, width)
+    steps = np.concatenate([[np.uint64(0)], np.cumsum(steps.view("<u8").ravel())]).astype(np.uint64)
+    return unpacked(data[1:begin]) + (steps << np.uint64(64 - 8 * KEY_BYTES))
+
+
 def summed(keys: list[np.ndarray], counts: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, and the sums of their counts (1 each if None)."""
     k = np.concatenate(keys)
@@ -188,7 +208,7 @@ def bit_of(keys: np.ndarray, level: int, probe: int, words: int) -> np.ndarray:
 
 def segment_bits(keys: np.ndarray, counts: np.ndarray, words: int) -> np.ndarray:
     """Bits of a segment that holds the keys, but for the lowest levels if
-    more than half of the bits would be set."""
+    more than half of the bits would be set; ``segment_words`` has room for all."""
     level = levels(counts)
     room = words * 64 * np.log(2) / PROBES
     entries = np.cumsum(np.bincount(level, minlength=1)[::-1] * np.arange(level.max(initial=0), -1, -1))[::-1]
@@ -202,10 +222,14 @@ def segment_bits(keys: np.ndarray, counts: np.ndarray, words: int) -> np.ndarray
     return np.packbits(on, bitorder="little").view("<u8")
 
 
-def filter_shape(n_tokens: int) -> tuple[int, int]:
-    """Segments and 64-bit words of a segment, for so many training tokens."""
-    segments = min(max(-(-n_tokens // RANGE_TOKENS), 1), MOST_SEGMENTS)
-    return segments, max(min(MOST_BITS, TOKEN_BITS * n_tokens) // 64 // segments, 1)
+def segment_words(counts: np.ndarray) -> int:
+    """64-bit words of a segment in which all levels of the counts have room."""
+    return int(levels(counts).sum()) * ENTRY_BITS // 64 + 1
+
+
+def ranges(n_tokens: int) -> int:
+    """Hash ranges for so many training tokens."""
+    return min(max(-(-n_tokens // RANGE_TOKENS), 1), MOST_SEGMENTS)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -227,50 +251,103 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def build_filter(train: DataFrame, n_tokens: int) -> Filter:
-    """The filter of all words and word pairs of ``train``."""
-    segments, words = filter_shape(n_tokens)
-    schema = pa.schema([("segment", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+def in_units(rows: DataFrame) -> DataFrame:
+    """The rows with a number ``row``, and ``unit``, the first row of the
+    slice of about ``SLICE_BYTES`` of text that a row is in."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
+        for part in (x for batch in batches for x in slices(batch, 2)):
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array(np.arange(row, row + part.num_rows), pa.int64()), pa.array(np.full(part.num_rows, row), pa.int64())],
+                names=["id", "held_out", "text", "row", "unit"])
+            row += part.num_rows
+
+    return rows.mapInArrow(cut, T.StructType([*rows.schema.fields, T.StructField("row", T.LongType()), T.StructField("unit", T.LongType())]))
+
+
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of batches (unit, row, ...) that are of one unit each; a unit
+    that lies in several batches gives several pieces."""
+    for batch in batches:
+        unit = batch.column(0).to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]])).tolist() if len(unit) else []
+        for i, j in zip(starts, [*starts[1:], len(unit)], strict=False):
+            yield batch.slice(i, j - i)
+
+
+def carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(unit, rows): each piece's rows as compressed Arrow data, for the shuffle."""
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+    for part in pieces(batches):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema, options=options) as out:
+            out.write_batch(part)
+        yield pa.RecordBatch.from_arrays([part.column(0).slice(0, 1), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["unit", "rows"])
+
+
+#: Kinds of n-grams.
+PAIR, SINGLE = 0, 1
+
+
+def answers(units: DataFrame, n_tokens: int) -> DataFrame:
+    """(unit, piece, kind, segment, levels): a byte for each distinct n-gram
+    of a piece in a hash range, in the order of the hashes: its level in the
+    filter of all words and word pairs of the texts that are not held out.
+    A piece is known by its first row."""
+    segments = ranges(n_tokens)
+    schema = pa.schema([("segment", pa.int32()), ("unit", pa.int64()), ("piece", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (x for batch in batches for x in slices(batch, 0)):
-            own = tokens(part.column(0))
+        for part in pieces(batches):
+            unit, piece = part.column(0)[0].as_py(), part.column(1)[0].as_py()
+            own = tokens(part.column(3))
             h = own.hashes()
-            for k, n in (summed([pair_hashes(h[own.which])]), summed([single_hashes(h)], [own.counts()])):
-                k, n = k[n > 0], n[n > 0]
+            learnt = np.repeat(~part.column(2).to_numpy(zero_copy_only=False), np.diff(own.offsets))
+            k = pair_hashes(h[own.which]) | learnt  # the low bits of hashes are 0
+            k.sort()
+            starts = np.flatnonzero(np.concatenate([[True], k[1:] >> np.uint64(16) != k[:-1] >> np.uint64(16)]))
+            pairs = k[starts] & _KEPT, np.add.reduceat((k & np.uint64(1)).astype(np.int64), starts)
+            used = own.counts() > 0
+            singles = summed([single_hashes(h[used])], [np.bincount(own.which[learnt], minlength=len(h))[used]])
+            for kind, (k, n) in ((PAIR, pairs), (SINGLE, singles)):
                 of = segment_of(k, segments)
-                starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])).tolist() if len(k) else []
+                starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])).tolist()
                 ends = [*starts[1:], len(k)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(of[starts].tolist(), pa.int32()),
-                     pa.array([packed(k[i:j]) for i, j in zip(starts, ends, strict=False)], pa.binary()),
-                     pa.array([n[i:j].astype("<u4").tobytes() for i, j in zip(starts, ends, strict=False)], pa.binary())], schema=schema)
+                    [pa.array(of[starts].tolist(), pa.int32()), *(pa.array([x] * len(starts), t) for x, t in ((unit, pa.int64()), (piece, pa.int64()), (kind, pa.int32()))),
+                     pa.array([packed_sorted(k[i:j]) for i, j in zip(starts, ends, strict=True)], pa.binary()),
+                     pa.array([n[i:j].astype("<u4").tobytes() for i, j in zip(starts, ends, strict=True)], pa.binary())], schema=schema)
 
-    def build(table: pa.Table) -> pa.Table:
-        k = [unpacked(x) for x in table.column("keys").to_pylist()]
+    def answer(table: pa.Table) -> pa.Table:
+        k = [unpacked_sorted(x) for x in table.column("keys").to_pylist()]
         n = [np.frombuffer(x, "<u4").astype(np.int64) for x in table.column("counts").to_pylist()]
-        return pa.table({"segment": table.column("segment").slice(0, 1),
-                         "bits": pa.array([segment_bits(*summed(k, n), words).tobytes()], pa.binary())})
-
-    made = (train.select("text").mapInArrow(gather, "segment int, keys binary, counts binary")
-            .groupBy("segment").applyInArrow(build, "segment int, bits binary"))
-    bits = np.zeros(segments * words, np.uint64)
-    for row in made.toLocalIterator():  # MOST_BITS in all
-        bits[row["segment"] * words:(row["segment"] + 1) * words] = np.frombuffer(row["bits"], "<u8")
-    return Filter(segments, words, bits)
-
-
-def model_scores(own: Tokens, model: Filter, n: int, v: int) -> np.ndarray:
-    """Sums, by text, of the log10 probabilities of its tokens."""
+        keys, counts = summed(k, n)
+        keys, counts = keys[counts > 0], counts[counts > 0]
+        words = segment_words(counts)
+        found = Filter(1, words, segment_bits(keys, counts, words)).level(np.concatenate(k)).astype(np.uint8)
+        ends = np.cumsum([len(x) for x in k])
+        return pa.table({**{c: table.column(c) for c in ("unit", "piece", "kind", "segment")},
+                         "levels": pa.array([found[e - len(x):e].tobytes() for e, x in zip(ends, k, strict=True)], pa.binary())})
+
+    return (units.select("unit", "row", "held_out", "text")
+            .mapInArrow(gather, "segment int, unit long, piece long, kind int, keys binary, counts binary")
+            .groupBy("segment").applyInArrow(answer, "unit long, piece long, kind int, segment int, levels binary"))
+
+
+def model_scores(own: Tokens, pair_levels: np.ndarray, single_levels: np.ndarray, n: int, v: int) -> np.ndarray:
+    """Sums, by text, of the log10 probabilities of its tokens, from the
+    levels of the distinct pairs and single tokens in the order of their hashes."""
     if not len(own.which):
         return np.zeros(0)
     h = own.hashes()
-    single = level_count(model.level(single_hashes(h)))  # the end token is the last
-    here = single[own.which]
+    used = own.counts() > 0
+    single = np.zeros(len(h))
+    single[used] = level_count(single_levels.astype(np.int64))[np.unique(single_hashes(h[used]), return_inverse=True)[1]]
+    here = single[own.which]  # the end token is the last
     before = np.concatenate([single[-1:], here[:-1]])  # what stands before a text's first token is an end token
-    pairs = np.minimum(level_count(model.level(pair_hashes(h[own.which]))), before)
+    pairs = level_count(pair_levels.astype(np.int64))[np.unique(pair_hashes(h[own.which]), return_inverse=True)[1]]
     alone = (np.minimum(here, n) + 1) / (n + v + 1)
-    return np.add.reduceat(np.log10((pairs + PRIOR * alone) / (before + PRIOR)), own.offsets[:-1])
+    return np.add.reduceat(np.log10((np.minimum(pairs, before) + PRIOR * alone) / (before + PRIOR)), own.offsets[:-1])
 
 
 def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -282,38 +359,47 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     any training text both counts are zero and every score is defined by the
     smoothing alone.
     """
-    rows = _rows(docs, id_col, text_col)
-    train = rows.where(~F.col("held_out"))
-    counts = stored(word_counts(train), "words")
+    units = stored(in_units(_rows(docs, id_col, text_col)), "units", "zstd")
+    counts = stored(word_counts(units.where(~F.col("held_out"))), "words")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(total["n"]), int(total["v"])
     context = docs.sparkSession.sparkContext
     # fewer than HEAVY words of MOST_LENGTH bytes at most
     frequent = (F.col("c") * HEAVY > F.lit(n)) & (F.octet_length("word") <= MOST_LENGTH)
     heavy = context.broadcast({bytes(r["word"]): float(np.log10(r["c"] + 1)) for r in counts.where(frequent).toLocalIterator()})
-    made = build_filter(train, n)
-    model = context.broadcast((made.segments, made.words, made.bits))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, filled = heavy.value, Filter(*model.value)
-        for part in (x for batch in batches for x in slices(batch, 2)):
-            own = tokens(part.column(2))
+    def score(packets: pa.Table, replies: pa.Table) -> pa.Table:
+        rows = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in packets.column("rows").to_pylist()]).sort_by("row")
+        replies = replies.sort_by([(c, "ascending") for c in ("piece", "kind", "segment")])
+        known, row = heavy.value, rows.column("row").to_numpy()
+        piece, kind = replies.column("piece").to_numpy(), replies.column("kind").to_numpy()
+        found = []
+        firsts = np.unique(piece)
+        at = np.searchsorted(row, firsts).tolist()
+        for first, i, j in zip(firsts, at, [*at[1:], len(row)], strict=True):
+            part = rows.slice(i, j - i)
+            own = tokens(part.column("text").combine_chunks())
+            pairs, singles = (np.frombuffer(b"".join(replies.column("levels").filter(pa.array((piece == first) & (kind == k))).to_pylist()), np.uint8)
+                              for k in (PAIR, SINGLE))
             begin, words = own.offsets[:-1], own.distinct.to_pylist()
             logs = np.fromiter((known.get(w, -1.0) for w in words), float, len(words))[own.which]
             rare = logs < 0
             ends = np.concatenate([[0], np.cumsum(rare)])[own.offsets]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(np.diff(own.offsets), pa.int64()),
+            found.append(pa.table(
+                [part.column("id"), part.column("held_out"), part.column("row"), pa.array(np.diff(own.offsets), pa.int64()),
                  pa.array(np.add.reduceat((~rare).astype(np.int64), begin), pa.int64()),
                  pa.array(np.add.reduceat(np.maximum(logs, 0), begin), pa.float64()),
-                 pa.array(model_scores(own, filled, n, v), pa.float64()),
+                 pa.array(model_scores(own, pairs, singles, n, v), pa.float64()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), own.distinct.take(pa.array(own.which[rare])))],
-                names=["id", "held_out", "n_tokens", "n_heavy", "heavy_logs", "score", "rare"])
-
-    schema = T.StructType([*rows.drop("text").schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("n_heavy", T.LongType()),
-                           T.StructField("heavy_logs", T.DoubleType()), T.StructField("score", T.DoubleType()),
-                           T.StructField("rare", T.ArrayType(T.BinaryType()))])
-    scored = stored(rows.mapInArrow(score, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
+                names=["id", "held_out", "row", "n_tokens", "n_heavy", "heavy_logs", "score", "rare"]))
+        return pa.concat_tables(found)
+
+    schema = T.StructType([units.schema[c] for c in ("id", "held_out", "row")]
+                          + [T.StructField("n_tokens", T.LongType()), T.StructField("n_heavy", T.LongType()),
+                             T.StructField("heavy_logs", T.DoubleType()), T.StructField("score", T.DoubleType()),
+                             T.StructField("rare", T.ArrayType(T.BinaryType()))])
+    texts = units.select("unit", "row", "id", "held_out", "text").mapInArrow(carried, "unit long, rows binary")
+    scored = stored(texts.groupBy("unit").cogroup(answers(units, n).groupBy("unit")).applyInArrow(score, schema), "scored")
     others = (scored.select("row", F.explode("rare").alias("word")).join(counts, "word")
               .groupBy("row").agg(F.count(F.lit(1)).alias("n_rare"), F.sum(F.log10(F.col("c") + 1)).alias("rare_logs"))
               .withColumnRenamed("row", "of"))

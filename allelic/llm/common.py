@@ -51,14 +51,14 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, os.path.join("llm", f"{name}-{uuid.uuid4().hex}"))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
     Cuts the lineage: a lost executor costs at most the stage at hand, and
     what several branches read is computed once.
     """
     path = fresh_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -415,3 +415,45 @@ def test_model_beats_the_base_on_held_out_texts(spark):
     got = bloom_lm.language_scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
     held = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def exact_lm(rows):
+    """Scores from a plain table of counts, read as the middles of their levels."""
+    import math
+    texts = [(i, [*brute.TOKEN.findall(brute.lower(t)), "\n"], zlib.crc32((b"" if i is None else str(i).encode())) % 7 == 2) for i, t in rows]
+    words, pairs = Counter(), Counter()
+    for _, t, held in texts:
+        if not held:
+            words.update(t)
+            pairs.update(zip(["\n", *t], t, strict=False))
+    n, v = sum(words.values()), len(words)
+    middle = lambda c: (2 ** (c.bit_length() - 1) + 2 ** c.bit_length() - 1) / 2 if c else 0.0
+
+    def log(a, b):
+        before, alone = middle(words[a]), (min(middle(words[b]), n) + 1) / (n + v + 1)
+        return math.log10((min(middle(pairs[a, b]), before) + bloom_lm.PRIOR * alone) / (before + bloom_lm.PRIOR))
+    return [(str(i), sum(log(a, b) for a, b in zip(["\n", *t], t, strict=False))) for i, t, _ in texts]
+
+
+@pytest.mark.parametrize(("tokens", "size"), [(1 << 20, 12 << 20), (2000, 20_000)])
+def test_language_model_keeps_rare_pairs(spark, monkeypatch, tokens, size):
+    """Every level of every word and pair is scored, in one hash range or many, and in many units;
+    under the former bound on the whole filter (MOST_BITS), here a small one, the rare ones were left out."""
+    monkeypatch.setattr(bloom_lm, "RANGE_TOKENS", tokens)
+    monkeypatch.setattr(bloom_lm, "SLICE_BYTES", size)
+    monkeypatch.setattr(bloom_lm, "MOST_BITS", 1 << 12, raising=False)
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").repartition(3)
+    got = sorted((str(r["doc_id"]), r["score"]) for r in bloom_lm.language_scores(docs).collect())
+    expected = sorted(exact_lm([(r["doc_id"], r["text"]) for r in docs.collect()]))
+    assert [i for i, _ in got] == [i for i, _ in expected]
+    wrong = sum(abs(a - b) > 0.005 * abs(b) + 0.5 for (_, a), (_, b) in zip(got, expected, strict=True))
+    assert wrong <= len(got) * 0.02  # a false answer of the filter, now and then
+    assert sum(a for _, a in got) == pytest.approx(sum(b for _, b in expected), rel=1e-3)
+
+
+def test_sorted_keys_pack_and_unpack():
+    import numpy as np
+    keys = np.unique(bloom_lm.single_hashes(np.arange(5000, dtype=np.uint64)))
+    for some in (keys, keys[:1], keys[[0, -1]], keys[100:103]):
+        assert (bloom_lm.unpacked_sorted(bloom_lm.packed_sorted(some)) == some).all()
+    assert len(bloom_lm.packed_sorted(keys)) < len(bloom_lm.packed(keys))
