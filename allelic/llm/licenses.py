@@ -41,7 +41,8 @@ UNKNOWN = 0.4
 
 #: A-Z to lower case; every other ASCII character that is no digit or letter to a space.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_EXPRESSION = re.compile(r"(?i)spdx[^0-9A-Za-z\x80-\U0010ffff]+license[^0-9A-Za-z\x80-\U0010ffff]+identifier[\x20\t]*:?[\x20\t]*([^\r\n]*)")
+_TAG = re.compile(r"(?i)spdx[^0-9A-Za-z\x80-\U0010ffff]+license[^0-9A-Za-z\x80-\U0010ffff]+identifier[\x20\t]*:?[\x20\t]*")
+_LINE_END = re.compile(r"[\r\n]|\Z")
 _PIECE = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*")
 _RANK = {"or": 1, "and": 2, "with": 3}
 
@@ -136,8 +137,11 @@ def scan(text: bytes, automaton: ahocorasick.Automaton) -> dict:
         labels.add(label)
         score = min(score, LEVELS[label])
     if tagged:
-        for m in _EXPRESSION.finditer(text.decode("utf-8", "replace")):
-            own, value = evaluate(m[1])
+        plain = text.decode("utf-8", "replace")
+        tags = list(_TAG.finditer(plain))
+        for m, following in zip(tags, [*[x.start() for x in tags[1:]], len(plain)], strict=True):
+            # an expression ends with its line, or where the next tag begins
+            own, value = evaluate(plain[m.end():_LINE_END.search(plain, m.end(), following).start()])
             labels.update(own)
             score = score if value is None else min(score, value)
     return {"n_words": len(words), "n_base": len(starts), "first_word": min(starts, default=None),

@@ -118,6 +118,15 @@ def test_license_tags():
     assert row["labels"] == "cc-by,gpl,mit" and row["n_base"] == 3 and row["score"] == pytest.approx(0.8)
 
 
+@pytest.mark.parametrize(("text", "labels", "value"), [
+    (b"SPDX-License-Identifier: MIT more words. SPDX-License-Identifier: GPL-3.0-only tail", "gpl,mit", 0.3),
+    (b"SPDX-License-Identifier: MIT OR SPDX-License-Identifier: CC0-1.0 spdx license identifier AGPL-3.0", "agpl,cc0,mit", 0.2),
+    (b"SPDX-License-Identifier:\rSPDX-License-Identifier: MIT\nSPDX-License-Identifier: Apache-2.0 AND\nGPL-2.0", "apache,mit", 0.9)])
+def test_every_license_tag_of_a_line(text, labels, value):
+    row = licenses.scan(text, licenses._automaton())
+    assert row["labels"] == labels and row["score"] == pytest.approx(value)
+
+
 def plain_mix(rows):
     sizes = [(i, s, len(brute.TOKEN.findall(t or ""))) for i, t, s in rows]
     source = defaultdict(int)
