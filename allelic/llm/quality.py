@@ -139,17 +139,24 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Machin
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Machine:
-    """A machine fitted on at most ``SAMPLE`` labelled rows outside the held
-    out fold, those with the smallest hashes of their ids."""
+    """A machine fitted on at most ``SAMPLE`` labelled ids outside the held
+    out fold, those with the smallest hashes.  An id that repeats is learnt
+    from once, by its row with the smallest hash of the inputs; the copies
+    stay on the executors."""
     chosen = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()
                            & (crc_remainder("doc_id", FOLDS) != HELD_OUT))
               .groupBy("doc_id").agg(F.max("quality").alias("_quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE))
-    sample = docs.select("doc_id", *_inputs(docs)).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "n_chars", "_quality")
+    sample = (docs.select("doc_id", *_inputs(docs)).join(F.broadcast(chosen), "doc_id")
+              .withColumn("_hash", F.xxhash64("text", "n_chars")))
+    least = sample.groupBy("doc_id").agg(F.min("_hash").alias("_hash"))  # SAMPLE rows at most
+    sample = sample.join(F.broadcast(least), ["doc_id", "_hash"]).select("doc_id", "text", "n_chars", "_quality")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # rows of one id that are left are copies: one a task is enough
         for batch in batches:
-            ids, texts, sizes, quality = (c.to_pylist() for c in batch.columns)
+            first = [i not in seen and not seen.add(i) for i in batch.column(0).to_pylist()]
+            ids, texts, sizes, quality = (c.to_pylist() for c in batch.filter(pa.array(first, pa.bool_())).columns)
             cols, vals = [], []
             for text, size in zip(texts, sizes, strict=True):
                 _, c, v = features([text], [size])
@@ -163,8 +170,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
                                              names=["doc_id", "quality", "cols", "vals"])
 
     found = sample.select(F.col("doc_id").cast("long"), "text", "n_chars", F.col("_quality").cast("int")).mapInArrow(
-        extract, "doc_id long, quality int, cols binary, vals binary").toArrow().to_pylist()
-    found = sorted(found, key=lambda r: (r["doc_id"], r["cols"], r["vals"]))[:2 * SAMPLE]
+        extract, "doc_id long, quality int, cols binary, vals binary").groupBy("doc_id").agg(
+        F.min(F.struct("quality", "cols", "vals")).alias("row")).select("doc_id", "row.*").toArrow().to_pylist()
+    found = sorted(found, key=lambda r: r["doc_id"])
     rows = [(np.frombuffer(r["cols"], np.int32), np.frombuffer(r["vals"], np.float32).astype(float)) for r in found]
     return fit(rows, np.array([min(max(r["quality"], 0), 1) for r in found], float))
 

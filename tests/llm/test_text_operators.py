@@ -350,6 +350,22 @@ def test_quality_learns_and_keeps_the_fold_out(spark):
     assert again == {i: r["score"] for i, r in got.items()}
 
 
+def test_quality_learns_once_from_copies(spark, monkeypatch):
+    """Very many rows of one labelled id, equal or not, are one row of the sample; no other id is pushed out."""
+    monkeypatch.setattr(quality, "SAMPLE", 30)
+    learnt = []
+    monkeypatch.setattr(quality, "fit", lambda rows, labels: learnt.append((rows, labels.tolist())))
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1][:30]
+    rows = [(i, f"text number {i}", 5) for i in ids]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    for copies in ([], [(ids[0], f"text number {ids[0]}", 5)] * 500, [(ids[0], f"other text {k}", None) for k in range(300)]):
+        docs = spark.createDataFrame(rows + copies, "doc_id long, text string, n_chars long").repartition(7)
+        quality.train(docs, labels)
+        assert learnt[-1][1] == [i % 2 for i in ids]
+    for (a, x), (b, y) in zip(learnt[0][0], learnt[1][0], strict=True):
+        assert (a == b).all() and (x == y).all()
+
+
 def test_quality_on_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0), (None, 1, 0), (9, None, 0), (12, 1, 0), (12, 0, 0)], "doc_id long, quality int, toxic int")
     got = quality.quality_scores(odd, labels).collect()
