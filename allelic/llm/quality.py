@@ -29,8 +29,6 @@ EPOCHS, BATCH, RATE, DECAY, SEED = 8, 128, 0.05, 1e-5, 11
 #: Rows remembered by rest of crc32(doc_id) / FOLDS: HELD_OUT is never learnt from.
 FOLDS, HELD_OUT = 3, 1
 REMEMBERED = 150_000
-#: Most features of a sample row that are sent to the driver (the largest ones).
-SAMPLE_FEATURES = 2048
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _KINDS = {"upper": range(65, 91), "lower": range(97, 123), "digit": range(48, 58), "line": [10],
@@ -160,10 +158,6 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
             cols, vals = [], []
             for text, size in zip(texts, sizes, strict=True):
                 _, c, v = features([text], [size])
-                if len(c) > SAMPLE_FEATURES:
-                    top = np.sort(np.concatenate([np.argsort(-v[:-STATISTICS], kind="stable")[:SAMPLE_FEATURES - STATISTICS],
-                                                  np.arange(len(c) - STATISTICS, len(c))]))
-                    c, v = c[top], v[top]
                 cols.append(c.astype(np.int32).tobytes())
                 vals.append(v.astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(quality, pa.int32()), pa.array(cols, pa.binary()), pa.array(vals, pa.binary())],

@@ -366,6 +366,15 @@ def test_quality_learns_once_from_copies(spark, monkeypatch):
         assert (a == b).all() and (x == y).all()
 
 
+def test_quality_learns_all_features_of_long_texts(spark, monkeypatch):
+    learnt = []
+    monkeypatch.setattr(quality, "fit", lambda rows, labels: learnt.extend(rows))
+    text = " ".join(f"word{i}" for i in range(9000))
+    quality.train(spark.createDataFrame([(0, text, 5)], "doc_id long, text string, n_chars long"), spark.createDataFrame([(0, 1)], "doc_id long, quality int"))
+    _, cols, _ = quality.features([text.encode()], [5])
+    assert len(cols) > 8000 and (learnt[0][0] == cols).all()
+
+
 def test_quality_on_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0), (None, 1, 0), (9, None, 0), (12, 1, 0), (12, 0, 0)], "doc_id long, quality int, toxic int")
     got = quality.quality_scores(odd, labels).collect()
