@@ -1,10 +1,5 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(__file__))
-
 SF001 = "/root/testdata/sf0.001"
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
           "id string, norm string, sha int, size string, h int, row string, fp string, key int, score string, quality string, "

@@ -2,12 +2,11 @@
 
 from collections import Counter
 
-import brute
 import corpus_pipeline as pipeline
-from conftest import SF001
-
 from allelic.llm import mixing, quality, token_store
 from allelic.llm.common import stored, table
+from tests.llm import brute
+from tests.llm.conftest import SF001
 
 
 def test_stages_one_by_one(spark):

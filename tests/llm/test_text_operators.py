@@ -6,12 +6,12 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-import brute
 import pyarrow as pa
 import pytest
-from conftest import SF001, odd_rows
 
 from allelic.llm import bloom_lm, decontaminate, exact_dedup, licenses, mixing, personal_data, quality, simhash, token_store
+from tests.llm import brute
+from tests.llm.conftest import SF001, odd_rows
 
 ROWS = [(i, t) for i, t, _ in odd_rows()]
 

@@ -4,10 +4,10 @@ import hashlib
 from collections import Counter
 
 import pytest
-from conftest import SF001
 
 from allelic.llm import warc
 from allelic.llm.common import fresh_folder
+from tests.llm.conftest import SF001
 
 PAGES = [(1, "http://Www.Example.com:80/a?b=1#top", "x" * 150), (2, "https://example.com/a", "x" * 150), (3, None, "x" * 150),
          (4, "http://example.com/a", "short"), (5, "http://example.com/a", "short"), (6, "not a url", None), (7, "http://[bad", ""),
