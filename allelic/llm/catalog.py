@@ -7,8 +7,8 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from allelic.llm import (bloom_lm, decontaminate, exact_dedup, licenses, mixing, personal_data, quality,
-                         simhash, token_store, warc)
+from allelic.llm import (bloom_lm, centroids, decontaminate, exact_dedup, fill_middle, licenses, mixing, packing,
+                         personal_data, quality, simhash, token_store, warc)
 from allelic.llm.common import ship_package, table
 
 
@@ -52,6 +52,18 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.language_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_digest(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,10 +73,11 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: _shipped(f) for f in (op1_warc, op2_exact_dedup, op3_token_ids, op4_quality, op5_licenses, op6_mixing,
-                                    op7_simhash, op8_decontamination, op9_personal_data, op10_language_model)}
+    return {f.__name__: _shipped(f) for f in (
+        op1_warc, op2_exact_dedup, op3_token_ids, op4_quality, op5_licenses, op6_mixing, op7_simhash, op8_decontamination,
+        op9_personal_data, op10_language_model, op11_packing, op12_centroids, op13_fill_middle)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_warc": warc.ORACLE, "op2_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE,
-            "op8_decontamination": decontaminate.ORACLE}
+            "op8_decontamination": decontaminate.ORACLE, "op12_centroids": centroids.ORACLE, "op13_fill_middle": fill_middle.ORACLE}
