@@ -27,5 +27,5 @@ def test_query_matches_oracle(spark, name):
 def test_entry_has_all_queries():
     import __spark_entry__ as entry
     found = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {x[:x.index("_") + 1] for x in found if x.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {x[:x.index("_") + 1] for x in found if x.startswith("op")}
     assert "pipeline" in found and set(catalog.oracle_sql()) <= set(entry.oracle_sql())
