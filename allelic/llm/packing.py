@@ -34,8 +34,11 @@ ROOM, END_ID = 1024, 2
 REMEMBERED, SLICE_BYTES = 300_000, 8 * 1024 * 1024
 #: Stands between words while a slice is split; a text that holds it is encoded whole.
 APART = "\x01"
-#: A space before a letter or a visible ASCII character: there the pre-tokenizer always begins a piece.
-_BOUNDARY, _PARTED = r" ([!-~\p{L}])", APART + r" \1"
+#: Where the pre-tokenizer always begins a piece: at a space before a letter or a visible ASCII character, and at ASCII
+#: punctuation (but ' < > |, which contractions and special tokens have) after a letter or digit.
+_SPACE, _MARK = r"()( [!-~\p{L}])", r"([\p{L}\p{N}])([!-&(-/:;=?@\[-`{}~])"
+_PARTED = r"\1" + APART + r"\2"
+_PLAIN = re.compile(r" ?[!-~À-ɏ]+")
 _encoders: dict[str, WordEncoder] = {}
 _SHIFT = 48
 
@@ -44,10 +47,11 @@ class WordEncoder:
     """Ids of texts, word by word.
 
     A byte-level pre-tokenizer without a normalizer begins a piece at every
-    space before a letter or visible character, and looks no further back, so
-    the ids of a text are those of its parts between such places.  Each
-    distinct part is encoded once.  Tokenizers of any other form get whole
-    texts.
+    space before a letter or visible character and between a letter or digit
+    and punctuation, and looks no further back, so the ids of a text are those
+    of its parts between such places.  Words are the distinct parts between
+    spaces; each distinct part of them is encoded once.  Tokenizers of any
+    other form get whole texts.
     """
 
     def __init__(self, path: str):
@@ -60,39 +64,74 @@ class WordEncoder:
             and not before.get("add_prefix_space") and spec.get("truncation") is None and spec.get("padding") is None
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"])
                         for t in spec.get("added_tokens", ())))
-        self.known: dict[str, np.ndarray] = {}
+        ids = self._ids(["\n", "a\n b", "a\n,"])
+        lone = len(ids[0]) == 1 and all((x == ids[0][0]).sum() == 1 for x in ids)
+        self.line = ids[0][0] if self.by_word and lone else None
+        self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> list[np.ndarray]:
-        ids = [self.known.get(w) for w in words]
-        new = [i for i, x in enumerate(ids) if x is None]
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for i, x in zip(part, self._ids([words[i] for i in part]), strict=True):
-                ids[i] = x
-        if len(self.known) < REMEMBERED:
-            self.known.update((words[i], ids[i]) for i in new)
-        return ids
+    def _new(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of parts: those of visible characters as lines of one text, a
+        line's end being one id of its own, the others one by one."""
+        plain, other = [], []
+        for p in parts:
+            (plain if self.line is not None and _PLAIN.fullmatch(p) else other).append(p)
+        for at in range(0, len(plain), 1024):
+            some = plain[at:at + 1024]
+            ids = self._ids(["\n".join(some)])[0]
+            cuts = np.flatnonzero(ids == self.line)
+            if len(cuts) != len(some) - 1:
+                other += some
+                continue
+            raw = ids.tobytes()
+            for p, i, j in zip(some, [-1, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True):
+                yield p, raw[4 * i + 4:4 * j]
+        for p, ids in zip(other, self._ids(other), strict=True):
+            yield p, ids.tobytes()
+
+    def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts one after the other, and their numbers."""
+        names = parts.to_pylist()
+        found = list(map(self.known.get, names))
+        if None in found:
+            new = dict(self._new([p for p, x in zip(names, found, strict=True) if x is None]))
+            if len(self.known) < REMEMBERED:
+                self.known.update(new)
+            found = [new[p] if x is None else x for p, x in zip(names, found, strict=True)]
+        return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+
+    def _split(self, texts: pa.Array, boundary: str, inner) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their numbers of texts that are cut at ``boundary``;
+        ``inner`` gives those of the distinct pieces."""
+        cut = pc.split_pattern(pc.replace_substring_regex(texts, boundary, _PARTED), APART)
+        coded = cut.flatten().dictionary_encode()
+        flat, sizes = inner(coded.dictionary)
+        ids, size = _gather(flat, sizes, coded.indices.to_numpy())
+        ends = np.concatenate([[0], np.cumsum(size)])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        return ids, np.diff(ends)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts one after the other, and where each begins, with
         the end."""
         if not self.by_word or pc.any(pc.match_substring(texts, APART)).as_py():
-            ids = self._ids(texts.to_pylist())
-            return np.concatenate(ids) if ids else np.zeros(0, "<u4"), np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-        split = pc.split_pattern(pc.replace_substring_regex(texts, _BOUNDARY, _PARTED), APART)
-        coded = split.flatten().dictionary_encode()
-        found = self._words(coded.dictionary.to_pylist())
-        flat = np.concatenate(found) if found else np.zeros(0, "<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        which = coded.indices.to_numpy()
-        size = sizes[which]
-        ends = np.cumsum(size)
-        places = np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
-        return flat[places], np.concatenate([[0], ends])[offsets]
+            found = self._ids(texts.to_pylist())
+            ids, sizes = np.concatenate([np.zeros(0, "<u4"), *found]), np.array([len(x) for x in found], np.int64)
+        else:
+            ids, sizes = self._split(texts, _SPACE, lambda words: self._split(words, _MARK, self._parts))
+        return ids, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def _gather(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces ``which`` of ``flat`` one after the other, and their sizes."""
+    size = sizes[which]
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(flat)) < 2 ** 31 else np.int64
+    places = np.repeat(((np.cumsum(sizes) - sizes)[which] - (ends - size)).astype(kind), size)
+    places += np.arange(total, dtype=kind)
+    return flat[places], size
 
 
 def word_encoder(path: str) -> WordEncoder:
