@@ -1,12 +1,9 @@
 """Family-level statistics, trios and relatedness.
 
 Per-family outputs are always built in two hash-aggregation steps:
-rows -> (family, person) counts -> family.  The only collected list is the
-children of one family, whose size is fixed by the pedigree.
-
-Trio and relatedness operators gather the calls of one (family_id, locus):
-a group holds one call per family member, so its size is fixed by the
-pedigree.
+rows -> (family, person) counts -> family.  Trio and relatedness operators
+join the calls of a family and locus row by row; how many persons a family may
+have for them is checked (``MOST_MEMBERS``).
 """
 
 from __future__ import annotations
@@ -15,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from allelic.functions.genotype import normalize_chromosome
-from allelic.operators.metrics import row_order
+from allelic.operators.metrics import epoch_us
 
 MEMBER = "member_type"
 
@@ -101,27 +98,37 @@ def ingest_statistics(df: DataFrame) -> DataFrame:
 
 
 # --- J2 / D1 / D2 -----------------------------------------------------------------
-def _members(calls: DataFrame) -> DataFrame:
-    """Per (family_id, locus) the fathers', mothers' and children's calls as
-    arrays of (id, gt).  A group holds one call per person of one family, so
-    its size is fixed by the pedigree.  NULL families and loci form no group."""
+#: Persons of one family that trios and pairs are formed for, unless the caller allows more.
+MOST_MEMBERS = 1000
+
+
+def _known(calls: DataFrame, most_members: int) -> DataFrame:
+    """Calls with a family and a locus; an error if a family has more persons
+    than ``most_members``.  Trios and pairs grow with the square of a family,
+    so an id that stands for "unknown" must be taken out by the caller, who
+    alone can tell, and is not paired in silence."""
     known = calls.filter(F.col("family_id").isNotNull() & F.col("locus").isNotNull())
-    one = F.struct(F.col("person_id").alias("id"), F.col("genotype").alias("gt"))
-    return known.groupBy("family_id", "locus").agg(
-        *[F.collect_list(F.when(F.col(MEMBER) == m, one)).alias(m) for m in ("father", "mother", "child")])
+    persons = known.select("family_id", "person_id").distinct().groupBy("family_id").agg(F.count(F.lit(1)).alias("n"))
+    largest = persons.select(F.max("n")).scalar()
+    return known.filter(F.when(largest > most_members, F.raise_error(F.concat(
+        F.lit("a family has "), largest.cast("string"), F.lit(f" persons, more than most_members = {most_members}"))).cast("boolean"))
+        .otherwise(F.lit(True)))
 
 
-def trio_join(calls: DataFrame) -> DataFrame:
+def trio_join(calls: DataFrame, *, most_members: int = MOST_MEMBERS) -> DataFrame:
     """Child call with a father's and a mother's call at the same
     (family_id, locus); children without both parents' calls are dropped, and
     two fathers give two rows (inner-join semantics).  ``calls``: family_id,
-    person_id, member_type, locus, genotype with one call per person and locus."""
-    rows = _members(calls)
-    for m in ("father", "mother", "child"):
-        rows = rows.withColumn(m, F.explode(m))
-    return rows.select("family_id", "locus", F.col("child.id").alias("child_id"), F.col("child.gt").alias("child_gt"),
-                       F.col("father.id").alias("father_id"), F.col("father.gt").alias("father_gt"),
-                       F.col("mother.id").alias("mother_id"), F.col("mother.gt").alias("mother_gt"))
+    person_id, member_type, locus, genotype with one call per person and locus.
+
+    Two equi joins on (family_id, locus): the calls of a locus are rows all
+    the way, and adaptive execution splits a hot family's partitions."""
+    known = _known(calls, most_members)
+
+    def of(member: str) -> DataFrame:
+        return known.filter(F.col(MEMBER) == member).select(
+            "family_id", "locus", F.col("person_id").alias(f"{member}_id"), F.col("genotype").alias(f"{member}_gt"))
+    return of("child").join(of("father"), ["family_id", "locus"]).join(of("mother"), ["family_id", "locus"])
 
 
 def _alleles_in(allele: Column, gt: Column) -> Column:
@@ -136,10 +143,10 @@ def mendel_consistent(child_gt: Column, father_gt: Column, mother_gt: Column) ->
             | (_alleles_in(b, father_gt) & _alleles_in(a, mother_gt)))
 
 
-def mendelian_consistency(calls: DataFrame) -> DataFrame:
+def mendelian_consistency(calls: DataFrame, *, most_members: int = MOST_MEMBERS) -> DataFrame:
     """Per family, trios (child x locus with both parents), consistent
     trios and their share."""
-    t = trio_join(calls).withColumn(
+    t = trio_join(calls, most_members=most_members).withColumn(
         "_ok", mendel_consistent(F.col("child_gt"), F.col("father_gt"), F.col("mother_gt")))
     a = t.groupBy("family_id").agg(F.count(F.lit(1)).alias("trios"),
                                    F.count_if("_ok").alias("consistent"))
@@ -157,26 +164,27 @@ def ibs_shared(g1: Column, g2: Column) -> Column:
     return F.when(same, 2).when(one, 1).otherwise(0)
 
 
-def genetic_similarity(calls: DataFrame) -> DataFrame:
+def genetic_similarity(calls: DataFrame, *, most_members: int = MOST_MEMBERS) -> DataFrame:
     """Identity-by-state similarity of the pairs of each family
     (father-mother, father-child, mother-child, siblings with the smaller
     person id first): the mean of shared alleles / 2 over the loci both
-    persons have.  Pairs are formed inside one (family, locus) group, whose
-    size is fixed by the pedigree."""
-    def pairs(relation, left, right, keep=None):
-        def of(x):
-            others = F.filter(right, lambda y: keep(x, y)) if keep else F.col(right)
-            return F.transform(others, lambda y: F.struct(
-                F.lit(relation).alias("relation"), x["id"].alias("person_a"), y["id"].alias("person_b"),
-                x["gt"].alias("gt_a"), y["gt"].alias("gt_b")))
-        return F.flatten(F.transform(left, of))
-    every = F.concat(pairs("father-mother", "father", "mother"), pairs("father-child", "father", "child"),
-                     pairs("mother-child", "mother", "child"),
-                     pairs("siblings", "child", "child", lambda x, y: x["id"] < y["id"]))
-    x = _members(calls).select("family_id", F.explode(every).alias("_p")).select("family_id", "_p.*")
-    return (x.groupBy("family_id", "relation", "person_a", "person_b")
-            .agg(F.count(F.lit(1)).alias("loci"),
-                 F.round(F.avg(ibs_shared(F.col("gt_a"), F.col("gt_b")) / 2.0), 4).alias("similarity")))
+    persons have.
+
+    The calls meet themselves in one equi join on (family_id, locus), whose
+    two sides are the same exchange; the pairs of a locus go into the partial
+    sums of their persons at once."""
+    role = F.when(F.col(MEMBER) == "father", 0).when(F.col(MEMBER) == "mother", 1).when(F.col(MEMBER) == "child", 2)
+    x = _known(calls, most_members).select("family_id", "locus", "person_id", "genotype", role.alias("role"))
+    a, b = x.alias("a"), x.alias("b")
+    siblings = (F.col("a.role") == 2) & (F.col("b.role") == 2) & (F.col("a.person_id") < F.col("b.person_id"))
+    pairs = a.join(b, (F.col("a.family_id") == F.col("b.family_id")) & (F.col("a.locus") == F.col("b.locus"))
+                   & ((F.col("a.role") < F.col("b.role")) | siblings))
+    relation = (F.when(F.col("a.role") == 2, "siblings").when(F.col("a.role") == 1, "mother-child")
+                .when(F.col("b.role") == 1, "father-mother").otherwise("father-child"))
+    shared = ibs_shared(F.col("a.genotype"), F.col("b.genotype"))
+    return (pairs.groupBy(F.col("a.family_id").alias("family_id"), relation.alias("relation"),
+                          F.col("a.person_id").alias("person_a"), F.col("b.person_id").alias("person_b"))
+            .agg(F.count(F.lit(1)).alias("loci"), F.round(F.avg(shared / 2.0), 4).alias("similarity")))
 
 
 def locus_key() -> Column:
@@ -185,15 +193,40 @@ def locus_key() -> Column:
                   F.concat(normalize_chromosome("chromosome"), F.lit(":"), F.col("position").cast("string")))
 
 
+#: Ids up to this size share a long with a genotype's four bits.
+_SMALL_ID = 1 << 58
+
+
 def genotype_calls(snps: DataFrame, locus: Column | None = None) -> DataFrame:
     """One call per (family, person, locus): the genotype of the first SNP
-    row (smallest ``snp_id``; rows without an id by time and content, see
-    ``row_order``) among 2-letter A/C/G/T genotypes.  Rows without a family,
-    person or locus make no call.  ``locus``: by default ``locus_key()``."""
+    row (smallest ``snp_id``; rows without an id by time, rows without a time
+    last; equals by the smaller genotype) among 2-letter A/C/G/T genotypes.
+    Rows without a family, person or locus make no call.  ``locus``: by
+    default ``locus_key()``.
+
+    Order and genotype are one number whose minimum a hash aggregate keeps:
+    the id, or the time, above the genotype's four bits."""
     locus = locus_key() if locus is None else locus
     v = (snps.filter(F.col("has_snp") & F.col("person_id").isNotNull() & F.col("family_id").isNotNull()
                      & F.col("genotype").rlike("^[ACGT]{2}$"))
          .withColumn("locus", locus).filter(F.col("locus").isNotNull()))
-    v = v.select("family_id", "person_id", MEMBER, "locus", "genotype", row_order(v).alias("_order"))
-    return (v.groupBy("family_id", "person_id", MEMBER, "locus")
-            .agg(F.min_by("genotype", "_order").alias("genotype")))
+
+    def letter(i: int) -> Column:
+        return F.instr(F.lit("ACGT"), F.substring("genotype", i, 1)) - 1
+    code = (letter(1) * 4 + letter(2)).cast("long")
+    number = F.col("snp_id").cast("long") if "snp_id" in v.columns else F.lit(None).cast("long")
+    time = epoch_us("ts") if "ts" in v.columns else F.lit(None).cast("long")
+    v = v.select("family_id", "person_id", MEMBER, "locus", code.alias("_code"), number.alias("_id"), time.alias("_time"))
+    small = F.col("_id").between(-_SMALL_ID + 1, _SMALL_ID - 1)
+    wide = F.col("_id").cast("decimal(38,0)") * 16 + F.col("_code")
+    best = v.groupBy("family_id", "person_id", MEMBER, "locus").agg(
+        F.min(F.when(small, F.col("_id") * 16 + F.col("_code"))).alias("_small"),
+        F.min(F.when(~small, wide.cast("decimal(38,0)"))).alias("_wide"),
+        F.min(F.when(F.col("_id").isNull(), F.col("_time") * 16 + F.col("_code"))).alias("_timed"),
+        F.min(F.when(F.col("_id").isNull() & F.col("_time").isNull(), F.col("_code"))).alias("_bare"))
+    first = F.coalesce(F.least(F.col("_small").cast("decimal(38,0)"), F.col("_wide")), F.col("_timed").cast("decimal(38,0)"),
+                       F.col("_bare").cast("decimal(38,0)"))
+    gt = F.pmod(first, F.lit(16)).cast("int")
+    return best.select("family_id", "person_id", MEMBER, "locus", F.concat(
+        F.substring(F.lit("ACGT"), F.floor(gt / 4).cast("int") + 1, F.lit(1)),
+        F.substring(F.lit("ACGT"), gt % 4 + 1, F.lit(1))).alias("genotype"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from allelic.functions.genotype import (
     bucket, classify_genotype, default_genotype, genotype_orientation, is_het, normalize_chromosome, pct, ratio,
 )
+from allelic.operators.firsts import first_rows, renamed, same_keys
 from allelic.operators.genes import annotate_gene
 
 MEMBER = "member_type"
@@ -52,27 +53,27 @@ def batch_metrics(df: DataFrame, batch_col: str | None = None, *, with_sample: b
     sent one with every batch): the valid SNP with the smallest ``snp_id``
     (deterministic, where the reference took an arbitrary ``first()``),
     with its default-filled genotype and its gene.  Messages without an id
-    are ordered by their content (see ``row_order``).  The sample is picked
-    by ``min_by`` inside the same aggregation; only the few sample rows are
-    annotated afterwards."""
+    are ordered by their content (see ``row_order``).  A hash aggregate gives
+    the smallest id of each batch; only rows that reach it are ranked (see
+    ``first_rows``), and only the few sample rows are annotated."""
     keys = [MEMBER] + ([batch_col] if batch_col else [])
     aggs = [F.count_if(F.col("has_snp")).alias("total_records"),
             F.count(F.lit(1)).alias("messages"),
             F.count_if(~F.col("has_snp")).alias("tokens"),
             F.max("ts").alias("last_ts")]
-    if with_sample:
-        rec = F.struct(F.col("snp_id"), F.col("chromosome"), F.col("position"), F.col("genotype"))
-        aggs.append(F.min_by(F.when(F.col("has_snp"), rec), F.when(F.col("has_snp"), row_order(df)))
-                    .alias("_s"))
     out = df.groupBy(*keys).agg(*aggs)
     if not with_sample:
         return out
-    out = out.select("*", F.col("_s.snp_id").alias("sample_snp_id"),
-                     F.col("_s.chromosome").alias("sample_chromosome"),
-                     F.col("_s.position").alias("sample_position"),
-                     F.when(F.col("_s").isNotNull(), default_genotype("_s.genotype")).alias("sample_genotype"))
+    valid = df.filter(F.col("has_snp"))
+    valid = valid.select(*[c for c in dict.fromkeys([*keys, "snp_id", "ts", "family_id", MEMBER, "person_id", "chromosome",
+                                                     "position", "genotype"]) if c in df.columns])
+    first = first_rows(valid, keys, ["snp_id", "ts"], ties=[F.asc(row_order(valid))])
+    sample = first.select(*renamed(keys), F.lit(True).alias("_s"), F.col("snp_id").alias("sample_snp_id"),
+                          F.col("chromosome").alias("sample_chromosome"), F.col("position").alias("sample_position"),
+                          default_genotype("genotype").alias("sample_genotype"))
+    out = out.join(sample, same_keys(keys), "left").drop(*[f"_key_{i}" for i in range(len(keys))])
     ann = annotate_gene(out, chrom="sample_chromosome", pos="sample_position", out="sample_gene")
-    return ann.withColumn("sample_gene", F.when(F.col("_s").isNotNull(), F.col("sample_gene"))).drop("_s")
+    return ann.withColumn("sample_gene", F.when(F.col("_s"), F.col("sample_gene"))).drop("_s")
 
 
 # --- A2 / R3 / R4 -------------------------------------------------------------

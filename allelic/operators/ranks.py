@@ -27,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from allelic.session import checkpoint_dir
+
 #: Default bins: parts of equal width between this many approximate quantiles.
 QUANTILES, PARTS = 32, 128
 
@@ -84,3 +86,48 @@ def rank_index(df: DataFrame, col: str, by: Sequence[str] = (), *,
                     (first + F.col("n_at") - 1).cast("long").alias("last_idx"),
                     F.col("n").cast("long").alias("n"))
 
+
+
+#: monotonically_increasing_id is the partition number above this many bits of the row's place in it.
+_PLACE_BITS = 33
+
+
+def range_sorted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` sorted by ``columns`` (NULL first) over ranges, with ``_range``
+    (number of the range) and ``_at`` (place of the row in it), stored.
+
+    The ranges lie between sampled rows, compared by all ``columns`` and, among
+    rows that agree in those, by a row id, so a hot value or a run of repeated
+    rows is cut like any other.  Two readers of a range sort may cut it
+    differently, so the sorted rows are written to the shared checkpoint
+    folder once; this runs when the operator is called.
+    """
+    checkpoint_dir(df.sparkSession)
+    order = [*[F.asc_nulls_first(c) for c in columns], F.col("_row")]
+    rows = (df.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*order)
+            .sortWithinPartitions(*order).drop("_row").withColumn("_at", F.monotonically_increasing_id()))
+    return (rows.withColumn("_range", F.shiftright("_at", _PLACE_BITS).cast("int"))
+            .withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).checkpoint())
+
+
+def numbered_rows(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` + ``_i`` (0-based position of the row in its group) and ``_n``
+    (group size).  Rows are ordered by all ``order`` columns, NULL first, and
+    among equal ones by their other columns, so every row has a position of
+    its own.
+
+    A row's number is its place in its range, plus the group's rows in earlier
+    ranges: a prefix sum over one row per range and group.  No task holds a
+    group, whatever the type of the order column and however hot its values.
+    """
+    keys, order = list(by), [c for c in order if c not in by]
+    rest = [c for c, t in df.dtypes if c not in keys and c not in order and not t.startswith(("map", "variant"))]
+    rows = range_sorted(df, [*keys, *order, *rest])
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    here = rows.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_here"), F.min("_at").alias("_first"))
+    earlier = F.sum("_here").over(group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    here = here.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], F.col("_range").alias("_of"),
+                       (F.coalesce(earlier, F.lit(0)) - F.col("_first")).alias("_shift"), F.sum("_here").over(group).alias("_n"))
+    on = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)] + [F.col("_range") == F.col("_of")]
+    return rows.join(here, on, "inner").select(
+        *df.columns, (F.col("_at") + F.col("_shift")).cast("long").alias("_i"), F.col("_n").cast("long").alias("_n"))

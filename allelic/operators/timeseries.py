@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelic.functions.genotype import trend_direction
+from allelic.operators.firsts import first_rows, sortable
 from allelic.operators.metrics import epoch_us, row_order
-from allelic.operators.ranks import with_quantile_bin
+from allelic.operators.ranks import numbered_rows
 from allelic.operators.topk import top_k
 
 US = 1_000_000
@@ -178,78 +179,41 @@ def last_n(df: DataFrame, n: int, order: str, *, by: Sequence[str] = ()) -> Data
     return top_k(df, [F.desc(order)], n, by=list(by) or None)
 
 
-def _numeric_order(df: DataFrame, col: str):
-    """A numeric sort key for ``col`` (timestamps as epoch microseconds)."""
-    t = dict(df.dtypes)[col]
-    if t.startswith("timestamp"):
-        return epoch_us(col)
-    if t == "date":
-        return F.unix_date(F.col(col)).cast("long")
-    return F.col(col)
-
-
-def _numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], bin_width: float | None) -> DataFrame:
-    """``df`` + ``_i`` (0-based position of the row in its group) and ``_n``
-    (group size).  Rows are ordered by all ``order`` columns, NULL first, and
-    among equal ones by their other columns, so every row has a position of
-    its own.  Positions come in two levels, bins of the first order column
-    and rows within a bin: no task numbers a whole group."""
-    keys = list(by)
-    lead = _numeric_order(df, order[0])
-    t = dict(df.dtypes)[order[0]]
-    if t == "string":
-        x = df.withColumn("_bin", F.when(F.col(order[0]).isNotNull(), F.lit(0).cast("long")))
-    elif bin_width is not None:
-        x = df.withColumn("_bin", F.floor(lead / F.lit(float(bin_width))).cast("long"))
-    else:
-        x = with_quantile_bin(df, lead.cast("double"), df.select(lead.cast("double").alias("x")))
-    tot = x.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_bin_n"))
-    grp = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    before = F.sum("_bin_n").over(grp.orderBy(F.asc_nulls_first("_bin")).rowsBetween(Window.unboundedPreceding, -1))
-    tot = tot.select(*[F.col(k).alias(f"_ix_{i}") for i, k in enumerate(keys)], F.col("_bin").alias("_ix_bin"),
-                     F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_bin_n").over(grp).alias("_n"))
-    rest = [c for c, t in df.dtypes if c not in keys and c not in order and not t.startswith(("map", "variant"))]
-    inside = Window.partitionBy(*keys, "_bin").orderBy(*[F.asc_nulls_first(c) for c in [*order, *rest]])
-    on = [F.col(k).eqNullSafe(F.col(f"_ix_{i}")) for i, k in enumerate(keys)] + [F.col("_bin").eqNullSafe(F.col("_ix_bin"))]
-    return (x.withColumn("_at", F.row_number().over(inside)).join(tot, on, "inner")
-            .select(*df.columns, (F.col("_before") + F.col("_at") - 1).cast("long").alias("_i"), F.col("_n").cast("long").alias("_n")))
-
-
 def _columns(order: str | Sequence[str]) -> list[str]:
     return [order] if isinstance(order, str) else list(order)
 
 
-def sequence(df: DataFrame, by: Sequence[str], order: str | Sequence[str], *,
-             bin_width: float | None = None, name: str = "seq") -> DataFrame:
+def sequence(df: DataFrame, by: Sequence[str], order: str | Sequence[str], *, name: str = "seq") -> DataFrame:
     """0-based sequence number per group in ``order`` (NULL first; ties by
-    the other columns, so every row has its own number)."""
-    return _numbered(df, by, _columns(order), bin_width).withColumnRenamed("_i", name).drop("_n")
+    the other columns, so every row has its own number).  Sorts the rows into
+    ranges and stores them (see ``numbered_rows``)."""
+    return numbered_rows(df, by, _columns(order)).withColumnRenamed("_i", name).drop("_n")
 
 
-def downsample(df: DataFrame, limit: int, order: str | Sequence[str], *, by: Sequence[str] = (),
-               bin_width: float | None = None) -> DataFrame:
+def downsample(df: DataFrame, limit: int, order: str | Sequence[str], *, by: Sequence[str] = ()) -> DataFrame:
     """When a group has more than ``limit`` rows keep every
     ``ceil(n/limit)``-th row (from the first), then the last ``limit``.  Rows
     are counted one by one, also those with equal or NULL order values."""
-    r = _numbered(df, by, _columns(order), bin_width)
+    r = numbered_rows(df, by, _columns(order))
     step = F.greatest(F.ceil(F.col("_n") / F.lit(limit)), F.lit(1))
     kept = r.filter((F.col("_n") <= limit) | ((F.col("_i") % step) == 0))
     return top_k(kept, [F.desc("_i")], limit, by=list(by) or None).drop("_i", "_n")
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str | None = None) -> DataFrame:
-    """Last write wins per key.  One ``max_by`` aggregate: it has a
-    map-side partial, so a hot key is reduced before the shuffle."""
+    """Last write wins per key; equal times by ``tiebreak``, then by the
+    other columns (the larger wins).  The latest time per key is a hash
+    aggregate; only rows that reach it are ranked (see ``first_rows``).  Keys
+    whose times are all NULL keep one row."""
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_last"))
-            .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest]))
+    first = [F.desc_nulls_last(tiebreak)] if tiebreak else []
+    rest = [F.desc_nulls_last(c) for c in sortable(df, [*keys, ts, *([tiebreak] if tiebreak else [])])]
+    return first_rows(df, keys, [ts], largest=True, ties=first + rest).select(*keys, *[c for c in df.columns if c not in keys])
 
 
 def first_per_batch(df: DataFrame, batch_col: str, order: str = "snp_id") -> DataFrame:
     """The first valid row of each batch by ``order``, rows without it
     by time and content (the reference took an arbitrary ``first()``)."""
-    rest = [c for c in df.columns if c != batch_col]
-    return (df.groupBy(batch_col).agg(F.min_by(F.struct(*rest), row_order(df, order)).alias("_first"))
-            .select(batch_col, *[F.col(f"_first.{c}").alias(c) for c in rest]))
+    leads = [c for c in dict.fromkeys((order, "ts")) if c in df.columns]
+    out = first_rows(df, [batch_col], leads, ties=[F.asc(row_order(df, order))])
+    return out.select(batch_col, *[c for c in df.columns if c != batch_col])

@@ -17,6 +17,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from allelic.operators.ranks import numbered_rows
+
+
 def _order_exprs(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
@@ -81,8 +84,7 @@ def chromosome_order(df: DataFrame, col: str = "chromosome") -> DataFrame:
     natural_key = (F.when(n.rlike("^[0-9]{1,3}$"), n.try_cast("int"))
                    .when(n == "X", 1001).when(n == "Y", 1002).when(n == "MT", 1003)
                    .otherwise(2000))
-    # label count is bounded by the chromosome alphabet; one small window
-    return labels.select(
-        "chromosome",
-        F.row_number().over(Window.orderBy("chromosome")).alias("lexical_rank"),
-        F.row_number().over(Window.orderBy(natural_key, F.col("chromosome"))).alias("natural_rank"))
+    # labels are free text: both ranks come from range sorts
+    lexical = numbered_rows(labels, [], ["chromosome"]).select("chromosome", (F.col("_i") + 1).cast("int").alias("lexical_rank"))
+    natural = numbered_rows(lexical.withColumn("_natural", natural_key), [], ["_natural", "chromosome"])
+    return natural.select("chromosome", "lexical_rank", (F.col("_i") + 1).cast("int").alias("natural_rank"))

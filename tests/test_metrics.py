@@ -140,7 +140,7 @@ def test_sequence_matches_row_number(spark):
     rnd = random.Random(4)
     rows = [(rnd.choice("ab"), i * 7 + rnd.randint(0, 3), i) for i in range(500)]
     df = spark.createDataFrame(rows, "g string, t long, i int")
-    got = {(r.g, r.t): r.seq for r in TS.sequence(df, ["g"], "t", bin_width=50).collect()}
+    got = {(r.g, r.t): r.seq for r in TS.sequence(df, ["g"], "t").collect()}
     for g in "ab":
         ts = sorted(t for gg, t, _ in rows if gg == g)
         assert [got[(g, t)] for t in ts] == list(range(len(ts)))
