@@ -2,13 +2,15 @@
 
 Per-family outputs are always built in two hash-aggregation steps:
 rows -> (family, person) counts -> family.  Trio and relatedness operators
-join the calls of a family and locus row by row; how many persons a family may
-have for them is checked (``MOST_MEMBERS``).
+join the calls of a family and locus row by row; how many there may be is
+checked (``MOST_MEMBERS``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelic.functions.genotype import normalize_chromosome
@@ -98,21 +100,24 @@ def ingest_statistics(df: DataFrame) -> DataFrame:
 
 
 # --- J2 / D1 / D2 -----------------------------------------------------------------
-#: Persons of one family that trios and pairs are formed for, unless the caller allows more.
+#: Calls of one family and locus (of a trio: fathers', mothers', children's each) that are paired, unless the caller allows more.
 MOST_MEMBERS = 1000
 
 
-def _known(calls: DataFrame, most_members: int) -> DataFrame:
-    """Calls with a family and a locus; an error if a family has more persons
-    than ``most_members``.  Trios and pairs grow with the square of a family,
-    so an id that stands for "unknown" must be taken out by the caller, who
-    alone can tell, and is not paired in silence."""
+def _bounded(calls: DataFrame, most_members: int) -> DataFrame:
+    """Calls with a family and a locus; an error if a family has more calls at
+    a locus than ``most_members``.  Trios and pairs grow with the square of a
+    family, so an id that stands for "unknown" must be taken out by the
+    caller, who alone can tell, and is not paired in silence.
+
+    The calls are counted where they lie for the join on (family_id, locus),
+    in its partitions and order."""
     known = calls.filter(F.col("family_id").isNotNull() & F.col("locus").isNotNull())
-    persons = known.select("family_id", "person_id").distinct().groupBy("family_id").agg(F.count(F.lit(1)).alias("n"))
-    largest = persons.select(F.max("n")).scalar()
-    return known.filter(F.when(largest > most_members, F.raise_error(F.concat(
-        F.lit("a family has "), largest.cast("string"), F.lit(f" persons, more than most_members = {most_members}"))).cast("boolean"))
-        .otherwise(F.lit(True)))
+    n = F.count(F.lit(1)).over(Window.partitionBy("family_id", "locus"))
+    message = F.concat(F.lit("family "), F.col("family_id").cast("string"), F.lit(" has "), n.cast("string"),
+                       F.lit(f" calls at a locus, more than most_members = {most_members}"))
+    return (known.withColumn("_checked", F.when(n > most_members, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+            .filter("_checked").drop("_checked"))
 
 
 def trio_join(calls: DataFrame, *, most_members: int = MOST_MEMBERS) -> DataFrame:
@@ -122,11 +127,9 @@ def trio_join(calls: DataFrame, *, most_members: int = MOST_MEMBERS) -> DataFram
     person_id, member_type, locus, genotype with one call per person and locus.
 
     Two equi joins on (family_id, locus): the calls of a locus are rows all
-    the way, and adaptive execution splits a hot family's partitions."""
-    known = _known(calls, most_members)
-
+    the way, and a family with many loci is as many keys."""
     def of(member: str) -> DataFrame:
-        return known.filter(F.col(MEMBER) == member).select(
+        return _bounded(calls.filter(F.col(MEMBER) == member), most_members).select(
             "family_id", "locus", F.col("person_id").alias(f"{member}_id"), F.col("genotype").alias(f"{member}_gt"))
     return of("child").join(of("father"), ["family_id", "locus"]).join(of("mother"), ["family_id", "locus"])
 
@@ -174,8 +177,9 @@ def genetic_similarity(calls: DataFrame, *, most_members: int = MOST_MEMBERS) ->
     two sides are the same exchange; the pairs of a locus go into the partial
     sums of their persons at once."""
     role = F.when(F.col(MEMBER) == "father", 0).when(F.col(MEMBER) == "mother", 1).when(F.col(MEMBER) == "child", 2)
-    x = _known(calls, most_members).select("family_id", "locus", "person_id", "genotype", role.alias("role"))
-    a, b = x.alias("a"), x.alias("b")
+    def side(x: DataFrame, name: str) -> DataFrame:
+        return x.select("family_id", "locus", "person_id", "genotype", role.alias("role")).alias(name)
+    a, b = side(_bounded(calls, most_members), "a"), side(calls, "b")
     siblings = (F.col("a.role") == 2) & (F.col("b.role") == 2) & (F.col("a.person_id") < F.col("b.person_id"))
     pairs = a.join(b, (F.col("a.family_id") == F.col("b.family_id")) & (F.col("a.locus") == F.col("b.locus"))
                    & ((F.col("a.role") < F.col("b.role")) | siblings))
@@ -193,40 +197,35 @@ def locus_key() -> Column:
                   F.concat(normalize_chromosome("chromosome"), F.lit(":"), F.col("position").cast("string")))
 
 
-#: Ids up to this size share a long with a genotype's four bits.
-_SMALL_ID = 1 << 58
+#: Behind all ids, which have 64 bits, and all times, counted in microseconds.
+_BEHIND = Decimal(2 ** 64)
+#: Two-letter genotypes in order, one a space apart; a genotype's code is its place here.
+_GENOTYPES = " ".join(a + b for a in "ACGT" for b in "ACGT")
 
 
 def genotype_calls(snps: DataFrame, locus: Column | None = None) -> DataFrame:
     """One call per (family, person, locus): the genotype of the first SNP
     row (smallest ``snp_id``; rows without an id by time, rows without a time
     last; equals by the smaller genotype) among 2-letter A/C/G/T genotypes.
-    Rows without a family, person or locus make no call.  ``locus``: by
-    default ``locus_key()``.
+    Rows without a family, person or locus make no call.  ``locus`` (text):
+    by default ``locus_key()``.
 
     Order and genotype are one number whose minimum a hash aggregate keeps:
-    the id, or the time, above the genotype's four bits."""
-    locus = locus_key() if locus is None else locus
-    v = (snps.filter(F.col("has_snp") & F.col("person_id").isNotNull() & F.col("family_id").isNotNull()
-                     & F.col("genotype").rlike("^[ACGT]{2}$"))
-         .withColumn("locus", locus).filter(F.col("locus").isNotNull()))
-
-    def letter(i: int) -> Column:
-        return F.instr(F.lit("ACGT"), F.substring("genotype", i, 1)) - 1
-    code = (letter(1) * 4 + letter(2)).cast("long")
-    number = F.col("snp_id").cast("long") if "snp_id" in v.columns else F.lit(None).cast("long")
-    time = epoch_us("ts") if "ts" in v.columns else F.lit(None).cast("long")
-    v = v.select("family_id", "person_id", MEMBER, "locus", code.alias("_code"), number.alias("_id"), time.alias("_time"))
-    small = F.col("_id").between(-_SMALL_ID + 1, _SMALL_ID - 1)
-    wide = F.col("_id").cast("decimal(38,0)") * 16 + F.col("_code")
-    best = v.groupBy("family_id", "person_id", MEMBER, "locus").agg(
-        F.min(F.when(small, F.col("_id") * 16 + F.col("_code"))).alias("_small"),
-        F.min(F.when(~small, wide.cast("decimal(38,0)"))).alias("_wide"),
-        F.min(F.when(F.col("_id").isNull(), F.col("_time") * 16 + F.col("_code"))).alias("_timed"),
-        F.min(F.when(F.col("_id").isNull() & F.col("_time").isNull(), F.col("_code"))).alias("_bare"))
-    first = F.coalesce(F.least(F.col("_small").cast("decimal(38,0)"), F.col("_wide")), F.col("_timed").cast("decimal(38,0)"),
-                       F.col("_bare").cast("decimal(38,0)"))
-    gt = F.pmod(first, F.lit(16)).cast("int")
-    return best.select("family_id", "person_id", MEMBER, "locus", F.concat(
-        F.substring(F.lit("ACGT"), F.floor(gt / 4).cast("int") + 1, F.lit(1)),
-        F.substring(F.lit("ACGT"), gt % 4 + 1, F.lit(1))).alias("genotype"))
+    the id, behind all ids the time, behind all times nothing, above the
+    genotype's place in a list."""
+    text = F.coalesce((locus_key() if locus is None else locus).cast("string"), F.lit(""))
+    v = snps.filter(F.col("has_snp") & F.col("person_id").isNotNull() & F.col("family_id").isNotNull())
+    place = [F.lit(_BEHIND * 2)]
+    if "ts" in v.columns:
+        place.insert(0, epoch_us("ts").cast("decimal(20,0)") + F.lit(_BEHIND))
+    if "snp_id" in v.columns:
+        place.insert(0, F.col("snp_id").cast("long").cast("decimal(20,0)"))
+    # other genotypes have no code, so they are never the first
+    place_of = F.instr(F.lit(_GENOTYPES), F.col("genotype"))
+    code = F.when((F.length("genotype") == 2) & (place_of % 3 == 1), place_of)
+    first = F.min((F.coalesce(*place).cast("decimal(22,0)") * 1000 + code).cast("decimal(38,0)"))
+    # one test on the result, where it costs a look at a group, instead of two on each raw row
+    call = F.when(F.col("locus") != "", F.substring(
+        F.lit(_GENOTYPES), F.pmod(F.col("_first"), F.lit(1000)).cast("int"), F.lit(2)))
+    return (v.groupBy("family_id", "person_id", MEMBER, text.alias("locus")).agg(first.alias("_first"))
+            .select("family_id", "person_id", MEMBER, "locus", call.alias("genotype")).filter(F.col("genotype").isNotNull()))
