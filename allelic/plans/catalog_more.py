@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from allelic.operators.genes import apply_record_defaults
@@ -15,6 +17,8 @@ from allelic.plans import sqlparts as S
 from allelic.plans.catalog import (
     HOUR_US, LONG_S, MID_S, QUANTILES, SHORT_S, W, hour_batch, load_snps, query,
 )
+from allelic.session import scratch_path
+from allelic.streaming import runner as R
 
 HET = S.is_het("genotype")
 
@@ -226,11 +230,19 @@ def q_downsample(spark, d):
     return TS.downsample(_batches(spark, d), 100, "batch", by=["member_type"])
 
 
-@query("metric_snapshot", W() + f"""SELECT member_type, arg_max_null(batch, batch) AS batch, arg_max_null(total_records, batch) AS total_records,
-  arg_max_null(messages, batch) AS messages, arg_max_null(tokens, batch) AS tokens, arg_max_null(last_ts, batch) AS last_ts
-  FROM ({_BATCHES}) GROUP BY member_type""")
+@query("metric_snapshot", W() + """SELECT member_type, count(*) FILTER (WHERE has_snp) AS total_records, count(*) AS messages,
+  count(*) FILTER (WHERE NOT has_snp) AS tokens, max(ts) AS last_ts FROM snps GROUP BY member_type""")
 def q_snapshot(spark, d):
-    return TS.latest_by_key(_batches(spark, d), ["member_type"], "batch")
+    """The sink's own path: the table in three batches by day, each written as
+    partials, the first two merged into a base, all read as one snapshot."""
+    out = scratch_path(spark, f"metric-snapshot-{uuid.uuid4().hex}")
+    snps = load_snps(spark, d).withColumn("kind", F.when(F.col("has_snp"), "snp").otherwise("token"))
+    of = F.pmod(F.coalesce(F.dayofyear("ts"), F.lit(0)), F.lit(3))
+    for batch in range(3):
+        R.write_partials(snps.filter(of == batch), batch, out)
+        if batch == 1:
+            R.compact(spark, out, batch)
+    return R.metric_snapshot(spark, out, "batch_metrics")
 
 
 @query("latest_by_key", W() + """SELECT person_id, arg_max_null(snp_id, (ts, snp_id)) AS snp_id, max(ts) AS ts,

@@ -119,6 +119,13 @@ def _partials(snps: DataFrame) -> DataFrame:
     return agg.filter(keep)
 
 
+def write_partials(snps: DataFrame, batch_id: int, out: str) -> None:
+    """All partials of a batch (the SNP view with ``kind``, without corrupt
+    rows), in a folder of its own that a replay rewrites."""
+    (_partials(snps).write.mode("overwrite").partitionBy("metric")
+     .parquet(os.path.join(out, "partials", f"batch_id={batch_id}")))
+
+
 # metric -> (key columns as stored -> output name, value columns -> merge)
 _SUMS = {
     "batch_metrics": ({MEMBER: MEMBER}, {"valid": ("sum", "total_records"), "messages": ("sum", "messages"),
@@ -262,8 +269,7 @@ def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str,
              .parquet(os.path.join(archive, f"batch_id={batch_id}")))
         snps = batch.filter(F.col("kind") != "corrupt")
         corrupt = batch.filter(F.col("kind") == "corrupt").count()
-        (_partials(snps).write.mode("overwrite").partitionBy("metric")
-         .parquet(os.path.join(out, "partials", f"batch_id={batch_id}")))
+        write_partials(snps, batch_id, out)
         if compact_every and batch_id > 0 and batch_id % compact_every == 0:
             compact(spark, out, batch_id)
         if every and batch_id % every == 0:

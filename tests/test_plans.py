@@ -8,8 +8,9 @@ from tests.conftest import SF001
 
 QS = queries()
 # column-pruned scans instead of a shuffle or sort of the whole input: range and bin counts, rows and their total,
-# newest times and the tail they reach, extremes per key and the rows that reach them, members of a trio
-SCANS = {"position_histogram": 2, "boxplot_stats": 2, "family_stats": 2, "mutation_rate_history": 2, "latest_by_key": 2,
+# newest times and the tail they reach, extremes per key and the rows that reach them, members of a trio,
+# a sink's base and later partials
+SCANS = {"metric_snapshot": 2, "position_histogram": 2, "boxplot_stats": 2, "family_stats": 2, "mutation_rate_history": 2, "latest_by_key": 2,
          "sample_first_per_batch": 2, "batch_metrics_sample": 3, "trio_join": 3, "mendelian_consistency": 3}
 # these store range-sorted rows, or write a sink's partials, when they are called
 EAGER = {"downsample_last_n", "task_time_series", "zscore_anomaly", "zscore_anomaly_readme", "chromosome_order", "metric_snapshot"}
