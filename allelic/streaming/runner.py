@@ -3,7 +3,8 @@
 One ``foreachBatch`` query per message stream.  Per micro-batch it
 
 1. persists the parsed batch;
-2. archives the rows (Parquet by event date, sorted by event time);
+2. archives the rows (Parquet by event date, sorted by event time, small
+   runs merged; ``read_archive`` reads it by its manifest);
 3. computes every metric as *additive partial counts* of this batch in one
    grouping-sets aggregation (one scan, one shuffle) and writes them to
    ``{out}/partials/batch_id={n}/metric=...``, replacing that batch folder.
@@ -36,7 +37,9 @@ from allelic.operators.genes import annotate_gene
 from allelic.operators.metrics import _het_summary, orientation, with_group_total
 from allelic.operators.topk import top_k
 from allelic.sources import codec as C
-from allelic.streaming.stateful import delete, latest_version, numbered
+from allelic.streaming.runs import (
+    Table, all_runs, delete, forget, latest_version, numbered, previous, read_manifest, read_runs, take_in, write_manifest,
+)
 
 MEMBER = "member_type"
 
@@ -253,22 +256,70 @@ def _derived(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     return {"hotspots": hot, "population": _het_summary(pop, [MEMBER])}
 
 
+#: Runs of an event date that are left alone, and that are merged whatever their sizes.
+FEW_RUNS, MOST_RUNS = 8, 24
+
+
+def _archive(path: str) -> Table:
+    # readers that list the folder skip names that begin with an underscore
+    return Table(path, os.path.join(path, "_manifest"), "batch_id", "event_date")
+
+
+def archive_batch(spark: SparkSession, batch: DataFrame, batch_id: int, path: str, keep: int = 2) -> int:
+    """Appends the rows to the archive, corrupt ones too; returns how many
+    are corrupt.
+
+    Rows lie by event date, sorted by event time inside each file, so hour and
+    time filters prune row groups by Parquet statistics.  Each date is a list
+    of runs (see ``runs``): with over ``FEW_RUNS``, the batch takes in the small
+    ones, sorted anew into files of the size adaptive execution aims at, so the
+    number of files does not grow with the age of the stream.  A replay
+    rewrites the same files; ``read_archive`` reads what the newest manifest
+    names.
+    """
+    table = _archive(path)
+    rows = batch.withColumn("event_date", F.to_date("ts")).withColumn("event_hour", F.hour("ts"))
+    found = rows.groupBy("event_date").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("kind") == "corrupt").alias("corrupt")).collect()
+    touched = {None if r["event_date"] is None else r["event_date"].isoformat(): r["n"] for r in found}  # dates of one batch
+    settings, held = previous(spark, table, batch_id)
+    taken, left = take_in(held, touched, unless_over=FEW_RUNS, most=MOST_RUNS)
+    if touched:
+        merged = rows
+        if taken:
+            old = read_runs(spark, table, taken)
+            merged = old.withColumn("event_date", F.col("event_date").cast("date")).unionByName(rows, allowMissingColumns=True)
+            merged = merged.repartitionByRange("event_date", "ts")
+        (merged.sortWithinPartitions("event_date", "ts").write.mode("overwrite").partitionBy("event_date")
+         .parquet(os.path.join(path, f"{table.run}={batch_id}")))
+        size = {part: n + sum(dict(held[part])[run] for run, p in taken if p == part) for part, n in touched.items()}
+        for part, n in size.items():
+            left[part].append((batch_id, n))
+    write_manifest(spark, table, batch_id, settings or {}, left)
+    forget(spark, table, batch_id, keep)
+    return sum(r["corrupt"] for r in found)
+
+
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """The archived rows with event_date and event_hour, by the newest
+    manifest; filters on event_date prune folders."""
+    table = _archive(path)
+    v = latest_version(spark, table.manifests)
+    held = read_manifest(spark, table, v)[1] if v is not None else {}
+    if not held:
+        raise FileNotFoundError(f"no archive under {path}")
+    return read_runs(spark, table, all_runs(held))
+
+
 def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str,
                  archive: str | None, every: int, compact_every: int = 0) -> None:
     started = time.time()
     batch.persist()
     try:
         if archive:
-            # date folders, rows sorted by event time inside each file: hour
-            # and time filters prune row groups through Parquet min/max
-            # statistics without one tiny file per task and hour
-            (batch.withColumn("event_date", F.to_date("ts"))
-             .withColumn("event_hour", F.hour("ts"))
-             .sortWithinPartitions("event_date", "ts")
-             .write.mode("overwrite").partitionBy("event_date")
-             .parquet(os.path.join(archive, f"batch_id={batch_id}")))
+            corrupt = archive_batch(spark, batch, batch_id, archive)
+        else:
+            corrupt = batch.filter(F.col("kind") == "corrupt").count()
         snps = batch.filter(F.col("kind") != "corrupt")
-        corrupt = batch.filter(F.col("kind") == "corrupt").count()
         write_partials(snps, batch_id, out)
         if compact_every and batch_id > 0 and batch_id % compact_every == 0:
             compact(spark, out, batch_id)

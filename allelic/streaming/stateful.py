@@ -18,10 +18,11 @@ from pyspark.sql.types import StructType
 
 from allelic.operators.metrics import window_counts
 from allelic.operators.timeseries import latest_by_key
+from allelic.streaming.runs import (
+    Table, all_runs, forget, latest_version, previous, read_manifest, read_runs, take_in, write_manifest,
+)
 
 DEFAULT_WATERMARK = "10 minutes"
-#: Folder columns of a snapshot's runs.
-RUN, BUCKET = "_run", "_bucket"
 
 
 def stream_window_counts(snps: DataFrame, width: str, *, watermark: str = DEFAULT_WATERMARK,
@@ -61,124 +62,48 @@ def stream_family_completion(snps: DataFrame, *, watermark: str = DEFAULT_WATERM
 BUCKETS, MOST_RUNS = 64, 16
 
 
+def _snapshot(path: str) -> Table:
+    return Table(os.path.join(path, "runs"), os.path.join(path, "manifest"), "_run", "_bucket")
+
+
 def upsert_snapshot(spark: SparkSession, batch: DataFrame, batch_id: int, path: str,
                     keys: list[str], ts: str, keep: int = 2, buckets: int = BUCKETS) -> None:
     """Merge a micro-batch into a last-write-wins snapshot.
 
-    Keys lie in hash buckets, and a bucket is a few sorted-by-age runs: the
-    batch becomes a new run of each bucket it touches, and takes in the
-    bucket's newest runs as long as they are at most twice its size, so a row
-    is written again only when what it lies with doubles.  What a batch writes
-    follows the batch, not the snapshot; readers merge the runs.
-
-    ``manifest/version={batch_id}`` names the runs of every bucket and is
-    written last.  A replayed batch starts from the manifest before it and
-    rewrites its own run and manifest, so the result is idempotent.  Equal
-    times are decided by the rows' other columns.  Runs that none of the
-    ``keep`` newest manifests names are deleted.
+    Keys lie in hash buckets, and a bucket is a list of runs (see ``runs``):
+    the batch becomes a run of each bucket it touches, with the newest small
+    runs merged in; readers merge the rest.  What a batch writes follows the
+    batch, not the snapshot.  Equal times are decided by the rows' other
+    columns.  A replayed batch gives the same snapshot; the ``keep`` newest
+    versions stay.
     """
-    folder = os.path.join(path, "manifest")
-    before = latest_version(spark, folder, before=batch_id)
-    spec, held = ({"keys": keys, "ts": ts, "buckets": buckets, "schema": batch.schema.json()}, {}) if before is None else _manifest(spark, path, before)
-    buckets = spec["buckets"]
-    placed = batch.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    touched = {r[BUCKET]: r["count"] for r in placed.groupBy(BUCKET).count().collect()}  # at most ``buckets`` rows
-    taken, left = [], {b: list(runs) for b, runs in held.items()}
-    for b, size in touched.items():
-        runs = left.setdefault(b, [])
-        every = len(runs) >= MOST_RUNS
-        while runs and (every or runs[-1][1] <= 2 * size):
-            run, rows = runs.pop()
-            taken.append((run, b))
-            size += rows
+    table = _snapshot(path)
+    settings, held = previous(spark, table, batch_id)
+    settings = settings or {"keys": keys, "ts": ts, "buckets": buckets, "schema": batch.schema.json()}
+    placed = batch.withColumn(table.part, F.pmod(F.xxhash64(*keys), F.lit(settings["buckets"])).cast("string"))
+    touched = {r[0]: r["count"] for r in placed.groupBy(table.part).count().collect()}  # at most ``buckets`` rows
+    taken, left = take_in(held, touched, unless_over=0, most=MOST_RUNS)
     if touched:
         merged = placed
         if taken:
-            merged = _runs(spark, path, taken).unionByName(placed, allowMissingColumns=True)
-        own = os.path.join(path, "runs", f"{RUN}={batch_id}")
-        (latest_by_key(merged, [BUCKET, *keys], ts).repartition(min(len(touched), buckets), BUCKET)
-         .write.mode("overwrite").partitionBy(BUCKET).parquet(own))
-        for r in spark.read.parquet(own).groupBy(BUCKET).count().collect():
-            left[r[BUCKET]].append((batch_id, r["count"]))
-    rows = [(b, run, n, None) for b, runs in left.items() for run, n in runs] + [(-1, -1, 0, json.dumps(spec))]
-    (spark.createDataFrame(rows, "bucket int, run long, rows long, spec string").coalesce(1)
-     .write.mode("overwrite").parquet(os.path.join(folder, f"version={batch_id}")))
-    _forget(spark, path, batch_id, keep)
-
-
-def _manifest(spark: SparkSession, path: str, version: int) -> tuple[dict, dict[int, list[tuple[int, int]]]]:
-    """The snapshot's settings, and (run, rows) of each bucket from the oldest
-    run; at most ``MOST_RUNS`` + 1 rows a bucket."""
-    rows = spark.read.parquet(os.path.join(path, "manifest", f"version={version}")).collect()
-    held: dict[int, list[tuple[int, int]]] = {}
-    for r in sorted(rows, key=lambda r: r["run"]):
-        if r["bucket"] >= 0:
-            held.setdefault(r["bucket"], []).append((r["run"], r["rows"]))
-    return next(json.loads(r["spec"]) for r in rows if r["spec"]), held
-
-
-def _runs(spark: SparkSession, path: str, wanted: list[tuple[int, int]]) -> DataFrame:
-    """The rows of some (run, bucket), with their bucket."""
-    base = os.path.join(path, "runs")
-    folders = [os.path.join(base, f"{RUN}={run}", f"{BUCKET}={b}") for run, b in sorted(wanted)]
-    return spark.read.option("basePath", base).parquet(*folders).drop(RUN)
-
-
-def _forget(spark: SparkSession, path: str, batch_id: int, keep: int) -> None:
-    """Deletes manifests before the ``keep`` newest, and the runs only they name."""
-    folder = os.path.join(path, "manifest")
-    versions = numbered(spark, folder, "version=")
-    old = [v for v in versions[:-keep] if v < batch_id]
-    if not old:
-        return
-
-    def named(which: list[int]) -> set[tuple[int, int]]:
-        return {(run, b) for v in which for b, runs in _manifest(spark, path, v)[1].items() for run, _ in runs}
-    kept, gone = named([v for v in versions if v not in old]), named(old)
-    runs_kept = {run for run, _ in kept}
-    for run in sorted({run for run, _ in gone} - runs_kept):
-        delete(spark, os.path.join(path, "runs", f"{RUN}={run}"))
-    for run, b in sorted(x for x in gone - kept if x[0] in runs_kept):
-        delete(spark, os.path.join(path, "runs", f"{RUN}={run}", f"{BUCKET}={b}"))
-    for v in old:
-        delete(spark, os.path.join(folder, f"version={v}"))
-
-
-def _hadoop(spark: SparkSession, path: str):
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
-def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers of the finished folders ``{prefix}{number}`` under ``path``, ascending."""
-    fs, hpath = _hadoop(spark, path)
-    if not fs.exists(hpath):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(hpath) if fs.exists(
-        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
-    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    fs, hpath = _hadoop(spark, path)
-    fs.delete(hpath, True)
-
-
-def latest_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
-    """Highest committed snapshot version (optionally below ``before``).
-    Lists the snapshot folder through the Hadoop FileSystem of the session,
-    so it works on HDFS and object stores as well as local disks."""
-    vs = [v for v in numbered(spark, path, "version=") if before is None or v < before]
-    return max(vs) if vs else None
+            old = read_runs(spark, table, taken)
+            merged = old.withColumn(table.part, F.col(table.part).cast("string")).unionByName(placed, allowMissingColumns=True)
+        own = os.path.join(table.base, f"{table.run}={batch_id}")
+        (latest_by_key(merged, [table.part, *keys], ts).repartition(len(touched), table.part)
+         .write.mode("overwrite").partitionBy(table.part).parquet(own))
+        for r in spark.read.parquet(own).groupBy(F.col(table.part).cast("string")).count().collect():
+            left[r[0]].append((batch_id, r["count"]))
+    write_manifest(spark, table, batch_id, settings, left)
+    forget(spark, table, batch_id, keep)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The newest snapshot: one row per key, the latest of its bucket's runs."""
-    v = latest_version(spark, os.path.join(path, "manifest"))
+    table = _snapshot(path)
+    v = latest_version(spark, table.manifests)
     if v is None:
         raise FileNotFoundError(f"no snapshot under {path}")
-    spec, held = _manifest(spark, path, v)
+    settings, held = read_manifest(spark, table, v)
     if not held:
-        return spark.createDataFrame([], StructType.fromJson(json.loads(spec["schema"])))
-    rows = _runs(spark, path, [(run, b) for b, runs in held.items() for run, _ in runs]).drop(BUCKET)
-    return latest_by_key(rows, spec["keys"], spec["ts"])
+        return spark.createDataFrame([], StructType.fromJson(json.loads(settings["schema"])))
+    return latest_by_key(read_runs(spark, table, all_runs(held)).drop(table.part), settings["keys"], settings["ts"])

@@ -60,7 +60,7 @@ def test_foreach_batch_parity_with_batch(spark, msg_dir):
     assert log.count() == spark.read.parquet(os.path.join(out, "partials")).select("batch_id").distinct().count()
     assert log.filter("processing_ms > 0").count() == log.count()
     # archive holds every message once
-    assert spark.read.parquet(os.path.join(root, "archive")).count() == 1000
+    assert R.read_archive(spark, os.path.join(root, "archive")).count() == 1000
 
 
 def test_replayed_batch_changes_nothing(spark, msg_dir):
@@ -312,7 +312,7 @@ def test_bad_messages_do_not_end_the_stream(spark):
 
 def test_files_of_a_long_stream_stay_few(spark):
     """60 batches through the sink; a replay of the last one changes nothing."""
-    from allelic.streaming.stateful import numbered
+    from allelic.streaming.runs import numbered
     out = os.path.join(tempfile.mkdtemp(prefix="allelic-long-"), "out")
     raw = spark.createDataFrame([(None, v) for v in _keyless()[:5]], "key string, value string")
     batch = R.messages_to_snps(raw).cache()
