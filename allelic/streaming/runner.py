@@ -256,6 +256,16 @@ def _derived(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     return {"hotspots": hot, "population": _het_summary(pop, [MEMBER])}
 
 
+def derived_snapshot(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """The newest refresh of a derived metric (``hotspots``,
+    ``population``) that the sink wrote, with the batch it was made after."""
+    folder = os.path.join(out, "snapshots", name)
+    v = latest_version(spark, folder)
+    if v is None:
+        raise FileNotFoundError(f"no refresh of {name} under {out}")
+    return spark.read.parquet(os.path.join(folder, f"version={v}")).withColumn("batch_id", F.lit(v).cast("long"))
+
+
 #: Runs of an event date that are left alone, and that are merged whatever their sizes.
 FEW_RUNS, MOST_RUNS = 8, 24
 

@@ -46,8 +46,14 @@ def test_foreach_batch_parity_with_batch(spark, msg_dir):
     # several micro-batches really ran
     assert spark.read.parquet(os.path.join(out, "partials")).select("batch_id").distinct().count() >= 4
     # population heterozygosity from the snapshot == batch operator
-    pop = spark.read.parquet(os.path.join(out, "snapshots", "population"))
-    latest = pop.agg(F.max("version")).first()[0]
+    pop = R.derived_snapshot(spark, out, "population")
+    latest = pop.select("batch_id").distinct().collect()
+    assert len(latest) == 1 and pop.count() == 3
+    latest = latest[0][0]
+    hot = R.derived_snapshot(spark, out, "hotspots")
+    assert hot.groupBy("member_type").agg(F.max("rank").alias("r")).filter("r <> 10").count() == 0
+    with pytest.raises(FileNotFoundError):
+        R.derived_snapshot(spark, out, "no such metric")
     # the newest snapshot covers every batch up to its version; recompute the
     # same snapshot now over all batches and compare it with the batch operator
     assert latest % 2 == 0
