@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from allelic.llm import bloom_lm, decontaminate, exact_dedup, licenses, mixing, personal_data, quality, simhash, token_store
 from tests.llm import brute
@@ -163,6 +164,50 @@ def test_mixing(odd, empty):
     assert mixing.mix_digest(empty).count() == 0
 
 
+def test_mixing_cuts_the_queue_not_the_targets(odd, monkeypatch):
+    """With the closed form of the targets off, the queue's cut still meets them."""
+    sizes, source, target = plain_mix(odd_rows())
+    real = mixing.source_targets
+    monkeypatch.setattr(mixing, "source_targets", lambda *a: real(*a).withColumn("target", F.lit(-1.0)))
+    taken = Counter()
+    for r in mixing.fair_queue(odd).collect():
+        assert r["target"] == -1.0
+        taken[r["source"]] += r["taken"]
+    assert all(abs(taken[s] - target[s]) <= 1 for s in source)
+
+
+@pytest.mark.parametrize("share", [0.3, 1.0, 5.0])
+def test_mixing_budgets(odd, share):
+    """A small budget, all sources once, and more than the epochs hold."""
+    total = sum(n for _, _, n in plain_mix(odd_rows())[0])
+    taken = sum(r["taken"] for r in mixing.fair_queue(odd, share=share).collect())
+    assert abs(taken - min(share, 2) * total) <= len({s for _, _, s in odd_rows()})
+
+
+def test_mixing_one_id(spark, monkeypatch):
+    """One id, one text and one source on most of the rows: no range holds them."""
+    rows = [(7 if i % 10 else None, "a b c d", "hot" if i % 20 else "b") for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(8)
+    kept, real = {}, mixing._in_ranges
+
+    def ranges(df, order, name):
+        kept[name] = real(df, order, name)
+        return kept[name]
+    monkeypatch.setattr(mixing, "_in_ranges", ranges)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = mixing.mix_digest(docs)
+        assert got.count() == 20_000
+        assert got.agg(F.sum("taken")).first()[0] == pytest.approx(1.5 * 80_000, abs=2)
+        for name in ("placed", "queue"):
+            sizes = [r["count"] for r in kept[name].groupBy("_range").count().collect()]
+            assert len(sizes) > 4 and max(sizes) < 3 * sum(sizes) / len(sizes)
+        mixed = mixing.mix_documents(docs)
+        assert mixed.columns == docs.columns and 29_900 < mixed.count() < 30_100
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_mixed_documents(odd, empty):
     got = mixing.mix_documents(odd)
     assert got.columns == odd.columns
