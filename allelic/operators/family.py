@@ -76,14 +76,22 @@ def check_tokens(tokens: DataFrame, snps: DataFrame) -> DataFrame:
     family without rows counts none; a field the token lacks agrees with none.
     ``tokens``: family_id, total_members, num_children, snps_per_member."""
     summary = family_completion_summary(snps.filter(F.col("has_snp")))
-    stated = tokens.select(
-        "family_id", F.col("total_members").cast("long").alias("stated_members"),
+    counted = summary.select(F.col("family_id").alias("_f"), "total_members", "num_children", "total_snps")
+    return tokens_agree(stated_tokens(tokens).join(counted, F.col("family_id") == F.col("_f"), "left").drop("_f"))
+
+
+def stated_tokens(tokens: DataFrame, *keep: str) -> DataFrame:
+    """What a family's token states: members, children and SNPs."""
+    return tokens.select(
+        "family_id", *keep, F.col("total_members").cast("long").alias("stated_members"),
         F.col("num_children").cast("long").alias("stated_children"),
         (F.col("snps_per_member.father") + F.col("snps_per_member.mother")
          + F.aggregate("snps_per_member.children", F.lit(0), lambda a, x: a + x)).cast("long").alias("stated_snps"))
-    counted = summary.select(F.col("family_id").alias("_f"), "total_members", "num_children", "total_snps")
-    x = stated.join(counted, F.col("family_id") == F.col("_f"), "left").drop("_f").fillna(
-        0, ["total_members", "num_children", "total_snps"])
+
+
+def tokens_agree(x: DataFrame) -> DataFrame:
+    """``agrees`` for what tokens state against what was counted; no rows count 0."""
+    x = x.fillna(0, ["total_members", "num_children", "total_snps"])
     agree = ((F.col("stated_members") == F.col("total_members")) & (F.col("stated_children") == F.col("num_children"))
              & (F.col("stated_snps") == F.col("total_snps")))
     return x.withColumn("agrees", F.coalesce(agree, F.lit(False)))

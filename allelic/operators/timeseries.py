@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelic.functions.genotype import trend_direction
@@ -125,17 +125,20 @@ def rate_anomaly(df: DataFrame, short: int = 10, long: int = 60, threshold: floa
     ``|n_s * long - n_l * short| > threshold * n_l * short``.
     """
     s = rate_series(df, (long, short), by=by, ts=ts)
-    ns, nl = F.col(f"n_{short}s"), F.col(f"n_{long}s")
+    return s.select(*by, "ts", *(["n_at"] if keep_n_at else []),
+                    *anomaly_columns(F.col(f"n_{short}s"), F.col(f"n_{long}s"), short, long, threshold))
+
+
+def anomaly_columns(ns: Column, nl: Column, short: int, long: int, threshold: float) -> list[Column]:
+    """The columns of W5 from the counts of the short and the long window."""
     lhs = F.abs(ns * long - nl * short).cast("double")
     rhs = (nl * short).cast("double") * float(threshold)
     anomalous = (nl > 0) & (lhs > rhs)
-    return s.select(
-        *by, "ts", *(["n_at"] if keep_n_at else []), ns.alias("n_short"), nl.alias("n_long"),
-        F.round(F.col(f"rate_{long}s"), 4).alias("expected_rate"),
-        F.round(F.col(f"rate_{short}s"), 4).alias("current_rate"),
-        F.round(F.col(f"rate_{short}s") - F.col(f"rate_{long}s"), 4).alias("deviation"),
-        anomalous.alias("is_anomaly"),
-        F.when(~anomalous, "normal").when(lhs > rhs * 2, "high").otherwise("medium").alias("severity"))
+    expected, current = nl.cast("double") / float(long), ns.cast("double") / float(short)
+    return [ns.alias("n_short"), nl.alias("n_long"), F.round(expected, 4).alias("expected_rate"),
+            F.round(current, 4).alias("current_rate"), F.round(current - expected, 4).alias("deviation"),
+            anomalous.alias("is_anomaly"),
+            F.when(~anomalous, "normal").when(lhs > rhs * 2, "high").otherwise("medium").alias("severity")]
 
 
 def anomaly_rate(df: DataFrame, short: int = 10, long: int = 60, threshold: float = 2.5, *,
