@@ -21,10 +21,11 @@ join on ``(chromosome, bin)`` and AQE handles skewed bins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from allelic.functions.genotype import default_genotype, normalize_chromosome, variant_type
+from allelic.operators.ranks import numbered_rows
 from allelic.schemas import gene_rows
 
 DEFAULT_BIN = 1_000_000
@@ -79,7 +80,8 @@ def disjoint_segments(genes: DataFrame) -> DataFrame:
 
     Input columns: priority, gene, chromosome, start, end (inclusive).
     Output: chromosome, lo, hi (inclusive), gene.  The interval boundaries of
-    a chromosome (starts and ends + 1) number its elementary segments.  An
+    a chromosome (starts and ends + 1), numbered by a range sort, number its
+    elementary segments, so no task holds a chromosome.  An
     interval is at most two nodes per level of the binary tree over these
     numbers; every node keeps its first gene, and a segment takes the first
     gene of its ancestors.  All joins are equi joins and the rows grow with
@@ -90,10 +92,10 @@ def disjoint_segments(genes: DataFrame) -> DataFrame:
     g = g.filter(F.col("lo") < F.col("end"))
     bounds = (g.select("chromosome", F.col("lo").alias("b"))
               .unionByName(g.select("chromosome", F.col("end").alias("b"))).distinct())
-    w = Window.partitionBy("chromosome").orderBy("b")
-    cuts = bounds.select("chromosome", "b", (F.row_number().over(w) - 1).cast("long").alias("i"),
-                         (F.lead("b").over(w) - 1).alias("hi"),
-                         F.ceil(F.log2(F.count(F.lit(1)).over(Window.partitionBy("chromosome")))).cast("int").alias("height"))
+    numbered = numbered_rows(bounds, ["chromosome"], ["b"])
+    following = numbered.select(F.col("chromosome").alias("_c"), (F.col("_i") - 1).alias("_before"), (F.col("b") - 1).alias("hi"))
+    cuts = (numbered.join(following, (F.col("chromosome") == F.col("_c")) & (F.col("_i") == F.col("_before")), "left")
+            .select("chromosome", "b", F.col("_i").alias("i"), "hi", F.ceil(F.log2("_n")).cast("int").alias("height")))
     at = cuts.select(F.col("chromosome").alias("_c"), F.col("b").alias("_b"), F.col("i").alias("first"))
     to = cuts.select(F.col("chromosome").alias("_d"), F.col("b").alias("_e"), F.col("i").alias("past"))
     spans = (g.join(at, (F.col("chromosome") == F.col("_c")) & (F.col("lo") == F.col("_b")))

@@ -138,3 +138,44 @@ def test_many_overlapping_intervals(spark):
         assert got.get(p) == (min(cover)[1] if cover else None)
     plan = disjoint_segments(genes)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_chromosome_is_no_single_task(spark, monkeypatch):
+    """200,000 intervals on one chromosome: the boundaries lie in many ranges,
+    and the segments equal a sweep with a heap."""
+    import heapq
+    import random
+
+    from allelic.operators import genes as G
+    rng = random.Random(8)
+    rows = []
+    for i in range(200_000):
+        start = rng.randint(0, 50_000_000)
+        rows.append((rng.randint(0, 10 ** 6) * 200_000 + i, f"g{i}", "7", start, start + rng.choice([3, 500, 2_000])))
+    genes = spark.createDataFrame(rows, "priority long, gene string, chromosome string, start long, end long").repartition(8)
+    kept, real = [], G.numbered_rows
+
+    def numbered(*a):
+        kept.append(real(*a))
+        return kept[-1]
+    monkeypatch.setattr(G, "numbered_rows", numbered)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        segments = G.disjoint_segments(genes)
+        got = {r["lo"]: (r["hi"], r["gene"]) for r in segments.collect()}
+        plan = segments._jdf.queryExecution().executedPlan().toString()
+        assert "row_number" not in plan and "lead(" not in plan
+        assert len(kept) == 1 and kept[0].count() == len({b for r in rows for b in (r[3], r[4] + 1)})
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    bounds = sorted({b for r in rows for b in (r[3], r[4] + 1)})
+    waiting, opened, at, expected = sorted((r[3], r[0], r[1], r[4]) for r in rows), [], 0, {}
+    for lo, following in zip(bounds, bounds[1:]):
+        while at < len(waiting) and waiting[at][0] <= lo:
+            heapq.heappush(opened, waiting[at][1:])
+            at += 1
+        while opened and opened[0][2] < lo:
+            heapq.heappop(opened)
+        if opened:
+            expected[lo] = (following - 1, opened[0][1])
+    assert got == expected
