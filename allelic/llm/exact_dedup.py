@@ -9,8 +9,10 @@ The range key is the text's first characters, then its digest, then a salt:
 the sampled splitters stay short whatever the texts' length, texts that only
 share a beginning still fall apart, and equal texts fall together.  The salt
 is 0 but for hot texts, those with more than 1/``HOT_TEXTS`` of all rows.  A
-hot text's copies are dealt into runs of about that many rows, and a second
-comparison, over one head per run, joins the runs.
+hot text's copies are dealt by row number, whatever their ids, into runs of
+about that many rows, and a second comparison, over one head per run, joins
+the runs; the run that holds the smallest identifier, of several the one with
+the smallest salt, keeps its first row.
 """
 
 from __future__ import annotations
@@ -39,7 +41,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     is.  Exactly one row of each group is kept; among rows that repeat the
     smallest id, any one of them.  Other columns of ``docs`` are not read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), normalised(text_col).alias("norm"))
+    rows = docs.select(F.col(id_col).alias("id"), normalised(text_col).alias("norm"),
+                       F.monotonically_increasing_id().alias("row"))
     rows = rows.withColumn("sha", F.sha2(F.col("norm"), 256))
     total = docs.count()
     hot = (rows.groupBy("sha").agg(F.count(F.lit(1)).alias("copies"))
@@ -48,27 +51,28 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                    F.ceil(F.col("copies") * HOT_TEXTS / F.lit(max(total, 1))).alias("runs")))
     salted = (rows.join(F.broadcast(hot), F.col("sha") == F.col("hot_sha"), "left")
               .select("id", "norm", "sha", F.col("runs").isNotNull().alias("hot"),
-                      F.coalesce(F.pmod(F.xxhash64("id"), F.col("runs")), F.lit(0)).alias("salt"),
+                      F.coalesce(F.pmod(F.xxhash64("row"), F.col("runs")), F.lit(0)).alias("salt"),
                       F.substring("norm", 1, LEAD).alias("lead")))
     dealt = salted.repartitionByRange("lead", "sha", "salt")
     run = Window.partitionBy("lead", "sha", "salt", "norm").orderBy(F.col("id").asc_nulls_last())
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first = F.row_number().over(run) == 1
     runs = stored(dealt.select(
-        "id", "sha", "hot", first.alias("first"),
+        "id", "sha", "hot", "salt", first.alias("first"),
         F.min("id").over(whole).alias("run_min"),
         F.count(F.lit(1)).over(whole).alias("run_size"),
         F.when(F.col("hot") & first, F.col("norm")).alias("head")), "runs")
     merged = (runs.where("hot AND first").groupBy("sha", "head")
-              .agg(F.min("run_min").alias("all_min"), F.sum("run_size").alias("all_size"))
-              .select(F.col("sha").alias("all_sha"), "all_min", "all_size"))
+              .agg(F.min("run_min").alias("all_min"), F.sum("run_size").alias("all_size"),
+                   F.min(F.struct(F.col("run_min").isNull(), "run_min", "salt"))["salt"].alias("all_salt"))
+              .select(F.col("sha").alias("all_sha"), "all_min", "all_size", "all_salt"))
     joined = runs.join(F.broadcast(merged), F.col("hot") & (F.col("sha") == F.col("all_sha")), "left")
     is_hot = F.col("all_size").isNotNull()
     return joined.select(
         F.col("id").alias(id_col),
         F.when(is_hot, F.col("all_min")).otherwise(F.col("run_min")).alias("keep_id"),
         F.coalesce("all_size", "run_size").alias("group_size"),
-        (F.col("first") & (~is_hot | F.col("run_min").eqNullSafe(F.col("all_min")))).alias("kept"),
+        (F.col("first") & (~is_hot | (F.col("salt") == F.col("all_salt")))).alias("kept"),
         F.col("sha").alias("text_sha256"))
 
 
