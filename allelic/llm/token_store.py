@@ -10,6 +10,7 @@ One document is read by one index look-up and one range read.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import struct
 import zlib
@@ -32,6 +33,8 @@ LEVEL = 3
 #: The dictionary is fitted on about so many documents (never more than twice), of each so many ids at most.
 SAMPLE_DOCS, SAMPLE_IDS = 1024, 4096
 DICTIONARY_BYTES = 64 * 1024
+#: Characters of the text by which rows that repeat an id are ordered.
+LEAD = 32
 #: Distinct pieces whose ids a Python worker remembers, bytes of text encoded together.
 REMEMBERED, SLICE_BYTES = 300_000, 12 * 1024 * 1024
 
@@ -56,8 +59,24 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.n
     return flat[places], size
 
 
+#: The one normaliser and pre-tokenizer whose texts may be encoded word by word; fixed values of the tokenizer's format.
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+def by_words(path: str) -> bool:
+    """Whether the tokenizer file normalises and splits in the form that ``Encoder`` knows."""
+    with open(path, encoding="utf-8") as file:
+        form = json.load(file)
+    return form.get("normalizer") == _NORMALIZER and form.get("pre_tokenizer") == _PRE_TOKENIZER
+
+
 class Encoder:
-    """Ids of texts, word by word.
+    """Ids of texts, word by word; of tokenizers of another form, text by text.
 
     The tokenizer drops white space and never merges across it, so the ids of
     a text are those of its words.  Of a word, ASCII punctuation around
@@ -73,6 +92,7 @@ class Encoder:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 2 ** 16 else "<u4")
+        self.by_words = by_words(path)
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
@@ -125,6 +145,9 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Serialized ids of each text and the end id."""
+        if not self.by_words:
+            coded = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+            return [np.array([*x.ids, END_ID], self.dtype).tobytes() for x in coded]
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         flat, sizes = self._words(coded.dictionary)
@@ -174,8 +197,8 @@ def train_dictionary(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
             ids = [x[:SAMPLE_IDS * one.dtype.itemsize] for _, x in one.encode_batch(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
 
-    rows = (docs.where(F.pmod(F.xxhash64(id_col), F.lit(every)) == 0)
-            .select(valid_text(text_col).alias("t")).limit(2 * SAMPLE_DOCS)
+    rows = (docs.select(valid_text(text_col).alias("t"), F.xxhash64(id_col, text_col).alias("h"))
+            .where(F.pmod("h", F.lit(every)) == 0).orderBy("h").select("t").limit(2 * SAMPLE_DOCS)
             .mapInArrow(sample, "ids binary").collect())
     samples = sorted(bytes(r["ids"]) for r in rows)
     try:
@@ -194,7 +217,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None,
     path, dictionary (its path), n_docs, n_tokens.
 
     Null and empty texts are the end id alone.  Null ids come last.  Rows that
-    repeat an id follow one another in order of their texts.
+    repeat an id follow one another in order of their texts' first ``LEAD``
+    characters, then of a hash of the text; ranges are cut among them, too, so
+    one id or one text is no single task or file.
     """
     tokenizer = tokenizer or default_tokenizer()
     data = train_dictionary(docs, tokenizer, id_col, text_col)
@@ -202,9 +227,10 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None,
     dictionary = f"{folder}/dictionary-{digest.hex()}.zdict"
     with open_write(dictionary) as out:
         out.write(data)
-    order = F.col("id").asc_nulls_last()
-    ranged = (docs.select(F.col(id_col).cast("long").alias("id"), valid_text(text_col).alias("text"))
-              .repartitionByRange(order).sortWithinPartitions(order, "text"))
+    order = [F.col("id").asc_nulls_last(), F.substring("text", 1, LEAD), F.xxhash64("text"), F.col("row")]
+    ranged = (docs.select(F.col(id_col).cast("long").alias("id"), valid_text(text_col).alias("text"),
+                          F.monotonically_increasing_id().alias("row"))
+              .repartitionByRange(*order).sortWithinPartitions(*order))
     manifest = pa.schema([("part", pa.int32()), ("path", pa.string()), ("dictionary", pa.string()),
                           ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 

@@ -128,6 +128,50 @@ def test_every_license_tag_of_a_line(text, labels, value):
     assert row["labels"] == labels and row["score"] == pytest.approx(value)
 
 
+def test_tokens_of_another_tokenizer(odd):
+    """A tokenizer that keeps white space and cases gets whole texts."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert token_store.by_words(token_store.default_tokenizer()) and not token_store.by_words(path)
+    same(token_store.token_round_trip(odd, path).collect(), brute.tokens(ROWS, Tokenizer.from_file(path)))
+
+
+@pytest.fixture()
+def one_id(spark):
+    """One id or none, and one text, on nine tenths of the rows."""
+    rows = [(None if i % 3 else 7, "the same words again") if i % 10 else (i, f"text {i}") for i in range(20_000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_exact_dedup_one_id(one_id, monkeypatch):
+    kept, real = {}, exact_dedup.stored
+
+    def stored(df, name, *rest):
+        kept[name] = real(df, name, *rest)
+        return kept[name]
+    monkeypatch.setattr(exact_dedup, "stored", stored)
+    got = Counter((r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_dedup(one_id).collect() if r["group_size"] > 1)
+    assert got == {(7, 18_000, True): 1, (7, 18_000, False): 17_999}
+    assert kept["runs"].agg(F.max("run_size")).first()[0] < 100
+    nobody = one_id.filter("doc_id IS NULL")
+    assert Counter(r["kept"] for r in exact_dedup.exact_dedup(nobody).collect()) == {True: 1, False: nobody.count() - 1}
+
+
+def test_tokens_one_id(one_id):
+    from tokenizers import Tokenizer
+
+    from allelic.llm.common import fresh_folder
+    manifest = token_store.write_tokens(one_id, fresh_folder(one_id.sparkSession, "tokens"))
+    sizes = [r["n_docs"] for r in manifest.collect()]
+    assert sum(sizes) == 20_000 and len(sizes) > 4 and max(sizes) < 3 * sum(sizes) / len(sizes)
+    got = token_store.read_tokens(manifest).collect()
+    whole = Tokenizer.from_file(token_store.default_tokenizer())
+    same(got, brute.tokens(one_id.collect(), whole))
+
+
 def plain_mix(rows):
     sizes = [(i, s, len(brute.TOKEN.findall(t or ""))) for i, t, s in rows]
     source = defaultdict(int)
