@@ -11,8 +11,7 @@ share a beginning still fall apart, and equal texts fall together.  The salt
 is 0 but for hot texts, those with more than 1/``HOT_TEXTS`` of all rows.  A
 hot text's copies are dealt by row number, whatever their ids, into runs of
 about that many rows, and a second comparison, over one head per run, joins
-the runs; the run that holds the smallest identifier, of several the one with
-the smallest salt, keeps its first row.
+the runs; a run that holds the smallest identifier keeps its first row.
 """
 
 from __future__ import annotations
@@ -64,7 +63,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.when(F.col("hot") & first, F.col("norm")).alias("head")), "runs")
     merged = (runs.where("hot AND first").groupBy("sha", "head")
               .agg(F.min("run_min").alias("all_min"), F.sum("run_size").alias("all_size"),
-                   F.min(F.struct(F.col("run_min").isNull(), "run_min", "salt"))["salt"].alias("all_salt"))
+                   F.coalesce(F.min_by("salt", "run_min"), F.min("salt")).alias("all_salt"))
               .select(F.col("sha").alias("all_sha"), "all_min", "all_size", "all_salt"))
     joined = runs.join(F.broadcast(merged), F.col("hot") & (F.col("sha") == F.col("all_sha")), "left")
     is_hot = F.col("all_size").isNotNull()
