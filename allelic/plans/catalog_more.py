@@ -230,6 +230,23 @@ def q_downsample(spark, d):
     return TS.downsample(_batches(spark, d), 100, "batch", by=["member_type"])
 
 
+@query("live_hotspots", W() + """SELECT *, row_number() OVER (PARTITION BY member_type ORDER BY frequency DESC,
+  chromosome ASC NULLS LAST, position ASC) AS rank FROM (
+  SELECT member_type, chromosome, position, count(*) AS frequency FROM snps
+  WHERE has_snp AND position IS NOT NULL GROUP BY ALL) QUALIFY rank <= 10""")
+def q_live_hotspots(spark, d):
+    """The sink's own path: the table in three batches by day, the lists of
+    hotspots kept from the first refresh to the second."""
+    out = scratch_path(spark, f"live-hotspots-{uuid.uuid4().hex}")
+    snps = load_snps(spark, d).withColumn("kind", F.when(F.col("has_snp"), "snp").otherwise("token"))
+    of = F.pmod(F.coalesce(F.dayofyear("ts"), F.lit(0)), F.lit(3))
+    for batch in range(3):
+        R.write_partials(snps.filter(of == batch), batch, out)
+        if batch != 1:
+            R.refresh_positions(spark, out, batch)
+    return R.derived_snapshot(spark, out, "hotspots").drop("batch_id")
+
+
 @query("metric_snapshot", W() + """SELECT member_type, count(*) FILTER (WHERE has_snp) AS total_records, count(*) AS messages,
   count(*) FILTER (WHERE NOT has_snp) AS tokens, max(ts) AS last_ts FROM snps GROUP BY member_type""")
 def q_snapshot(spark, d):

@@ -10,9 +10,10 @@ One ``foreachBatch`` query per message stream.  Per micro-batch it
    ``{out}/partials/batch_id={n}/metric=...``, replacing that batch folder.
    A batch replayed after a failure rewrites the same folder, so results
    stay exact under the sink's at-least-once delivery;
-4. every ``every``-th batch refreshes the derived snapshots (top-k,
-   percentages) from the accumulated partials.  Unlike the reference,
-   skipped batches are not lost: their partials are already stored.
+4. every ``every``-th batch refreshes the derived snapshots: the hotspots
+   from what is new since the last refresh (see ``hotspots``), the population
+   from a row per member and batch.  Unlike the reference, skipped batches are
+   not lost: their partials are already stored.
 
 ``metric_snapshot`` reads one metric's partials (partition-pruned) and
 merges all batches with one hash aggregation.  Every ``compact_every``
@@ -35,10 +36,10 @@ from pyspark.sql.streaming import StreamingQuery
 from allelic.functions.genotype import bucket, is_het, pct
 from allelic.operators.genes import annotate_gene
 from allelic.operators.metrics import _het_summary, orientation, with_group_total
-from allelic.operators.topk import top_k
 from allelic.sources import codec as C
+from allelic.streaming.hotspots import read_hotspots, refresh_hotspots, refreshed_after
 from allelic.streaming.runs import (
-    Table, all_runs, delete, forget, latest_version, numbered, previous, read_manifest, read_runs, take_in, write_manifest,
+    Table, all_runs, delete, forget, has_parts, latest_version, numbered, previous, read_manifest, read_runs, take_in, write_manifest,
 )
 
 MEMBER = "member_type"
@@ -156,21 +157,29 @@ def _merge(col: str, how: str):
     return (e.cast("long") if how == "sum" else e).alias(col)
 
 
-def _partial_rows(spark: SparkSession, out: str, upto: int | None = None) -> DataFrame:
+#: Types of a folder of partials in which no batch has a row.
+_EMPTY = """member_type string, chromosome_b string, genotype_b string, chromosome string, position int, person_id string,
+    gene string, orientation string, family_id string, minute timestamp, valid long, messages long, tokens long,
+    last_ts timestamp, heterozygous long, het_n long, first_token_ts timestamp, metric string, batch_id int"""
+
+
+def _partial_rows(spark: SparkSession, out: str, upto: int | None = None, after: int | None = None) -> DataFrame:
     """Partials of every batch (up to ``upto``): the latest compacted base
     (below ``upto``) plus the per-batch partials written after it; older
-    batch folders are pruned by ``batch_id``."""
+    batch folders are pruned by ``batch_id``.  With ``after``, only the
+    folders of later batches.  Batches without SNPs and tokens give no rows."""
     base_dir, folder = os.path.join(out, "base"), os.path.join(out, "partials")
-    v = latest_version(spark, base_dir, before=upto)
-    later = [b for b in numbered(spark, folder, "batch_id=") if (v is None or b > v) and (upto is None or b <= upto)]
-    parts = (spark.read.option("basePath", folder).parquet(*[os.path.join(folder, f"batch_id={b}") for b in later])
-             if later else None)
-    if v is None:
-        if parts is None:
-            raise FileNotFoundError(f"no partials under {out}")
-        return parts
-    base = spark.read.parquet(os.path.join(base_dir, f"version={v}")).withColumn("batch_id", F.lit(v))
-    return base if parts is None else parts.unionByName(base, allowMissingColumns=True)
+    v = after if after is not None else latest_version(spark, base_dir, before=upto)
+    written = [b for b in numbered(spark, folder, "batch_id=") if (v is None or b > v) and (upto is None or b <= upto)]
+    if v is None and not written:
+        raise FileNotFoundError(f"no partials under {out}")
+    later = [p for p in (os.path.join(folder, f"batch_id={b}") for b in written) if has_parts(spark, p)]
+    rows = spark.read.option("basePath", folder).parquet(*later) if later else None
+    held = os.path.join(base_dir, f"version={v}")
+    if after is None and v is not None and has_parts(spark, held):
+        base = spark.read.parquet(held).withColumn("batch_id", F.lit(v))
+        rows = base if rows is None else rows.unionByName(base, allowMissingColumns=True)
+    return spark.createDataFrame([], _EMPTY) if rows is None else rows
 
 
 def compact(spark: SparkSession, out: str, batch_id: int) -> None:
@@ -244,21 +253,35 @@ def metric_snapshot(spark: SparkSession, out: str, metric: str) -> DataFrame:
     return parts.groupBy(*[F.col(k).alias(v) for k, v in keys.items()]).agg(*exprs)
 
 
-def _derived(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    pos = metric_snapshot(spark, out, "position_counts").drop("batches")
-    hot = top_k(pos, [F.desc("frequency"), F.asc_nulls_last("chromosome"), F.asc("position")],
-                10, by=[MEMBER], rank_col="rank")
-    het = metric_snapshot(spark, out, "het_counts").drop("batches")
-    pop = (het.groupBy(MEMBER).agg(F.sum("heterozygous").cast("long").alias("heterozygous"),
-                                   F.sum("total_snps").cast("long").alias("total_snps"))
+def refresh_positions(spark: SparkSession, out: str, batch_id: int) -> None:
+    """Each member's hotspots after a batch, from the partials written
+    since the last refresh.  Partials that are in a base only cannot be told
+    from those before them; then the table is begun anew from all."""
+    path = os.path.join(out, "hotspots")
+    last = refreshed_after(spark, path, batch_id)
+    since = range(0 if last is None else last + 1, batch_id + 1)
+    again = last is not None and not set(since) <= set(numbered(spark, os.path.join(out, "partials"), "batch_id="))
+    rows = _partial_rows(spark, out, upto=batch_id, after=None if again else last)
+    new = rows.filter(F.col("metric") == "position_counts").select(MEMBER, "chromosome", "position", F.col("valid").alias("frequency"))
+    refresh_hotspots(spark, new, batch_id, path, again=again)
+
+
+def population_snapshot(spark: SparkSession, out: str) -> DataFrame:
+    """A7 over every stored batch, from a row per member and batch."""
+    rows = _partial_rows(spark, out).filter(F.col("metric") == "batch_metrics")
+    pop = (rows.groupBy(MEMBER).agg(F.sum("heterozygous").cast("long").alias("heterozygous"),
+                                    F.sum("het_n").cast("long").alias("total_snps"))
+           .filter(F.col("total_snps") > 0)
            .withColumn("homozygous", F.col("total_snps") - F.col("heterozygous")))
     # the batch operator's own summary: identical numbers on both paths
-    return {"hotspots": hot, "population": _het_summary(pop, [MEMBER])}
+    return _het_summary(pop, [MEMBER])
 
 
 def derived_snapshot(spark: SparkSession, out: str, name: str) -> DataFrame:
     """The newest refresh of a derived metric (``hotspots``,
     ``population``) that the sink wrote, with the batch it was made after."""
+    if name == "hotspots":
+        return read_hotspots(spark, os.path.join(out, "hotspots"))
     folder = os.path.join(out, "snapshots", name)
     v = latest_version(spark, folder)
     if v is None:
@@ -334,13 +357,13 @@ def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out: str,
         if compact_every and batch_id > 0 and batch_id % compact_every == 0:
             compact(spark, out, batch_id)
         if every and batch_id % every == 0:
-            for name, df in _derived(spark, out).items():
-                # versioned by batch id: a replay rewrites the same version
-                df.write.mode("overwrite").parquet(
-                    os.path.join(out, "snapshots", name, f"version={batch_id}"))
-                for v in numbered(spark, os.path.join(out, "snapshots", name), "version=")[:-2]:
-                    if v < batch_id:
-                        delete(spark, os.path.join(out, "snapshots", name, f"version={v}"))
+            # versioned by batch id: a replay rewrites the same version
+            refresh_positions(spark, out, batch_id)
+            folder = os.path.join(out, "snapshots", "population")
+            population_snapshot(spark, out).write.mode("overwrite").parquet(os.path.join(folder, f"version={batch_id}"))
+            for v in numbered(spark, folder, "version=")[:-2]:
+                if v < batch_id:
+                    delete(spark, os.path.join(folder, f"version={v}"))
         # One row per batch with its processing time (the metric work
         # above, as the reference measured it), replay-safe like the partials
         ms = (time.time() - started) * 1000.0

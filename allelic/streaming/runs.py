@@ -124,6 +124,12 @@ def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
 
 
+def has_parts(spark: SparkSession, path: str) -> bool:
+    """Whether a table written by parts has any: Spark writes no part for a table without rows."""
+    fs, hpath = _hadoop(spark, path)
+    return any(st.isDirectory() for st in fs.listStatus(hpath))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hpath = _hadoop(spark, path)
     fs.delete(hpath, True)

@@ -13,7 +13,7 @@ QS = queries()
 SCANS = {"metric_snapshot": 2, "position_histogram": 2, "boxplot_stats": 2, "family_stats": 2, "mutation_rate_history": 2, "latest_by_key": 2,
          "sample_first_per_batch": 2, "batch_metrics_sample": 3, "trio_join": 3, "mendelian_consistency": 3}
 # these store range-sorted rows, or write a sink's partials, when they are called
-EAGER = {"downsample_last_n", "task_time_series", "zscore_anomaly", "zscore_anomaly_readme", "chromosome_order", "metric_snapshot"}
+EAGER = {"downsample_last_n", "task_time_series", "zscore_anomaly", "zscore_anomaly_readme", "chromosome_order", "metric_snapshot", "live_hotspots"}
 
 
 @pytest.fixture

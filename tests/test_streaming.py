@@ -57,7 +57,7 @@ def test_foreach_batch_parity_with_batch(spark, msg_dir):
     # the newest snapshot covers every batch up to its version; recompute the
     # same snapshot now over all batches and compare it with the batch operator
     assert latest % 2 == 0
-    now = R._derived(spark, out)["population"]
+    now = R.population_snapshot(spark, out)
     cols = ["member_type", "heterozygous", "homozygous", "heterozygous_pct", "homozygous_pct",
             "diversity", "total_snps"]
     ref = M.population_heterozygosity(batch).select(*cols)
@@ -232,7 +232,8 @@ def test_stream_partials_match_batch_operators(spark, msg_dir):
         return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
     hot_cols = ["member_type", "chromosome", "position", "frequency", "rank"]
-    hot = R._derived(spark, out)["hotspots"].select(*hot_cols)
+    R.refresh_positions(spark, out, max(b.batch_id for b in R.batch_log(spark, out).collect()))
+    hot = R.derived_snapshot(spark, out, "hotspots").select(*hot_cols)
     assert same(hot, M.position_hotspots(batch, per_member=True).select(*hot_cols))
     orient = (R.metric_snapshot(spark, out, "orientation_counts")
               .groupBy("member_type").pivot("orientation", ["dominant", "recessive", "heterozygous"])
