@@ -44,8 +44,8 @@ FOLDS, HELD_OUT = 7, 2
 HEAVY, MOST_LENGTH = 500_000, 64
 #: Quantisation base, probes per level, bits per entry of a segment.
 BASE, PROBES, ENTRY_BITS = 2.0, 5, 32
-#: Training tokens in a hash range, most ranges (further tokens make the ranges larger).
-RANGE_TOKENS, MOST_SEGMENTS = 1 << 20, 1 << 18
+#: Training tokens in a hash range.
+RANGE_TOKENS = 1 << 20
 #: Weight of a word's own probability against its pair's, in tokens.
 PRIOR = 4.0
 
@@ -207,14 +207,9 @@ def bit_of(keys: np.ndarray, level: int, probe: int, words: int) -> np.ndarray:
 
 
 def segment_bits(keys: np.ndarray, counts: np.ndarray, words: int) -> np.ndarray:
-    """Bits of a segment that holds the keys, but for the lowest levels if
-    more than half of the bits would be set; ``segment_words`` has room for all."""
+    """Bits of a segment that holds all levels of the keys; ``segment_words`` has room for them."""
     level = levels(counts)
-    room = words * 64 * np.log(2) / PROBES
-    entries = np.cumsum(np.bincount(level, minlength=1)[::-1] * np.arange(level.max(initial=0), -1, -1))[::-1]
-    least = int(np.searchsorted(-entries, -room))  # entries of this level and above fit
     on = np.zeros(words * 64, bool)
-    keys, level = keys[level >= least], level[level >= least]
     for at in range(1, int(level.max(initial=0)) + 1):
         keys, level = keys[level >= at], level[level >= at]
         for k in range(PROBES):
@@ -229,7 +224,7 @@ def segment_words(counts: np.ndarray) -> int:
 
 def ranges(n_tokens: int) -> int:
     """Hash ranges for so many training tokens."""
-    return min(max(-(-n_tokens // RANGE_TOKENS), 1), MOST_SEGMENTS)
+    return max(-(-n_tokens // RANGE_TOKENS), 1)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
