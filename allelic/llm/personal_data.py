@@ -1,7 +1,8 @@
 """Personal data by weak supervision, in DataFrame operations only.
 
 Candidates are the matches of the base patterns and of wider ones (numbers in
-local notation, national identifiers, spelled-out addresses).  Labelers vote
+local notation, national identifiers, spelled-out addresses, bank account
+numbers whose check digits hold, access keys of known forms).  Labelers vote
 on each candidate: its own form (regex), word lists about it (gazetteers of
 cues, of counter-cues and of domain ends) and what stands around it (context).
 Expectation-maximisation over the counts of vote patterns estimates each
@@ -41,11 +42,20 @@ WIDE = {
     "spelled": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]++(?:\x20?(?:[\[(]dot[\])]|\.)\x20?[A-Za-z0-9-]++)++",
     "local": r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])",
     "national": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9_])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,72}|sk_live_[A-Za-z0-9]{16,64})(?![A-Za-z0-9_-])",
+}
+#: Length of an account number (ISO 13616) by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24,
+    "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SA": 24, "SE": 24, "SI": 19,
+    "SK": 24, "SM": 27, "TR": 26,
 }
 #: What a kept wide candidate is called.
 NAMES = {"spelled": "email", "local": "phone", "national": "national"}
 CONTEXT = 40
-CUES = r"\b(?:call|phone|tel|mobile|fax|contact|e-?mail|mail|write|reach|card|visa|pay|address|ssn|social security|host|server|login|ip)\b"
+CUES = r"\b(?:call|phone|tel|mobile|fax|contact|e-?mail|mail|write|reach|card|visa|pay|address|ssn|social security|host|server|login|ip|iban|account|bank|transfer|key|token|secret|credentials?)\b"
 COUNTER_CUES = r"\b(?:order|invoice|version|isbn|issn|serial|part|page|section|chapter|figure|table|ticket|ref)\b"
 ENDS = r"(?i)\.(?:com|org|net|edu|gov|info|io|eu|uk|de|fr|es|it)$"
 LABELERS = ("form", "cue", "counter", "list", "edge")
@@ -103,8 +113,23 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add) % 10 == 0
 
 
+def _compact(m: Column) -> Column:
+    return F.regexp_replace(m, " ", "")
+
+
+def _mod_97(m: Column) -> Column:
+    """Remainder of an account number: country and check digits last, letters as 10 to 35."""
+    def add(rest, c):
+        letter = c >= "A"
+        return (rest * F.when(letter, 100).otherwise(10) + F.when(letter, F.ascii(c) - 55).otherwise(F.ascii(c) - 48)) % 97
+    return _let(_compact(m), lambda x: F.aggregate(
+        F.filter(F.split(F.concat(F.substr(x, F.lit(5)), F.left(x, F.lit(4))), ""), lambda c: c != ""), F.lit(0), add))
+
+
 def passes(kind: str, m: Column) -> Column:
-    """The base checks of a match."""
+    """The checks of a match; those of the base patterns are the base's own."""
+    if kind == "iban":
+        return _mod_97(m) == 1
     if kind == "ip":
         def part(p):
             number = F.regexp_replace(p, "^0+", "")
@@ -128,6 +153,11 @@ def _votes(kind: str, x: Column) -> list[Column]:
         form = ~x["m"].rlike(r"^(?:000|666|9)|-00-|0000$")
     elif kind == "local":
         form = ~x["m"].rlike(r"^\(?[01]") & (x["m"].rlike(r"^\(\d{3}\)") | x["m"].rlike(r"^\d{3}([ .-])\d{3}\1"))
+    elif kind == "iban":
+        known = F.create_map(*[F.lit(v) for pair in IBAN_LENGTHS.items() for v in pair])
+        form = _let(_compact(x["m"]), lambda c: F.coalesce(F.try_element_at(known, F.left(c, F.lit(2))) == F.length(c), F.lit(False)))
+    elif kind == "secret":
+        form = x["m"].rlike("[0-9]") & x["m"].rlike("[A-Za-z]{2}")
     else:
         form = x["m"].rlike(r"[\[(]dot[\])]|\.")
     listed = (F.when(x["m"].rlike(ENDS) | x["m"].rlike(r"(?i)\b(?:com|org|net|edu)$"), 1).otherwise(-1) if kind in ("email", "spelled")
@@ -139,8 +169,9 @@ def _votes(kind: str, x: Column) -> list[Column]:
 
 
 def _judged(kind: str, spans: str, base: bool) -> Column:
-    """Candidates with their votes and features."""
-    return F.coalesce(F.transform(spans, lambda x: F.struct(
+    """Candidates with their votes and features; an account number must pass its check to be one."""
+    held = F.filter(spans, lambda x: passes(kind, x["m"])) if kind == "iban" else F.col(spans)
+    return F.coalesce(F.transform(held, lambda x: F.struct(
         x["start"].alias("start"), x["end"].alias("end"), F.lit(kind).alias("kind"),
         (passes(kind, x["m"]) if base else F.lit(False)).alias("sure"), *_votes(kind, x),
         F.least(F.floor(F.length(x["m"]) / 6), F.lit(5)).cast("int").alias("size"),
@@ -153,7 +184,9 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = rows.withColumn("_digit", F.col("_text").rlike("[0-9][^@]?[0-9]"))
     can = {"email": F.contains("_text", F.lit("@")), "ip": F.col("_digit"), "card": F.col("_digit"),
            "phone": F.contains("_text", F.lit("+")) & F.col("_text").rlike(r"\+[0-9]"),
-           "spelled": F.col("_text").rlike(r"[\[(]at[\])]"), "local": F.col("_digit"), "national": F.col("_digit")}
+           "spelled": F.col("_text").rlike(r"[\[(]at[\])]"), "local": F.col("_digit"), "national": F.col("_digit"),
+           "iban": F.col("_digit") & F.col("_text").rlike("[A-Z]{2}[0-9]{2}"),
+           "secret": F.col("_text").rlike("AKIA|gh[pousr]_|xox[abprs]-|sk_live_")}
     rows = _matches(rows, {**PATTERNS, **WIDE}, can)
     return rows.select("id", F.concat(*[_judged(k, f"_{k}", k in PATTERNS) for k in (*PATTERNS, *WIDE)]).alias("found"))
 
@@ -242,6 +275,22 @@ def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
+#: Base spans of a text that are compared with an added one together.
+BLOCK = 256
+
+
+def _blocks(spans: Column) -> Column:
+    """Spans sorted by start in blocks (lo, hi, own): nothing in a block begins before lo or ends after hi."""
+    def block(b):
+        return _let(F.slice(spans, b * BLOCK + 1, BLOCK), lambda own: F.struct(
+            F.element_at(own, 1)["start"].alias("lo"), F.array_max(F.transform(own, lambda s: s["end"])).alias("hi"), own.alias("own")))
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / BLOCK).cast("int")), block)
+
+
+def _meets(x: Column, s: Column, start: str = "start", end: str = "end") -> Column:
+    return (s[start] < x["end"]) & (x["start"] < s[end])
+
+
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_email, n_ip, n_card, n_phone (base
     matches), base_sha256, spans (base and added ones).
@@ -265,8 +314,10 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     wide = F.filter("found", lambda x: x["kind"].isin(*WIDE) & (_probability(x, weights) >= 0.5))
     rows = found.select("id", sure.alias("sure"), F.array_sort(F.transform(
         wide, lambda x: placed(x, F.element_at(names, x["kind"]), order_of(x)))).alias("wide"))
-    free = F.filter("wide", lambda x: ~F.exists("sure", lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"])))
-    rows = rows.withColumn("free", F.when(F.size("wide") > 0, free).otherwise(F.col("wide")))
+    both = (F.size("wide") > 0) & (F.size("sure") > 0)
+    rows = rows.withColumn("blocks", F.when(both, _blocks(F.col("sure"))))
+    free = F.filter("wide", lambda x: ~F.exists("blocks", lambda b: _meets(x, b, "lo", "hi") & F.exists(b["own"], lambda s: _meets(x, s))))
+    rows = rows.withColumn("free", F.when(both, free).otherwise(F.col("wide")))
     alone = F.filter("free", lambda x, i: (i == 0) | (F.element_at(F.col("free"), F.greatest(i, F.lit(1)))["end"] <= x["start"]))
     rows = rows.withColumn("added", F.when(F.size("free") > 1, alone).otherwise(F.col("free")))
     count = lambda k: F.size(F.filter("sure", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")

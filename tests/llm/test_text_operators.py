@@ -402,6 +402,38 @@ def test_personal_data_is_linear_in_long_runs(spark):
     assert not any(r["spans"] for r in personal_data.personal_data(docs).collect())
 
 
+def test_personal_data_adds_account_numbers_and_keys(spark):
+    """Account numbers whose check digits hold, in one piece or in fours, and keys of known forms."""
+    def check_digits(country, rest):
+        n = int("".join(str(int(c, 36)) for c in rest + country + "00"))
+        return f"{country}{98 - n % 97:02d}{rest}"
+    good = [check_digits("DE", "370400440532013000"), check_digits("GB", "WEST12345698765432"), check_digits("NO", "86011117947")]
+    bad = "DE" + f"{(int(good[0][2:4]) + 1) % 97:02d}" + good[0][4:]
+    fours = " ".join(good[1][i:i + 4] for i in range(0, len(good[1]), 4))
+    key = "ghp_" + "a1B2" * 9
+    texts = [f"transfer to iban {good[0]} now", f"bank account: {fours}.", f"iban {good[2]}", f"iban {bad}", f"secret token {key} here",
+             "AKIA is short", "the model AB12 CDEF and more", f"x{good[0]}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kinds = ("iban", "secret")
+    got = {r["doc_id"]: [x for x in r["spans"].split(",") if x.startswith(kinds)] for r in personal_data.personal_data(docs).collect()}
+
+    def at(i, what, kind):
+        return [f"{kind}:{texts[i].index(what)}:{texts[i].index(what) + len(what)}"]
+    assert got == {0: at(0, good[0], "iban"), 1: at(1, fours, "iban"), 2: at(2, good[2], "iban"), 3: [], 4: at(4, key, "secret"), 5: [], 6: [], 7: []}
+
+
+def test_added_spans_among_many_base_spans(spark):
+    """Several blocks of base spans: added ones among them stay, those inside a base span go."""
+    text = " ".join(f"a{i}@b.com (212) 555-{1000 + i}" for i in range(700)) + " call 212-555-0000"
+    docs = spark.createDataFrame([(1, text), (2, "x +1 (212) 555-1234 call (212) 555-1234")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in personal_data.personal_data(docs).collect()}
+    spans = [x.split(":") for x in got[1]["spans"].split(",")]
+    assert got[1]["n_email"] == 700 and sum(k == "phone" for k, _, _ in spans) >= 700
+    placed = sorted((int(a), int(b)) for _, a, b in spans)
+    assert all(x[1] <= y[0] for x, y in zip(placed, placed[1:], strict=False))
+    assert got[2]["spans"].startswith("phone:2:19") and ":5:" not in got[2]["spans"]
+
+
 def test_personal_data_adds_spans(spark):
     """Wide candidates with good form and cues are added, doubtful ones not."""
     rows = [(i, f"Please call (4{i % 10}2) 555-2{i:03d}, my phone.") for i in range(60)]
@@ -525,13 +557,16 @@ def test_keys_pack_and_unpack():
     assert (bloom_lm.unpacked(bloom_lm.packed(keys)) == keys).all() and not len(bloom_lm.unpacked(b""))
 
 
-def test_full_segments_leave_out_low_levels():
+def test_segments_hold_all_levels():
+    """No n-gram is left out, however unlike the counts are."""
     import numpy as np
     keys = bloom_lm.mixed(np.arange(1, 5001, dtype=np.uint64))
-    counts = np.where(np.arange(5000) < 20, 1000, 1)
-    made = bloom_lm.Filter(1, 40, bloom_lm.segment_bits(keys, counts, 40))
-    assert np.bitwise_count(made.bits).sum() <= 40 * 64 * 0.55
-    assert (made.level(keys[:20]) >= bloom_lm.levels(counts[:20])).all()
+    counts = np.where(np.arange(5000) < 20, 1 << 20, 1 + np.arange(5000) % 3)
+    words = bloom_lm.segment_words(counts)
+    made = bloom_lm.Filter(1, words, bloom_lm.segment_bits(keys, counts, words))
+    assert np.bitwise_count(made.bits).sum() <= words * 64 * 0.25
+    assert (made.level(keys) >= bloom_lm.levels(counts)).all()
+    assert bloom_lm.ranges(10 ** 14) == -(-10 ** 14 // bloom_lm.RANGE_TOKENS)
 
 
 def test_model_beats_the_base_on_held_out_texts(spark):
